@@ -71,10 +71,13 @@ def merged_body(members: Column) -> Column:
     return F.aggregate(members, F.lit(""), join)
 
 
-def fallback_blocks(paragraphs: DataFrame, merged: DataFrame, run: str = "run_id", **kw) -> DataFrame:
+def fallback_blocks(
+    paragraphs: DataFrame, merged: DataFrame, run: str = "run_id", *, upper: int | None = None, **kw
+) -> DataFrame:
     """Runs without any block get one block per paragraph window."""
-    bare = paragraphs.join(merged.select(run).distinct(), run, "left_anti")
-    return shaping.windows(bare, run, **kw).select(
+    bare = paragraphs.select(run).distinct().join(merged.select(run).distinct(), run, "left_anti")
+    rows = ordered.attach(paragraphs, bare, [run], "span_id", upper=upper)
+    return shaping.windows(rows, run, **kw).select(
         run,
         F.col("start_paragraph").alias("from_p"), F.col("end_paragraph").alias("to_p"),
         F.concat(F.lit("Section "), F.col("batch_id").cast("string")).alias("title"),

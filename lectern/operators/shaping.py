@@ -139,7 +139,8 @@ def _chained_starts(sized, run, at, max_size, max_chars, slice_rows):
         .groupBy(run, "_slice")
         .agg(F.array_sort(F.collect_list(F.struct("span_id", "chars"))).alias("rows"))
     )
-    # A slice of the next-slice-only kind never exists: ids are dense.
+    # No start among the next rows means the run ends inside the open batch:
+    # the exit then lies past every row of the next slice.
     walked = slices.select(
         run, "_slice",
         F.transform(
@@ -157,7 +158,7 @@ def _chained_starts(sized, run, at, max_size, max_chars, slice_rows):
         F.transform(
             "walks",
             lambda w: F.coalesce(
-                F.array_min(F.filter(w, lambda p: p > slice_rows)) - slice_rows - 1, F.lit(0)
+                F.array_min(F.filter(w, lambda p: p > slice_rows)) - slice_rows - 1, F.lit(max_size)
             ),
         ).alias("exits"),
     )

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 # ---------------------------------------------------------------------------
 # Fixed values (must equal what existing users' data and reports rely on)
 # ---------------------------------------------------------------------------
@@ -66,33 +64,28 @@ LEGACY_TEMPLATE_NAMES = {
 }
 
 # ---------------------------------------------------------------------------
-# Schemas
+# Schemas, as DDL so that importing needs no running session
 # ---------------------------------------------------------------------------
 
-
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
-
-
-CHUNK_ROW = _struct(
+CHUNK_ROW = (
     "id INT, start_time DOUBLE, end_time DOUBLE, filename STRING, sha256 STRING"
 )
-TRANSCRIPT_INDEX_ROW = _struct(
+TRANSCRIPT_INDEX_ROW = (
     "id INT, chunk_filename STRING, start_time DOUBLE, end_time DOUBLE, "
     "txt_filename STRING, srt_filename STRING"
 )
-BLOCK_ROW = _struct(
+BLOCK_ROW = (
     "from_paragraph INT, to_paragraph INT, title STRING, body STRING"
 )
-CALLS = _struct(
+CALLS = (
     "run_id STRING, stage STRING, phase STRING, batch_id INT, retry_index INT, "
     "provider STRING, model STRING, temperature DOUBLE, prompt_hash STRING, "
     "prompt STRING, response STRING, input_chars BIGINT, output_chars BIGINT, "
     "in_tok BIGINT, out_tok BIGINT, cost_usd DOUBLE, cum_cost_usd DOUBLE, "
     "parse_error STRING"
 )
-ARTIFACT = _struct("path STRING, sha256 STRING, bytes BIGINT")
-MANIFEST = _struct(
+ARTIFACT = ("path STRING, sha256 STRING, bytes BIGINT")
+MANIFEST = (
     "stage STRING, status STRING, started_at STRING, finished_at STRING, "
     "params MAP<STRING,STRING>, "
     "inputs ARRAY<STRUCT<path: STRING, sha256: STRING, bytes: BIGINT>>, "
@@ -102,10 +95,10 @@ MANIFEST = _struct(
     "input_chars: BIGINT, output_chars: BIGINT, retries: INT>>, "
     "errors ARRAY<STRING>, dry_run BOOLEAN"
 )
-EVENTS = _struct(
+EVENTS = (
     "ts TIMESTAMP, seq BIGINT, event STRING, audio_path STRING, run_dir STRING, "
     "run_index INT, total_runs INT, stage STRING, resource STRING, status STRING, "
     "message STRING, task_label STRING"
 )
-EDITS = _struct("chunk_id INT, before STRING, after STRING, diff ARRAY<STRING>")
-REMOVED_SPANS = _struct("span_id INT, label STRING, reason STRING, text STRING")
+EDITS = ("chunk_id INT, before STRING, after STRING, diff ARRAY<STRING>")
+REMOVED_SPANS = ("span_id INT, label STRING, reason STRING, text STRING")

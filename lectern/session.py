@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "lectern", master: str | None = None, **conf: str) -> SparkSession:
@@ -26,6 +29,20 @@ def build_session(app: str = "lectern", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers where it is not installed."""
+    name = f"lectern-{spark.sparkContext.applicationId}.zip"
+    if name in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="lectern-")) / name
+    with zipfile.ZipFile(target, "w") as archive:
+        for source in sorted(root.rglob("*.py")):
+            archive.write(source, source.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(name)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach; named by the cluster in its settings."""
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
