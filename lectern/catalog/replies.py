@@ -194,7 +194,8 @@ def condensed_blocks(spark, sf):
 
 @query("g3_condensed_texts", f"""WITH {_CONDENSED}
 SELECT doc_id::VARCHAR AS run_id, 0::INT AS part, 's08' AS stage,
-  array_to_string(list('Body ' || f || '-' || t ORDER BY f), CASE WHEN c % 2 = 1 THEN chr(10) || chr(10) ELSE chr(10) END) || chr(10) AS text
+  CASE WHEN c % 2 = 1 THEN string_agg('Body ' || f || '-' || t, chr(10) || chr(10) ORDER BY f)
+       ELSE string_agg('Body ' || f || '-' || t, chr(10) ORDER BY f) END || chr(10) AS text
 FROM b JOIN n USING (doc_id) GROUP BY doc_id, c""")
 def condensed_texts(spark, sf):
     return _condensed(spark, sf).texts

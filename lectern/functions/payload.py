@@ -47,13 +47,13 @@ def as_text(value: Column) -> Column:
 
 def as_whole_number(value: Column) -> Column:
     """Integers, whole floats, booleans and numeric strings; fractions are not."""
-    kind = F.schema_of_variant(value)
-    raw = F.trim(F.try_variant_get(value, "$", "string"))
-    digits = F.when(raw.rlike(r"\A[+-]?\d+(\.0+)?\z"), F.regexp_replace(raw, r"\..*\z", ""))
-    return F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "int")).when(
-        kind == "DOUBLE",
-        let(F.try_variant_get(value, "$", "double"), lambda d: F.when(d == F.floor(d), d.try_cast("int"))),
-    ).otherwise(digits.try_cast("int"))
+    def read(v: Column) -> Column:
+        raw = F.trim(F.try_variant_get(v, "$", "string"))
+        # 1, "1", 1.0 and "1.0" all start with the digits and a zero fraction.
+        digits = F.regexp_extract(raw, r"\A([+-]?\d+)(\.0+)?\z", 1).try_cast("int")
+        return F.when(F.schema_of_variant(v) == "BOOLEAN", F.try_variant_get(v, "$", "int")).otherwise(digits)
+
+    return let(value, read)
 
 
 def fenced(text: Column) -> Column:
@@ -111,19 +111,23 @@ def balanced(text: Column, opening: str, closing: str) -> Column:
 
 def best_json(text: Column) -> Column:
     """First candidate that parses: whole text, fences, [...], {...}."""
-    body = tx.strip(text)
-    from_fences = F.aggregate(
-        fenced(body), F.lit(None).cast("variant"), lambda acc, f: F.coalesce(acc, try_json(tx.strip(f)))
-    )
-    return F.coalesce(
-        try_json(body), from_fences,
-        try_json(balanced(body, "[", "]")), try_json(balanced(body, "{", "}")),
-    )
+    def search(body: Column) -> Column:
+        from_fences = F.aggregate(
+            fenced(body), F.lit(None).cast("variant"), lambda acc, f: F.coalesce(acc, try_json(tx.strip(f)))
+        )
+        return F.coalesce(
+            try_json(body), from_fences,
+            try_json(balanced(body, "[", "]")), try_json(balanced(body, "{", "}")),
+        )
+
+    return let(tx.strip(text), search)
 
 
 def whole_or_first_fence(text: Column) -> Column:
-    body = tx.strip(text)
-    return F.coalesce(try_json(body), try_json(tx.strip(F.get(fenced(body), F.lit(0)))))
+    return let(
+        tx.strip(text),
+        lambda body: F.coalesce(try_json(body), try_json(tx.strip(F.get(fenced(body), F.lit(0))))),
+    )
 
 
 def unwrap_list(value: Column) -> Column:
@@ -145,36 +149,46 @@ def _optional_text_ok(value: Column) -> Column:
 
 def decision(row: Column) -> Column:
     """One reply element -> validated decision struct, null when invalid."""
-    def build(obj: Column) -> Column:
-        number = as_whole_number(_first_present(obj, SPAN_ID_KEYS))
-        action = F.upper(tx.strip(as_text(_first_present(obj, ACTION_KEYS))))
-        label = F.try_element_at(obj, F.lit("label"))
-        reason = F.try_element_at(obj, F.lit("reason"))
+    def pick(obj: Column) -> Column:
+        return F.struct(
+            as_whole_number(_first_present(obj, SPAN_ID_KEYS)).alias("span_id"),
+            F.upper(tx.strip(let(_first_present(obj, ACTION_KEYS), as_text))).alias("action"),
+            F.try_element_at(obj, F.lit("label")).alias("label"),
+            F.try_element_at(obj, F.lit("reason")).alias("reason"),
+        )
+
+    def build(d: Column) -> Column:
         valid = (
-            number.isNotNull() & action.isin(*ACTIONS)
-            & _optional_text_ok(label) & _optional_text_ok(reason)
+            d.span_id.isNotNull() & d.action.isin(*ACTIONS)
+            & _optional_text_ok(d.label) & _optional_text_ok(d.reason)
         )
         return F.when(valid, F.struct(
-            number.alias("span_id"), action.alias("action"),
-            as_text(label).alias("label"), as_text(reason).alias("reason"),
+            d.span_id.alias("span_id"), d.action.alias("action"),
+            as_text(d.label).alias("label"), as_text(d.reason).alias("reason"),
         ))
 
-    return let(as_object(row), build)
+    return let(let(as_object(row), pick), build)
 
 
 def block(row: Column) -> Column:
     """One reply element -> validated block struct, null when invalid."""
     names = ("from_paragraph", "to_paragraph", "title", "body")
 
-    def build(obj: Column) -> Column:
-        first = as_whole_number(F.try_element_at(obj, F.lit("from_paragraph")))
-        last = as_whole_number(F.try_element_at(obj, F.lit("to_paragraph")))
-        title = tx.strip(as_text(F.try_element_at(obj, F.lit("title"))))
-        body = tx.strip(as_text(F.try_element_at(obj, F.lit("body"))))
-        extra = F.size(F.array_except(F.map_keys(obj), F.array(*[F.lit(n) for n in names])))
-        valid = (extra == 0) & (first > 0) & (first <= last) & (title != "") & (body != "")
+    def pick(obj: Column) -> Column:
+        def text_of(name: str) -> Column:
+            return tx.strip(let(F.try_element_at(obj, F.lit(name)), as_text))
+
+        return F.struct(
+            as_whole_number(F.try_element_at(obj, F.lit("from_paragraph"))).alias("from_p"),
+            as_whole_number(F.try_element_at(obj, F.lit("to_paragraph"))).alias("to_p"),
+            text_of("title").alias("title"), text_of("body").alias("body"),
+            F.size(F.array_except(F.map_keys(obj), F.array(*[F.lit(n) for n in names]))).alias("extra"),
+        )
+
+    def build(b: Column) -> Column:
+        valid = (b.extra == 0) & (b.from_p > 0) & (b.from_p <= b.to_p) & (b.title != "") & (b.body != "")
         return F.when(valid, F.struct(
-            first.alias("from_p"), last.alias("to_p"), title.alias("title"), body.alias("body")
+            b.from_p.alias("from_p"), b.to_p.alias("to_p"), b.title.alias("title"), b.body.alias("body")
         ))
 
-    return let(as_object(row), build)
+    return let(let(as_object(row), pick), build)

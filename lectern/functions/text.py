@@ -4,30 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# \s in Unicode mode plus the four ASCII separator controls.
+# Every character that counts as whitespace when stripping.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# The same set as a regular expression: \s in Unicode mode plus four controls.
 SPACE = r"[\s\x1c-\x1f]"
 
 
 def strip(text: Column) -> Column:
-    # The common case has clean edges; skip the regex machinery for it.
-    edge = r"(?U)^" + SPACE + "|" + SPACE + r"\z"
-    return F.when(text.rlike(edge), F.regexp_replace(text, _strip_pattern(), "")).otherwise(text)
-
-
-def _strip_pattern() -> str:
-    return rf"(?U)\A{SPACE}+|{SPACE}+\z"
+    return F.btrim(text, F.lit(WHITESPACE))
 
 
 def lstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U)\A{SPACE}+", "")
+    return F.ltrim(text, F.lit(WHITESPACE))
 
 
 def rstrip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"(?U){SPACE}+\z", "")
+    return F.rtrim(text, F.lit(WHITESPACE))
 
 
 def is_blank(text: Column) -> Column:
-    return ~text.rlike(rf"(?U)[^\s\x1c-\x1f]")
+    return strip(text) == ""
 
 
 def words(text: Column) -> Column:

@@ -12,28 +12,18 @@ def parse_ms(value: Column) -> Column:
 
     A comma wins over a point; the fraction is padded or cut to three digits.
     """
-    number = r"\s*[+-]?\d+\s*"
-    clock = rf"(?s)\A({number}):({number}):({number})"
-    comma = clock + r",([^,]*)\z"
-    point = clock + r"\.([^.,]*)\z"
-    shape = F.when(value.contains(","), F.lit(comma)).otherwise(F.lit(point))
-
-    def group(i: int) -> Column:
-        return F.trim(F.regexp_extract(value, comma, i))
-
-    def group_p(i: int) -> Column:
-        return F.trim(F.regexp_extract(value, point, i))
+    code = (
+        r"(?s)\A\s*([+-]?\d+)\s*:\s*([+-]?\d+)\s*:\s*([+-]?\d+)\s*"
+        r"(?:,([^,]*)|\.([^.,]*))\z"
+    )
 
     def part(i: int) -> Column:
-        return F.when(value.contains(","), group(i)).otherwise(group_p(i)).try_cast("bigint")
+        return F.regexp_extract(value, code, i).try_cast("bigint")
 
-    raw = F.when(value.contains(","), F.regexp_extract(value, comma, 4)).otherwise(
-        F.regexp_extract(value, point, 4)
-    )
-    millis = F.trim(F.rpad(raw, 3, "0")).try_cast("bigint")
-    return F.when(
-        F.regexp_like(value, shape), (part(1) * 3600 + part(2) * 60 + part(3)) * 1000 + millis
-    )
+    # Only one of the two fraction groups matches, the other is empty.
+    fraction = F.concat(F.regexp_extract(value, code, 4), F.regexp_extract(value, code, 5))
+    millis = F.trim(F.rpad(fraction, 3, "0")).try_cast("bigint")
+    return (part(1) * 3600 + part(2) * 60 + part(3)) * 1000 + millis
 
 
 def format_ms(ms: Column) -> Column:

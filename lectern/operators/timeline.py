@@ -65,9 +65,9 @@ def parse_cues(subtitles: DataFrame, keep: list[str], text: str = "text") -> Dat
     head = F.when(F.element_at("_lines", 1).rlike(r"(?U)\A\d+\z"), F.lit(2)).otherwise(F.lit(1))
     rows = rows.withColumn("_at", head).withColumn("_timing", F.element_at("_lines", F.col("_at")))
     ends = F.split("_timing", "-->", 2)
-    rows = rows.withColumn("start_ms", tc.parse_ms(tx.strip(F.get(ends, F.lit(0))))).withColumn(
-        "end_ms", tc.parse_ms(tx.strip(F.get(ends, F.lit(1))))
-    )
+    rows = rows.withColumns({
+        "_start": tx.strip(F.get(ends, F.lit(0))), "_end": tx.strip(F.get(ends, F.lit(1))),
+    }).withColumns({"start_ms": tc.parse_ms(F.col("_start")), "end_ms": tc.parse_ms(F.col("_end"))})
     problem = F.when(
         ~F.col("_timing").contains("-->"), F.concat(F.lit("Invalid SRT timing line: "), "_timing")
     ).when(
