@@ -9,7 +9,7 @@ import re
 from pyspark.sql import functions as F
 
 from lectern import schemas as S
-from lectern.catalog.base import query, sql_batches, sql_chunks, table
+from lectern.catalog.base import documents, query, sql_batches, sql_chunks
 from lectern.operators import calls as ca, prompts as pr
 from lectern.plans import stages as st
 
@@ -22,7 +22,7 @@ _STAGES = ("s05", "s06", "s07", "s08", "s09", "s10", "s11")
 
 def _prompts(spark, sf):
     """One run per source, one call per document, in document order."""
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     pick = lambda values, n: F.element_at(F.array(*[F.lit(v) for v in values]), (n + 1).cast("int"))
     number = F.regexp_extract("source", r"(\d+)", 1).cast("int")
     return docs.select(
@@ -142,7 +142,7 @@ def model_replies(spark, sf):
 
 
 def _texts(spark, sf):
-    return table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("run_id"), "text")
+    return documents(spark, sf).select(F.col("doc_id").cast("string").alias("run_id"), "text")
 
 
 @query("m2_text_transform", f"""WITH {sql_chunks(6000)}

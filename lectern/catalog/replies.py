@@ -8,14 +8,14 @@ import re
 from pyspark.sql import functions as F
 
 from lectern.catalog import base
-from lectern.catalog.base import SPANS, query, table
+from lectern.catalog.base import documents, SPANS, query, table
 from lectern.operators import blocks as bl, calls as ca, responses as rs, shaping as sh
 from lectern.plans import stages as st
 
 
 def _replies(spark, sf):
     """One reply per document about its lines, in seven spellings by doc_id."""
-    spans = sh.spans(table(spark, sf, "documents"), ["doc_id"], sep="\n")
+    spans = sh.spans(documents(spark, sf), ["doc_id"], sep="\n")
     d, i = F.col("doc_id"), F.col("span_id")
     row = F.when(d % 7 == 4, F.struct(
         i.cast("string").alias("spanId"), F.when(i % 3 == 0, " remove ").otherwise("Keep").alias("verdict"),
@@ -149,7 +149,7 @@ SELECT doc_id AS run_id, min(span_id)::INT AS from_p, max(span_id)::INT AS to_p,
 FROM placed WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY doc_id, k""")
 def fallback(spark, sf):
     """Runs that already have a block: the documents labelled toxic."""
-    paragraphs = sh.spans(table(spark, sf, "documents").withColumnRenamed("doc_id", "run_id"), ["run_id"], sep="\n")
+    paragraphs = sh.spans(documents(spark, sf).withColumnRenamed("doc_id", "run_id"), ["run_id"], sep="\n")
     have = table(spark, sf, "labels").filter("toxic = 1").select(F.col("doc_id").alias("run_id"))
     return bl.fallback_blocks(paragraphs, have)
 
@@ -176,7 +176,7 @@ class Summarizer:
 
 
 def _condensed(spark, sf):
-    texts = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("run_id"), "text")
+    texts = documents(spark, sf).select(F.col("doc_id").cast("string").alias("run_id"), "text")
     return st.condense(texts, "Map:\n{{paragraph_lines}}", "Reduce:\n{{candidate_blocks_json}}", st.ModelSetup(Summarizer, "m"), sep="\n")
 
 

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.catalog.base import query, sql_strip, table
+from lectern.catalog.base import documents, query, sql_strip, table
 from lectern.operators import review as rv
 
 
 def _doc_spans(spark, sf):
     """Run = source, span = document (ids are sparse), batch = language."""
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         F.col("source").alias("run_id"), F.col("lang").alias("batch_id"),
         F.col("doc_id").alias("span_id"), F.regexp_replace("text", "\n", " ").alias("text"))
 
@@ -98,7 +98,7 @@ SELECT doc_id, line, 'removed' AS change, count(*) AS times FROM gone GROUP BY A
 UNION ALL SELECT doc_id, line, 'added', count(*) FROM fresh GROUP BY ALL""")
 def line_changes(spark, sf):
     """After: lines without exact repeats; a mark added in every other document."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = documents(spark, sf).select("doc_id", "text")
     marked = F.transform(F.array_distinct(F.split("text", "\n")), lambda x: F.when(
         (F.col("doc_id") % 2 == 0) & x.endswith("."), F.concat(x, F.lit("!"))).otherwise(x))
     return rv.line_changes(docs, docs.withColumn("text", F.array_join(marked, "\n")), ["doc_id"])

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from lectern import schemas as S
 from lectern.catalog import base
-from lectern.catalog.base import query, sql_batches, sql_chunks, sql_strip, sql_wrap, table
+from lectern.catalog.base import documents, query, sql_batches, sql_chunks, sql_strip, sql_wrap, table
 from lectern.operators import prompts as pr, shaping as sh
 
 
 @query("b1_paragraphs", f"WITH {base.SPANS} SELECT doc_id, span_id, text FROM spans")
 def paragraphs(spark, sf):
-    return sh.spans(table(spark, sf, "documents"), ["doc_id"], sep="\n")
+    return sh.spans(documents(spark, sf), ["doc_id"], sep="\n")
 
 
 @query("b2_sentences", f"""WITH {base.SPANS},
@@ -23,7 +23,7 @@ parts AS (
   FROM spans)
 SELECT doc_id, span_id, generate_subscripts(xs, 1)::INT AS sentence_id, unnest(xs) AS sentence FROM parts""")
 def sentences(spark, sf):
-    return sh.sentences(sh.spans(table(spark, sf, "documents"), ["doc_id"], sep="\n"), ["doc_id", "span_id"])
+    return sh.sentences(sh.spans(documents(spark, sf), ["doc_id"], sep="\n"), ["doc_id", "span_id"])
 
 
 @query("b3_wrapped_paragraphs", f"""WITH {base.SPANS},
@@ -34,13 +34,13 @@ lists AS (
   FROM folded)
 SELECT doc_id, span_id, generate_subscripts(ps, 1)::INT AS piece_id, unnest(ps) AS piece FROM lists""")
 def wrapped(spark, sf):
-    spans = sh.spans(table(spark, sf, "documents"), ["doc_id"], sep="\n")
+    spans = sh.spans(documents(spark, sf), ["doc_id"], sep="\n")
     return sh.wrapped(spans, ["doc_id", "span_id"], 500)
 
 
 def _chunked(max_chars):
     def run(spark, sf):
-        return sh.text_chunks(table(spark, sf, "documents"), ["doc_id"], max_chars, sep="\n")
+        return sh.text_chunks(documents(spark, sf), ["doc_id"], max_chars, sep="\n")
     return run
 
 
@@ -50,7 +50,7 @@ query("b4_text_chunks_tight", f"WITH {sql_chunks(300)} SELECT doc_id, chunk_id,
 
 def _batched(size, chars, **kw):
     def run(spark, sf):
-        spans = sh.spans(table(spark, sf, "documents"), ["doc_id"], sep="\n")
+        spans = sh.spans(documents(spark, sf), ["doc_id"], sep="\n")
         return sh.span_batches(spans, "doc_id", size, chars, **kw).select("doc_id", "span_id", "batch_id")
     return run
 
@@ -62,7 +62,7 @@ query("b5_span_batches_sliced", f"WITH {sql_batches(5, 1500)} SELECT doc_id, spa
 
 
 def _windows(spark, sf):
-    return sh.windows(sh.spans(table(spark, sf, "documents"), ["doc_id"], sep="\n"), "doc_id")
+    return sh.windows(sh.spans(documents(spark, sf), ["doc_id"], sep="\n"), "doc_id")
 
 
 @query("b6_overlapping_windows", f"""WITH {base.WINDOWS}
@@ -118,7 +118,7 @@ def block_headings(spark, sf):
             ELSE '{' || source || '} ' || text || ' / ' || text END AS prompt
 FROM documents""")
 def prompts(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     body = F.when(F.col("name") == "en", "Clean:\n{{text}}").when(
         F.col("name") == "fr", "{{text}} ({{source}})").otherwise("{{{source}}} {{text}} / {{text}}")
     templates = docs.select(F.col("lang").alias("name")).distinct().withColumn("body", body)
@@ -138,7 +138,7 @@ _NAMED = _NAMED.replace("{{{{", "{{").replace("}}}}", "}}")
 
 
 def _templates(spark, sf):
-    docs = table(spark, sf, "documents").filter("n_chars % 3 <> 0")
+    docs = documents(spark, sf).filter("n_chars % 3 <> 0")
     key = F.element_at(F.array(*[F.lit(k) for k in _KEYS]), (F.col("doc_id") % 8 + 1).cast("int"))
     old = (F.col("doc_id") % 8 >= 6) & (F.col("n_chars") % 2 == 0)
     name = key

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lectern.catalog.base import query, sql_strip, table
 from lectern.functions import timecode as tc
-from lectern.operators import timeline as tl
+from lectern.operators import ordered, timeline as tl
 
 
 def _turns(spark, sf):
@@ -136,7 +136,7 @@ SELECT run_id, 0::INT AS part, string_agg(cue_no || chr(10) || {_MS.format(x='st
   chr(10) || chr(10) ORDER BY cue_no) || chr(10) AS text
 FROM moved GROUP BY run_id""")
 def subtitle_text(spark, sf):
-    return tl.render_subtitles(_shifted(spark, sf))
+    return tl.render_subtitles(_shifted(spark, sf), upper=ordered.largest(_turns(spark, sf), "chunk_id"))
 
 
 def _index(spark, sf):

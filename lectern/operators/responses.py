@@ -35,9 +35,9 @@ def parse_decisions(replies: DataFrame, response: str = "response") -> DataFrame
 
 def decisions(parsed: DataFrame, keep: list[str]) -> DataFrame:
     """One row per decision, ``pos`` being its place in the reply."""
-    return parsed.filter(F.col("parsed").isNotNull()).select(
-        *keep, F.posexplode("parsed").alias("pos", "d")
-    ).select(*keep, "pos", "d.span_id", "d.action", "d.label", "d.reason")
+    # Outer, then filtered on the position: see shaping.explode_rows.
+    return parsed.select(*keep, F.posexplode_outer("parsed").alias("pos", "d")).filter("pos IS NOT NULL").select(
+        *keep, "pos", "d.span_id", "d.action", "d.label", "d.reason")
 
 
 def parse_blocks(replies: DataFrame, response: str = "response") -> DataFrame:
@@ -64,9 +64,8 @@ def parse_blocks(replies: DataFrame, response: str = "response") -> DataFrame:
 
 
 def blocks(parsed: DataFrame, keep: list[str]) -> DataFrame:
-    return parsed.filter(F.col("parsed").isNotNull()).select(
-        *keep, F.posexplode("parsed").alias("pos", "b")
-    ).select(*keep, "pos", "b.from_p", "b.to_p", "b.title", "b.body")
+    return parsed.select(*keep, F.posexplode_outer("parsed").alias("pos", "b")).filter("pos IS NOT NULL").select(
+        *keep, "pos", "b.from_p", "b.to_p", "b.title", "b.body")
 
 
 def clamp_blocks(blocks: DataFrame, lo: str = "start_paragraph", hi: str = "end_paragraph") -> DataFrame:

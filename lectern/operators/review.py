@@ -44,11 +44,15 @@ def sentence_table(decided: DataFrame, run: str = "run_id") -> DataFrame:
 
 def review_counts(sentences: DataFrame, run: str = "run_id") -> DataFrame:
     """sentences, kept and removed per run."""
-    return sentences.groupBy(run).agg(
+    return sentences.groupBy(run).agg(*_tally())
+
+
+def _tally() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("sentences"),
         F.count_if(F.col("action") == "KEEP").alias("keep"),
         F.count_if(F.col("action") == "REMOVE").alias("remove"),
-    )
+    ]
 
 
 # The markup of the review page.
@@ -118,20 +122,26 @@ def review_report(
     numbered = ordered.number_rows(
         sentences, [run], ["span_id", "sentence_id"], "no", slice_rows=slice_rows, upper=upper
     )
-    counts = runs.select(run).distinct().join(review_counts(sentences, run), run, "left").na.fill(
-        0, ["sentences", "keep", "remove"]
+    tally = sentences.groupBy(run).agg(*_tally(), F.max("span_id").cast("bigint").alias("last"))
+    counts = runs.select(run).distinct().join(tally, run, "left").na.fill(
+        0, ["sentences", "keep", "remove", "last"]
     )
     summary = F.format_string(
         '  <p class="summary">sentences: %d | KEEP: %d | REMOVE: %d</p>', "sentences", "keep", "remove"
     )
     some = F.col("sentences") > 0
-    head = counts.select(run, F.lit(0).cast("bigint").alias("no"), F.concat_ws(
+    start = F.lit(0).cast("bigint")
+    head = counts.select(run, start.alias("at"), F.lit(-1).alias("sub"), F.concat_ws(
         "\n", F.lit(_HEAD), summary, F.when(some, F.lit(_TABLE)).otherwise(F.lit(_EMPTY))).alias("row"))
-    foot = counts.select(run, (F.col("sentences") + 1).alias("no"), F.concat_ws(
+    foot = counts.select(run, (F.col("last") + 1).alias("at"), F.lit(0).alias("sub"), F.concat_ws(
         "\n", F.when(some, F.lit(_TABLE_END)), F.lit(_FOOT)).alias("row"))
-    body = numbered.select(run, "no", report_row(F.col("no")).alias("row"))
+    body = numbered.select(
+        run, F.col("span_id").cast("bigint").alias("at"), F.col("sentence_id").alias("sub"),
+        report_row(F.col("no")).alias("row"),
+    )
     return ordered.assemble(
-        body.unionByName(head).unionByName(foot), [run], ["no"], "row", sep="\n", part_rows=part_rows,
+        body.unionByName(head).unionByName(foot), [run], ["at", "sub"], "row", sep="\n",
+        part_rows=part_rows, upper=upper + 1,
     )
 
 
@@ -147,7 +157,9 @@ def line_changes(
         split = F.split(F.col(text), "\r\n|\n|\r")
         # A final line break ends the last line, it does not start another.
         whole = F.when(F.element_at(split, -1) == "", F.slice(split, 1, F.size(split) - 1)).otherwise(split)
-        return df.select(*keys, F.explode(whole).alias("line"), F.lit(sign).alias("_n"))
+        return df.select(*keys, F.explode_outer(whole).alias("line"), F.lit(sign).alias("_n")).filter(
+            F.col("line").isNotNull()
+        )
 
     delta = lines(after, 1).unionByName(lines(before, -1)).groupBy(*keys, "line").agg(
         F.sum("_n").alias("_n")

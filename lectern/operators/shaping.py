@@ -9,20 +9,26 @@ from lectern.functions import folds, text as tx
 from lectern.operators import ordered
 
 
-def _explode(df: DataFrame, items: Column, keep: list[str], pos: str, value: str, **extra: Column):
-    return df.select(*keep, *[c.alias(n) for n, c in extra.items()],
-                     F.posexplode(items).alias("_pos", value)).select(
-        *keep, *extra, (F.col("_pos") + 1).alias(pos), value)
+def explode_rows(df: DataFrame, items: Column, keep: list[str], pos: str, value: str) -> DataFrame:
+    """One row per array element, numbered from 1.
+
+    The outer form plus a filter on the position: with the inner form the
+    optimizer adds a size check below the generator, and pushing that check
+    down evaluates the (costly) array expression again.
+    """
+    return df.select(*keep, F.posexplode_outer(items).alias("_pos", value)).filter(
+        F.col("_pos").isNotNull()
+    ).select(*keep, (F.col("_pos") + 1).alias(pos), value)
 
 
 def spans(texts: DataFrame, keep: list[str], text: str = "text", sep: str = "\n\n") -> DataFrame:
     """B1: numbered non-blank paragraphs; numbering starts at 1 after filtering."""
-    return _explode(texts, tx.paragraphs(F.col(text), sep), keep, "span_id", "text")
+    return explode_rows(texts, tx.paragraphs(F.col(text), sep), keep, "span_id", "text")
 
 
 def sentences(rows: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """B2: numbered sentences."""
-    return _explode(rows, tx.sentences(F.col(text)), keep, "sentence_id", "sentence")
+    return explode_rows(rows, tx.sentences(F.col(text)), keep, "sentence_id", "sentence")
 
 
 def wrapped(paragraphs: DataFrame, keep: list[str], max_chars: int, text: str = "text") -> DataFrame:
@@ -31,7 +37,7 @@ def wrapped(paragraphs: DataFrame, keep: list[str], max_chars: int, text: str =
     pieces = F.when(F.length(body) <= max_chars, F.array(body)).otherwise(
         folds.wrap_paragraph(body, max_chars)
     )
-    return _explode(paragraphs, pieces, keep, "piece_id", "piece")
+    return explode_rows(paragraphs, pieces, keep, "piece_id", "piece")
 
 
 def text_chunks(
@@ -43,7 +49,7 @@ def text_chunks(
 ) -> DataFrame:
     """Budgeted chunks, numbered from 1. No shuffle: one row's work."""
     chunks = folds.chunk_text(F.col(text), max_chars, sep)
-    return _explode(texts, chunks, keep, "chunk_id", "text")
+    return explode_rows(texts, chunks, keep, "chunk_id", "text")
 
 
 def numbered_line(number: Column, text: Column) -> Column:

@@ -31,8 +31,8 @@ def segments(recordings: DataFrame, seconds: int = S.CHUNK_SECONDS, run: str = "
         F.array().cast("array<bigint>")
     )
     return recordings.select(
-        run, "duration_s", F.explode(starts).alias("_k")
-    ).select(
+        run, "duration_s", F.explode_outer(starts).alias("_k")
+    ).filter("_k IS NOT NULL").select(
         run,
         (F.col("_k") + 1).cast("int").alias("chunk_id"),
         (F.col("_k") * seconds).cast("double").alias("start_s"),
@@ -57,7 +57,7 @@ def timeline(chunks: DataFrame, run: str = "run_id", **kw) -> DataFrame:
 def parse_cues(subtitles: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """A4 + C4: subtitle text -> cue rows with ``problem`` for unusable ones."""
     blocks = F.filter(tx.literal_split(tx.strip(F.col(text)), "\n\n"), lambda b: ~tx.is_blank(b))
-    rows = subtitles.select(*keep, F.posexplode(blocks).alias("_pos", "_block"))
+    rows = subtitles.select(*keep, F.posexplode_outer(blocks).alias("_pos", "_block")).filter("_pos IS NOT NULL")
     lines = F.filter(
         F.transform(F.split("_block", "\r\n|\n|\r"), tx.rstrip), lambda x: x != ""
     )
@@ -103,6 +103,8 @@ def shift_cues(
         run, "chunk_id",
         F.coalesce((F.col("start_s") * 1000).cast("bigint"), F.lit(0)).alias("_offset"),
     )
+    if upper is None:
+        upper = ordered.largest(index, "chunk_id")
     moved = cues.join(offsets, [run, "chunk_id"]).withColumns({
         "start_ms": F.col("start_ms") + F.col("_offset"),
         "end_ms": F.col("end_ms") + F.col("_offset"),
@@ -128,10 +130,10 @@ def cue_block(number, start_ms, end_ms, lines):
 def render_subtitles(numbered: DataFrame, run: str = "run_id", **kw) -> DataFrame:
     """Numbered cues -> subtitle text per run."""
     blocks = numbered.select(
-        run, "cue_no",
+        run, "chunk_id", "cue_pos",
         cue_block(F.col("cue_no"), F.col("start_ms"), F.col("end_ms"), F.col("text_lines")).alias("block"),
     )
-    return ordered.assemble(blocks, [run], ["cue_no"], "block", **kw)
+    return ordered.assemble(blocks, [run], ["chunk_id", "cue_pos"], "block", **kw)
 
 
 def transcript_index(

@@ -17,6 +17,17 @@ def _local_path(path: Column) -> Column:
     return F.regexp_replace(path, "^file:(//)?", "")
 
 
+def deal_out(scan: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan of few, large files over all task slots.
+
+    Text work is CPU-bound and row-local. A large table already has more
+    splits than slots and is left alone; a single file is not. Use on plain
+    scans only.
+    """
+    slots = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= slots else scan.repartition(slots, *keys)
+
+
 def recordings(spark: SparkSession, root: str, *, content: bool = False) -> DataFrame:
     """A1: media files under ``root`` at any depth, any letter case of suffix.
 
