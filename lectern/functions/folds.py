@@ -23,9 +23,11 @@ def _cut(items: Column, starts: Column, joiner: str) -> Column:
         F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))),
         F.array(F.size(items) + 1),
     )
-    return F.zip_with(
+    joined = F.zip_with(
         starts, ends, lambda s, e: F.array_join(F.slice(items, s, e - s), joiner)
     )
+    # Without any start there is still one end: its null is not a piece.
+    return F.filter(joined, lambda piece: piece.isNotNull())
 
 
 def wrap_paragraph(paragraph: Column, max_chars: int) -> Column:

@@ -86,7 +86,7 @@ def parse_cues(subtitles: DataFrame, keep: list[str], text: str = "text") -> Dat
 def split_cues(parsed: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """(good cues, rejects). Strict mode fails the job on the first bad cue."""
     if strict:
-        checked = F.when(F.col("problem").isNotNull(), F.raise_error("problem").cast("int")).otherwise(F.lit(0))
+        checked = F.when(F.col("problem").isNotNull(), F.raise_error(F.col("problem")).cast("int")).otherwise(F.lit(0))
         return parsed.filter(checked == 0).drop("problem"), parsed.limit(0)
     return parsed.filter(F.col("problem").isNull()).drop("problem"), parsed.filter(F.col("problem").isNotNull())
 
