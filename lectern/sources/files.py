@@ -64,10 +64,10 @@ def numbered(recordings: DataFrame) -> DataFrame:
 
 def whole_texts(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
     """A3: one row per text file; ``chunk_id`` from a numeric file stem."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
+    rows = spark.read.option("recursiveFileLookup", True)
     if suffix:
         rows = rows.option("pathGlobFilter", f"*{suffix}")
-    rows = rows.text(path).select(
+    rows = rows.text(path, wholetext=True).select(
         _local_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("text")
     )
     stem = F.regexp_extract("path", r"(\d+)\.[^./]*$", 1)
@@ -89,8 +89,8 @@ def json_rows(spark: SparkSession, path: str, row: str, glob: str = "*.json") ->
     not JSON, is a reject.
     """
     files = (
-        spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob).text(path)
+        spark.read.option("recursiveFileLookup", True)
+        .option("pathGlobFilter", glob).text(path, wholetext=True)
         .select(_local_path(F.col("_metadata.file_path")).alias("path"), F.col("value"))
     )
     parsed = files.withColumn("_rows", F.from_json("value", f"array<struct<{row}>>", {"mode": "PERMISSIVE"}))

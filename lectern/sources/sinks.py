@@ -95,7 +95,8 @@ def write_texts(texts: DataFrame, path: str, mode: str = "error", run: str = "ru
     """Final texts as plain files, one folder per stage and run.
 
     ``text`` already ends with one newline when non-empty, which is the one
-    the line writer adds, so it is taken off here.
+    the line writer adds, so it is taken off here. The line writer cannot make
+    an empty file: empty texts are rows of the table sink (``save_runs``) only.
     """
     body = F.regexp_replace("text", r"\n\z", "")
     out = texts.filter(F.col("text") != "").select("stage", run, *(["part"] if "part" in texts.columns else []), body.alias("value"))
