@@ -86,7 +86,10 @@ def fallback_blocks(
 
 
 def candidate_json(blocks: DataFrame, run: str = "run_id") -> DataFrame:
-    """Ordered blocks of a run as the JSON payload of its reduce prompt."""
+    """Ordered blocks of a run as the JSON payload of its reduce prompt.
+
+    One prompt is one value; its size is what the model accepts.
+    """
     rows = F.array_sort(F.collect_list(F.struct(
         F.col("from_p").alias("from_paragraph"), F.col("to_p").alias("to_paragraph"), "title", "body"
     )))

@@ -197,7 +197,10 @@ def call_model(
     )
     if known is not None:
         unique = unique.join(known.select(*keys), keys, "left_anti")
-    spread = unique.repartition(tasks) if tasks else unique.repartition("prompt_hash")
+    # A fixed number of tasks: calls are slow, so their bytes say nothing about
+    # how few tasks would do.
+    width = tasks or int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = unique.repartition(width, "prompt_hash")
     replies = write_and_read(spread.mapInPandas(_caller(make_model), _REPLY), "replies")
     if known is not None:
         replies = replies.unionByName(known.select(*replies.columns))

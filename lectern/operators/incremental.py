@@ -25,16 +25,32 @@ def artifacts(files: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
-def input_signatures(expected: DataFrame, found: DataFrame, keys=("run_id", "stage")) -> DataFrame:
-    """'path:sha256' lines in path order; an absent file is '<missing>'."""
+def input_signatures(
+    expected: DataFrame, found: DataFrame, keys=("run_id", "stage"), *, bulk_inputs: int = 1 << 16
+) -> DataFrame:
+    """'path:sha256' lines in path order; an absent file is '<missing>'.
+
+    A stage with more than ``bulk_inputs`` files is signed in two levels: the
+    digests of 1024 hash buckets of its lines, in bucket order. That is still
+    equal exactly when the inputs are, and no group grows without bound.
+    """
+    keys = list(keys)
     line = F.concat_ws(":", F.col("path"), F.coalesce(F.col("sha256"), F.lit(MISSING)))
-    return (
-        expected.select(*keys, "path").distinct()
-        .join(found.select("path", "sha256"), "path", "left")
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("path", line.alias("line")))).alias("_l"))
-        .select(*keys, F.array_join(F.transform("_l", lambda x: x.line), "\n").alias("inputs_signature"))
-    )
+    lines = expected.select(*keys, "path").distinct().join(
+        found.select("path", "sha256"), "path", "left"
+    ).select(*keys, "path", line.alias("line"))
+    # At most inputs / bulk_inputs rows.
+    bulk = expected.select(*keys, "path").distinct().groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n")
+    ).filter(F.col("_n") > bulk_inputs).select(*keys, F.lit(True).alias("_bulk"))
+    bucket = F.when(F.col("_bulk"), F.pmod(F.xxhash64("path"), F.lit(1024))).otherwise(F.lit(0))
+    joined = F.array_join(F.transform("_l", lambda x: x.line), "\n")
+    buckets = lines.join(bulk, keys, "left").groupBy(*keys, "_bulk", bucket.alias("_b")).agg(
+        F.array_sort(F.collect_list(F.struct("path", "line"))).alias("_l")
+    ).select(*keys, "_b", F.when(F.col("_bulk"), F.sha2(joined, 256)).otherwise(joined).alias("line"))
+    return buckets.groupBy(*keys).agg(
+        F.array_sort(F.collect_list(F.struct("_b", "line"))).alias("_l")
+    ).select(*keys, joined.alias("inputs_signature"))
 
 
 def params_signature(params: Column) -> Column:

@@ -120,18 +120,38 @@ def clamped_level(
 
     level = S - least(0, min S), with S the running sum from the start level.
     ``start`` is an optional (keys, start_level) table of one row per key.
+    A slice is summed up by its total and its lowest running sum; both chain
+    over slices, so rows are shuffled once however hot a key is.
     """
     if upper is None:
         upper = largest(df, seq)
-    kw = dict(slice_rows=slice_rows, upper=upper)
-    summed = running(df, keys, [seq], [Running("_s", "sum", F.col(delta))], **kw)
-    low = running(summed, keys, [seq], [Running("_low", "min", F.col("_s"))], **kw)
+    one = upper < slice_rows
+    sliced = df.withColumn("_slice", F.lit(0) if one else F.floor(F.col(seq) / slice_rows))
+    local = _local_sums(sliced, keys if one else [*keys, "_slice"], seq, delta)
+    if one:
+        local = local.withColumns({"_s0": F.lit(0), "_low0": F.lit(None).cast("bigint")})
+    else:
+        chained = _local_sums(sliced, [*keys, "_slice"], seq, delta).groupBy(*keys, "_slice").agg(
+            F.sum(delta).alias("_t"), F.min("_s").alias("_m")
+        )
+        before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+        carry = chained.withColumn("_s0", F.coalesce(F.sum("_t").over(before), F.lit(0))).withColumn(
+            "_low0", F.min(F.col("_s0") + F.col("_m")).over(before)
+        ).drop("_t", "_m")
+        local = local.join(carry, [*keys, "_slice"], "left")
     base = F.lit(0)
     if start is not None:
-        low = low.join(start, keys, "left")
+        local = local.join(start, keys, "left")
         base = F.coalesce(F.col("start_level"), F.lit(0))
-    level = F.col("_s") + base - F.least(F.lit(0), F.col("_low") + base)
-    return low.withColumn(name, level).drop("_s", "_low", "start_level")
+    low = F.least(F.col("_low0"), F.col("_s0") + F.col("_low"))
+    level = F.col("_s0") + F.col("_s") + base - F.least(F.lit(0), low + base)
+    return local.withColumn(name, level).drop("_slice", "_s", "_low", "_s0", "_low0", "start_level")
+
+
+def _local_sums(df, keys, seq, delta):
+    """Running sum ``_s`` and its running minimum ``_low`` in one sort."""
+    frame = Window.partitionBy(*keys).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
+    return df.withColumn("_s", F.sum(delta).over(frame)).withColumn("_low", F.min("_s").over(frame))
 
 
 def number_all(df: DataFrame, order: list[str], name: str) -> DataFrame:

@@ -41,6 +41,9 @@ def test_input_signature(make):
     sha = "2d711642b726b04401627ca9fbac32f5c8530fb1903cc4db02258717921a4881"
     assert row.inputs_signature == f"/a:{sha}\n/b:<missing>"
     assert found.head().bytes == 1
+    many = make([("r", "s05", f"/{i}") for i in range(50)], "run_id STRING, stage STRING, path STRING")
+    bulk = [inc.input_signatures(e, found, bulk_inputs=10).head().inputs_signature for e in (many, many.orderBy(F.rand()), many.filter("path <> '/7'"))]
+    assert bulk[0] == bulk[1] != bulk[2] and "<missing>" not in bulk[0]
 
 
 def test_fresh_source(make):
