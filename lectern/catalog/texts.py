@@ -129,16 +129,17 @@ def prompts(spark, sf):
 _KEYS = list(S.TEMPLATE_CATALOG)
 _KEY_SQL = "[" + ", ".join(f"'{k}'" for k in _KEYS) + "]"
 _NAMED = f"""named AS (
-  SELECT doc_id, doc_id // 8 AS prio, {_KEY_SQL}[doc_id % 8 + 1] AS key,
+  SELECT doc_id, n_chars * 1000000000 + doc_id AS prio, {_KEY_SQL}[doc_id % 8 + 1] AS key,
          CASE WHEN doc_id % 8 IN (6, 7) AND n_chars % 2 = 0 THEN 1 ELSE 0 END AS age,
          text || CASE lang WHEN 'en' THEN ' {{{{text}}}}' WHEN 'fr' THEN ' {{{{oops}}}} {{{{text}}}}' ELSE '' END AS body
-  FROM documents WHERE n_chars % 3 <> 0),
+  FROM documents),
 best AS (SELECT key, arg_min(doc_id, prio) AS doc_id FROM named GROUP BY key)"""
 _NAMED = _NAMED.replace("{{{{", "{{").replace("}}}}", "}}")
 
 
 def _templates(spark, sf):
-    docs = documents(spark, sf).filter("n_chars % 3 <> 0")
+    """One template folder per document; shorter documents come first."""
+    docs = documents(spark, sf)
     key = F.element_at(F.array(*[F.lit(k) for k in _KEYS]), (F.col("doc_id") % 8 + 1).cast("int"))
     old = (F.col("doc_id") % 8 >= 6) & (F.col("n_chars") % 2 == 0)
     name = key
@@ -147,7 +148,7 @@ def _templates(spark, sf):
     tail = F.when(F.col("lang") == "en", " {{text}}").when(F.col("lang") == "fr", " {{oops}} {{text}}").otherwise("")
     return docs.select(
         F.concat(F.lit("root"), F.col("doc_id").cast("string")).alias("root"),
-        F.floor(F.col("doc_id") / 8).alias("root_priority"), name.alias("name"), F.concat("text", tail).alias("body"))
+        (F.col("n_chars") * 1_000_000_000 + F.col("doc_id")).alias("root_priority"), name.alias("name"), F.concat("text", tail).alias("body"))
 
 
 @query("b11_template_choice", f"""WITH {_NAMED}

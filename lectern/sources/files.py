@@ -58,8 +58,7 @@ def _quote(path: str) -> str:
 def numbered(recordings: DataFrame) -> DataFrame:
     """Recordings with ``run_index`` by relative path and ``total_runs``."""
     rows = ordered.number_all(recordings, ["rel_path"], "run_index")
-    total = rows.agg(F.count(F.lit(1)).alias("total_runs"))
-    return rows.crossJoin(F.broadcast(total))  # one row
+    return rows.withColumn("total_runs", F.lit(rows.count()))
 
 
 def whole_texts(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:

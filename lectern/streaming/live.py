@@ -31,9 +31,9 @@ def _start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int],
     return writer.start()
 
 
-def _table(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+def _table(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return (spark.read.schema(schema) if schema else spark.read).option("basePath", path).parquet(path)
+        return spark.read.option("basePath", path).parquet(path)
     except AnalysisException as exc:
         if exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -78,12 +78,8 @@ def live_slots(deltas: DataFrame, path: str, checkpoint: str, once: bool = False
     state_path, level_path = f"{path}/state", f"{path}/levels"
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        states = _table(spark, state_path)
-        carry = None
-        if states is not None:
-            carry = states.filter(F.col("epoch") < epoch).groupBy("resource").agg(
-                F.max_by("start_level", "epoch").alias("start_level"), F.max_by("last_seq", "epoch").alias("last_seq")
-            )
+        # Every batch leaves the full state, so the one before is all it takes.
+        carry = _table(spark, f"{state_path}/epoch={epoch - 1}") if epoch else None
         start = carry.select("resource", "start_level") if carry is not None else None
         levels = ordered.clamped_level(batch, ["resource"], "seq", "delta", "in_use", start=start, **kw)
         if carry is not None:

@@ -39,3 +39,22 @@ class Condenser:
 class Broken:
     def generate(self, model, prompt, temperature):
         return ca.Reply("{}" if prompt.startswith("M[1] fine") else "" if prompt.startswith("R") else "nonsense")
+
+
+class Staged:
+    """Answers by the first word of the prompt, one behaviour per stage."""
+
+    def generate(self, model, prompt, temperature):
+        kind, _, text = prompt.partition(":")
+        if kind == "classify":
+            rows = [{"span_id": int(line[1:line.index("]")]), "action": "REMOVE" if "chatter" in line else "KEEP"}
+                    for line in text.splitlines() if line.startswith("[")]
+            return ca.Reply(json.dumps(rows), 10, 5)
+        if kind == "map":
+            lines = [line for line in text.splitlines() if line.startswith("[")]
+            blocks = [{"from_paragraph": i, "to_paragraph": i, "title": f"T{i}", "body": line.split("] ", 1)[1]}
+                      for line in lines for i in [int(line[1:line.index("]")])]]
+            return ca.Reply(json.dumps({"blocks": blocks}))
+        if kind == "reduce":
+            return ca.Reply("\n\n".join(b["body"] for b in json.loads(text)))
+        return ca.Reply(f"{kind}({text})" if kind in ("translate", "polish") else text.replace(" uh", ""))
