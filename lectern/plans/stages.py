@@ -44,10 +44,24 @@ def _prompted(rows: DataFrame, body: str, values, stage: str, phase: str, setup:
     })
 
 
-def _completed(costs: DataFrame, rejected: DataFrame, caps: ca.Caps) -> DataFrame:
+def _admitted(prompts: DataFrame, setup: ModelSetup, **kw) -> tuple[DataFrame, DataFrame]:
+    """Prompts within budget and the groups over it. Only paid calls have one."""
+    if setup.provider != S.PAID_PROVIDER:
+        return prompts, _no_groups(prompts)
+    return ca.admit(prompts, caps=setup.caps, **kw)
+
+
+def _no_groups(prompts: DataFrame) -> DataFrame:
+    return prompts.select("run_id", "stage", F.lit(None).cast("string").alias("breach")).limit(0)
+
+
+def _stopped(costs: DataFrame, rejected: DataFrame, setup: ModelSetup) -> DataFrame:
     """Groups stopped by a run-time cap, added to those stopped before calling."""
-    late = ca.cap_breaches(costs, caps=caps).select("run_id", "stage", "breach")
-    return rejected.select("run_id", "stage", "breach").unionByName(late).distinct()
+    before = rejected.select("run_id", "stage", "breach")
+    if setup.provider != S.PAID_PROVIDER:
+        return before
+    late = ca.cap_breaches(costs, caps=setup.caps).select("run_id", "stage", "breach")
+    return before.unionByName(late).distinct()
 
 
 def text_transform(
@@ -73,14 +87,14 @@ def text_transform(
         "prompts",
     )
     upper = ordered.largest(prompts, "batch_id")
-    ready, rejected = ca.admit(prompts, caps=setup.caps, upper=upper)
+    ready, rejected = _admitted(prompts, setup, upper=upper)
     answered = write_and_read(ca.call_model(ready, setup.make, tasks=setup.tasks), "calls")
     costs = ca.running_costs(answered, upper=upper)
-    stopped = _completed(costs, rejected, setup.caps)
-    done = ordered.attach(
-        answered, texts.select("run_id").join(stopped, "run_id", "left_anti"), ["run_id"], "batch_id", upper=upper
-    )
+    stopped = _stopped(costs, rejected, setup)
     runs = texts.select("run_id").join(stopped, "run_id", "left_anti")
+    done = answered
+    if setup.provider == S.PAID_PROVIDER:
+        done = ordered.attach(answered, runs, ["run_id"], "batch_id", upper=upper)
     out = sh.reassemble(done, ["run_id"], "batch_id", "response", runs=runs, upper=upper)
     extra = {}
     if with_edits:
@@ -104,13 +118,13 @@ def classify(
         .withColumn("input_chars", F.length("prompt").cast("bigint")).drop("lines"),
         "prompts",
     )
-    ready, rejected = ca.admit(prompts, caps=setup.caps)
+    ready, rejected = _admitted(prompts, setup)
     attempts, dead = ca.repair_rounds(
         ready, setup.make, rs.parse_decisions, repair, retries=retries, tasks=setup.tasks
     )
     attempts = attempts.withColumn("input_chars", F.length("prompt").cast("bigint"))
     costs = ca.running_costs(attempts)
-    stopped = _completed(costs, rejected, setup.caps).unionByName(
+    stopped = _stopped(costs, rejected, setup).unionByName(
         dead.select("run_id", "stage", F.lit("invalid_json").alias("breach"))
     ).distinct()
     runs = texts.select("run_id").join(stopped, "run_id", "left_anti")
@@ -142,7 +156,7 @@ def condense(
         .drop("lines").withColumn("retry_index", F.lit(0)),
         "prompts",
     )
-    ready, over = ca.admit(prompts, caps=setup.caps)
+    ready, over = _admitted(prompts, setup)
     mapped = write_and_read(rs.parse_blocks(ca.call_model(ready, setup.make, tasks=setup.tasks)), "mapped")
     unread = mapped.filter(F.col("parsed").isNull()).select("run_id", "stage", F.lit("invalid_json").alias("breach"))
     stopped = over.select("run_id", "stage", "breach").unionByName(unread).distinct()
@@ -166,7 +180,7 @@ def condense(
         .withColumns({"batch_id": F.lit(2_147_483_647), "retry_index": F.lit(0)}),
         "prompts",
     )
-    ready2, over2 = ca.admit(reduce, caps=setup.caps, upper=0)
+    ready2, over2 = _admitted(reduce, setup, upper=0)
     reduced = write_and_read(ca.call_model(ready2, setup.make, tasks=setup.tasks), "reduced")
     keep = reduced.columns
     attempts = mapped.select(*keep).unionByName(reduced)
@@ -175,7 +189,7 @@ def condense(
         "batch_id", F.when(F.col("phase") == "reduce", F.lit(upper + 1)).otherwise(F.col("batch_id"))
     )
     costs = ca.running_costs(ranked, upper=upper + 1)
-    stopped = stopped.unionByName(_completed(costs, over2, setup.caps)).distinct()
+    stopped = stopped.unionByName(_stopped(costs, over2, setup)).distinct()
     final = reduced.join(bl.block_bodies(candidates), "run_id", "left").select(
         "run_id", sh.final_condensed(F.col("response"), F.col("bodies")).alias("text"), F.lit(1).alias("one")
     )
