@@ -245,7 +245,7 @@ def repair_rounds(
     ``parse`` adds ``parsed`` (null when unusable) and ``parse_error``.
     Returns (all attempts, dead letters: batches that never parsed).
     """
-    holes = set(_named_holes(repair_body)) - {"original_prompt", "bad_response"}
+    holes = pr.hole_names(repair_body) - {"original_prompt", "bad_response"}
     if holes:
         raise pr.TemplateError(f"Missing prompt template values for repair: {', '.join(sorted(holes))}")
     todo = prompts.withColumn("_original", F.col("prompt"))
@@ -265,9 +265,3 @@ def repair_rounds(
         todo = failed.withColumn("prompt", ask).select(*todo.columns)
     dead = last.filter(F.col("parsed").isNull()).select(*keys, "parse_error")
     return attempts.drop("_original"), dead
-
-
-def _named_holes(body: str) -> list[str]:
-    import re
-
-    return re.findall(pr.HOLE, body)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern import schemas as S
@@ -22,6 +24,11 @@ def holes(body: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(body, F.lit(HOLE), F.lit(1))))
 
 
+def hole_names(body: str) -> set[str]:
+    """Holes of a template text known when the plan is built."""
+    return set(re.findall(HOLE, body))
+
+
 def fill(body: Column, values: dict[str, Column]) -> Column:
     """Substitute holes in the order the values are given."""
     out = body
@@ -98,7 +105,7 @@ def catalog(spark) -> DataFrame:
 
 def audit_templates(resolved: DataFrame, known: DataFrame) -> DataFrame:
     """B11 audit: holes nobody fills (reject) and recommended ones left out (warn)."""
-    return resolved.join(F.broadcast(known), "template_key").select(
+    return resolved.join(known, "template_key").select(
         "template_key",
         F.array_except(holes(F.col("body")), "names").alias("unknown"),
         F.array_sort(F.array_except("names", holes(F.col("body")))).alias("missing"),

@@ -33,7 +33,7 @@ class StageResult:
 
 
 def _prompted(rows: DataFrame, body: str, values, stage: str, phase: str, setup: ModelSetup) -> DataFrame:
-    unknown = set(ca._named_holes(body)) - set(values)
+    unknown = pr.hole_names(body) - set(values)
     if unknown:
         raise pr.TemplateError(f"Missing prompt template values for {stage}: {', '.join(sorted(unknown))}")
     return rows.withColumns({

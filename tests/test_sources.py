@@ -4,7 +4,6 @@ import hashlib
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from lectern import schemas as S
 from lectern.operators import incremental as inc
