@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 import oracle
+from lectern.catalog import QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -16,7 +17,7 @@ def con():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     sql = entry_points.oracle_sql().get(name)
