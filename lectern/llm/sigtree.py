@@ -12,19 +12,19 @@ have, and pairs that cannot reach the threshold are dropped with everything belo
 compared by the sets themselves.
 
 Only components are wanted, so links are looked for in three turns: each text with the first of its
-cell; then each with its likeliest partner outside its component; then every pair of a cell that
-the tree leaves and that lies in two components. Each turn joins what the one before found.
+cell; then every pair of a cell that the trees leave and that lies in two components, or, where such
+pairs are many, each text with its likeliest partner; then what is left of those cells. Each turn
+starts from the components that the one before found.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.llm.words import Block, as_bytes, blocks, mix, whole_windows, windows
@@ -40,6 +40,8 @@ OFTEN = 6
 CELL = 1500
 #: Numbers that ids are hashed to when texts are picked out; all of them are 8 MB.
 PICK = 1 << 20
+#: Pairs a text in a cell from which on it is settled in two turns.
+CROWD = 4.0
 LEAST_BITS, MOST_BITS = 64, 1 << 16
 
 
@@ -126,20 +128,22 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) ->
     return docs.mapInPandas(run, f"token bigint, doc_id {dict(docs.dtypes)['doc_id']}, often boolean")
 
 
+def bucket() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(PICK)).cast("int").alias("_pick")
+
+
 def picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id is in ids. What goes to all tasks is at most PICK numbers; texts
-    that those let through are few more than wanted while ids are far fewer than PICK."""
-    number = F.pmod(F.xxhash64("doc_id"), F.lit(PICK)).cast("int").alias("_pick")
-    few = F.broadcast(ids.select(number).distinct())
-    near = docs.withColumn("_pick", number).join(few, "_pick", "left_semi").drop("_pick")
-    return near.join(ids, "doc_id", "left_semi")
+    """Rows of docs whose doc_id may be in ids: those that share its number of PICK, which are few
+    more while ids are far fewer than PICK, and all at worst. No text is shuffled; what goes to all
+    tasks is at most PICK numbers."""
+    few = F.broadcast(ids.select(bucket()).distinct())
+    return docs.withColumn("_pick", bucket()).join(few, "_pick", "left_semi").drop("_pick")
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of docs whose doc_id is not in ids. Only texts whose hash number one of ids shares are shuffled."""
-    number = F.pmod(F.xxhash64("doc_id"), F.lit(PICK)).cast("int").alias("_pick")
-    few = F.broadcast(ids.select(number).distinct())
-    marked = docs.withColumn("_pick", number)
+    few = F.broadcast(ids.select(bucket()).distinct())
+    marked = docs.withColumn("_pick", bucket())
     near = marked.join(few, "_pick", "left_semi").join(ids, "doc_id", "left_anti")
     return marked.join(few, "_pick", "left_anti").unionByName(near).drop("_pick")
 
@@ -149,10 +153,9 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def verified(edges: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """Those edges (a, b) whose texts link."""
-    ids = edges.select(F.col("a").alias("doc_id")).union(edges.select("b")).distinct()
-    texts = write_and_read(picked(docs, ids), "link-texts")
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    firsts, seconds = (edges.select(F.col(k).alias("doc_id")).distinct() for k in "ab")
+    left = picked(docs, firsts).select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    right = picked(docs, seconds).select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, np.ndarray] = {}
@@ -277,27 +280,115 @@ def dual(one: Tree, two: Tree, same: bool, percent: int) -> tuple[np.ndarray, np
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
-def cell_pairs(cell: pd.DataFrame, best: bool, percent: int) -> pd.DataFrame:
-    """Pairs of a cell in two components that can link; with `best` each text's likeliest only."""
-    cell = cell.sort_values(["n", "bits"], ignore_index=True)
-    maps = folded(cell["bits"].tolist())
-    sizes, roots, ids = cell["n"].to_numpy(np.int64), cell["root"].to_numpy(), cell["doc_id"].to_numpy()
-    side = cell["side"].to_numpy()
-    parts = [np.flatnonzero(side == k) for k in (0, 1)]
-    if len(parts[1]):
-        a, b = dual(*(Tree(sizes[p], maps[p]) for p in parts), False, percent) if len(parts[0]) else (parts[0], parts[0])
+#: Cells of up to so many texts are compared text by text, many cells at once; a tree would be as wide.
+FEW = 24
+
+
+class Maps:
+    """Bitmaps of many texts, by width, for comparing pairs of any widths."""
+
+    def __init__(self, maps: list[bytes]):
+        self.wide = np.array([len(m) // 8 for m in maps])
+        self.place, self.rows = np.zeros(len(maps), np.int64), {}
+        for w in np.unique(self.wide):
+            mine = np.flatnonzero(self.wide == w)
+            self.place[mine] = np.arange(len(mine))
+            self.rows[w] = np.frombuffer(b"".join(maps[i] for i in mine), np.uint64).reshape(-1, w)
+
+    def row(self, at: np.ndarray, width: int, to: int) -> np.ndarray:
+        full = self.rows[width][self.place[at]]
+        return full if to == width else np.bitwise_or.reduce(full.reshape(len(at), -1, to), axis=1)
+
+    def overlap(self, a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each pair the largest possible overlap, and the bits in common."""
+        most, common = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
+        pair = self.wide[a] * (1 << 20) + self.wide[b]
+        for code in np.unique(pair):
+            for mine in np.array_split(at := np.flatnonzero(pair == code), 1 + len(at) // STEP):
+                wa, wb = int(code >> 20), int(code & ((1 << 20) - 1))
+                x, y = self.row(a[mine], wa, min(wa, wb)), self.row(b[mine], wb, min(wa, wb))
+                lack = [np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64) for p, q in ((x, y), (y, x))]
+                most[mine] = np.minimum(sizes[a[mine]] - lack[0], sizes[b[mine]] - lack[1])
+                common[mine] = np.bitwise_count(x & y).sum(axis=1, dtype=np.int64)
+        return most, common
+
+
+def tree_pairs(sizes: np.ndarray, side: np.ndarray, maps: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of one cell's texts that the trees leave: within the cell, or between its sides if it has two."""
+    order = np.array(sorted(range(len(maps)), key=lambda i: (sizes[i], maps[i])))
+    rows = folded([maps[i] for i in order])
+    if side.any() and not side.all():
+        parts = [np.flatnonzero(side[order] == k) for k in (0, 1)]
+        a, b = dual(*(Tree(sizes[order][p], rows[p]) for p in parts), False, percent)
         a, b = parts[0][a], parts[1][b]
     else:
-        a, b = dual(tree := Tree(sizes, maps), tree, True, percent)
-    apart = roots[a] != roots[b]
-    a, b = a[apart], b[apart]
-    if best and len(a):
-        common = np.bitwise_count(maps[a] & maps[b]).sum(axis=1, dtype=np.int64) / (sizes[a] + sizes[b])
-        x, y, c = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([common, common])
-        order = np.lexsort((ids[y], -c, x))
-        first = order[np.concatenate([[True], x[order][1:] != x[order][:-1]])]
-        a, b = x[first], y[first]
-    return pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b])})
+        a, b = dual(tree := Tree(sizes[order], rows), tree, True, percent)
+    return order[a], order[b]
+
+
+def pairs_of(cell: np.ndarray, rows: pd.DataFrame, few: float, percent: int) -> pd.DataFrame:
+    """Pairs in two components that can link, for rows in order of their cell; two_sided cells pair
+    side with side. Of a cell with more than `few` pairs a text only each text's likeliest partner
+    is told, and the cell's shingle with it: `token` of its pairs is not null."""
+    sizes, roots, side = rows["n"].to_numpy(np.int64), rows["root"].to_numpy(), rows["side"].to_numpy()
+    ids, maps = rows["doc_id"].to_numpy(), rows["bits"].tolist()
+    edges = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1], [True]]))
+    count = np.repeat(np.diff(edges), np.diff(edges))
+    two_sided = rows["i"].to_numpy() != rows["j"].to_numpy()
+    two_sided |= rows["low"].to_numpy() % 2 == 1
+    left, right = [], []
+    for k in range(1, FEW):
+        a = np.flatnonzero((count[:-k] <= FEW) & (cell[:-k] == cell[k:])) if len(cell) > k else np.zeros(0, np.int64)
+        left.append(a)
+        right.append(a + k)
+    for begin, end in zip(edges[:-1], edges[1:]):
+        if end - begin > FEW:
+            mine = slice(begin, end)
+            if two_sided[begin] and (side[mine].all() or not side[mine].any()):
+                continue
+            a, b = tree_pairs(sizes[mine], side[mine], maps[mine], percent)
+            left.append(a + begin)
+            right.append(b + begin)
+    a, b = np.concatenate(left), np.concatenate(right)
+    low, high = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+    fit = (roots[a] != roots[b]) & (100 * low >= percent * high) & (~two_sided[a] | (side[a] != side[b]))
+    a, b = a[fit], b[fit]
+    most, common = Maps(maps).overlap(a, b, sizes)
+    fit = (100 + percent) * most >= percent * (sizes[a] + sizes[b])
+    a, b, common = a[fit], b[fit], common[fit]
+    size = np.bincount(cell)
+    crowded = np.bincount(cell[a], minlength=len(size)) > few * size
+    short = crowded[cell[a]]
+    x, y, c = (np.concatenate(z)[np.concatenate([short] * 2)] for z in ([a, b], [b, a], [common / (sizes[a] + sizes[b])] * 2))
+    order = np.lexsort((ids[y], -c, x))
+    first = order[np.concatenate([[True], x[order][1:] != x[order][:-1]])] if len(x) else order
+    a, b = np.concatenate([a[~short], x[first]]), np.concatenate([b[~short], y[first]])
+    token = pd.array(rows["token"].to_numpy()[a], "Int64")
+    token[: (~short).sum()] = pd.NA
+    return pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "token": token}).drop_duplicates()
+
+
+CELL_KEY = ["token", "low", "i", "j"]
+
+
+def candidate_pairs(marked: DataFrame, few: float, percent: int) -> DataFrame:
+    """Pairs of all cells; a task takes whole cells in order, as many at once as a batch holds."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
+            keys = held[CELL_KEY].to_numpy()
+            new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
+            last = np.flatnonzero(new)[-1]  # this cell may go on in the next batch
+            if last:
+                yield pairs_of(np.cumsum(new)[:last], held.iloc[:last], few, percent)
+                held = held.iloc[last:]
+        if held is not None:
+            yield pairs_of(np.zeros(len(held), np.int64), held, few, percent)
+
+    kind = dict(marked.dtypes)["doc_id"]
+    return marked.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInPandas(run, f"a {kind}, b {kind}, token bigint")
 
 
 def cells(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -313,20 +404,22 @@ def cells(members: DataFrame, roots: DataFrame) -> DataFrame:
     chosen = mixed.filter("_r1 <> _r2").groupBy("_count", "_x", "_y").agg(F.min("token").alias("token")).select("token")
     open_ = known.join(chosen, "token").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 1e-9).cast("int"))
     open_ = write_and_read(open_, "cell-members")
-    counts = open_.groupBy("token", "class").agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / CELL)).cast("int").alias("cuts"))
+    counts = open_.groupBy("token", "class").agg(
+        F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cuts"), F.count(F.lit(1)).alias("texts"))
     near = counts.select("token", (F.col("class") - 1).alias("class"), F.col("cuts").alias("above"))
     before = counts.select("token", (F.col("class") + 1).alias("class"), F.col("cuts").alias("below"))
+    counts = counts.withColumn("alone", F.col("texts") == 1).drop("texts")
     cuts = counts.join(near, ["token", "class"], "left").join(before, ["token", "class"], "left").fillna(0, ["above", "below"])
     dealt = open_.join(cuts, ["token", "class"]).withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int"))
     upto = lambda n, f: F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), f))
     at = lambda low, i, j, side: F.struct(low.alias("low"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
     mine, none = F.col("mine"), F.lit(-1)
     # with its own class: blocks (i, j), i <= j; block i stands on side 0, block j on side 1, i = j alone
-    own = upto(F.col("cuts"), lambda j: at(F.col("class") * 2, F.least(mine, j), F.greatest(mine, j), mine > j))
+    own = upto(F.when(~F.col("alone"), F.col("cuts")).otherwise(0), lambda j: at(F.col("class") * 2, F.least(mine, j), F.greatest(mine, j), mine > j))
     up = upto(F.col("above"), lambda j: at(F.col("class") * 2 + 1, mine, j, F.lit(0)))
     down = upto(F.col("below"), lambda j: at(F.col("class") * 2 - 1, j, mine, F.lit(1)))
-    every = F.concat(own, F.coalesce(up, F.array().cast(dealt.select(own.alias("x")).schema["x"].dataType)),
-                     F.coalesce(down, F.array().cast(dealt.select(own.alias("x")).schema["x"].dataType)))
+    empty = F.array().cast("array<struct<low: int, i: int, j: int, side: int>>")
+    every = F.concat(*(F.coalesce(x, empty) for x in (own, up, down)))
     return dealt.select("token", "doc_id", "n", "root", F.explode(every).alias("c")).select("token", "doc_id", "n", "root", "c.*")
 
 
@@ -371,20 +464,18 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     stars = members.join(leads.filter("times > 1"), "token").filter((F.col("doc_id") > F.col("lead.doc_id")) & fits)
     tested = write_and_read(stars.select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "edges")
     links = verified(tested, named, width, percent)
-    # second turn, then the rest: by the trees
-    for best in (True, False):
+    # second turn by the trees; third, if need be, for the cells that were cut short
+    for few in (CROWD, float("inf")):
         roots = write_and_read(components(links), "roots")
         dealt = cells(members, roots)
-        ids = dealt.select("doc_id").distinct()
-        marked = dealt.join(bitmaps(picked(named, ids), width), "doc_id")
-
-        kind = dict(docs.dtypes)["doc_id"]
-        found = marked.groupBy("token", "low", "i", "j").applyInPandas(partial(cell_pairs, best=best, percent=percent), f"a {kind}, b {kind}").distinct()
-        found = write_and_read(found.join(tested, ["a", "b"], "left_anti"), "edges")
-        if found.isEmpty():
-            continue
-        links = links.union(verified(found, named, width, percent))
-        tested = tested.union(found)
+        marks = bitmaps(picked(named, dealt.select("doc_id").distinct()), width)
+        found = write_and_read(candidate_pairs(dealt.join(marks, "doc_id"), few, percent), "pairs")
+        new = write_and_read(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "edges")
+        links = links.union(verified(new, named, width, percent))
+        left = found.select("token").distinct().filter("token IS NOT NULL")
+        if left.isEmpty():
+            break
+        members, tested = members.join(left, "token"), tested.union(new)
     same = copies.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     roots = write_and_read(components(links.union(same)), "roots").withColumnRenamed("node", "doc_id")
     return rows.select("doc_id", "n").join(roots, "doc_id", "left").select(
