@@ -88,7 +88,7 @@ SELECT run_id, 0::INT AS part, {_quoted(rv._HEAD)} || chr(10) || '  <p class="su
 FROM b""")
 def review_report(spark, sf):
     # Reports of a whole source can pass the default part size at larger scales.
-    return rv.review_report(rv.sentence_table(_decided(spark, sf)), _doc_spans(spark, sf).select("run_id"), part_rows=1 << 24)
+    return rv.review_report(rv.sentence_table(_decided(spark, sf)), _doc_spans(spark, sf).select("run_id"))
 
 
 @query("f6_line_changes", """WITH b AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),

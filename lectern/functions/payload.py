@@ -50,8 +50,8 @@ def as_whole_number(value: Column) -> Column:
     def read(v: Column) -> Column:
         raw = F.trim(F.try_variant_get(v, "$", "string"))
         # 1, "1", 1.0 and "1.0" all start with the digits and a zero fraction.
-        digits = F.regexp_extract(raw, r"\A([+-]?\d+)(\.0+)?\z", 1).try_cast("int")
-        return F.when(F.schema_of_variant(v) == "BOOLEAN", F.try_variant_get(v, "$", "int")).otherwise(digits)
+        digits = F.regexp_extract(raw, r"\A([+-]?\d+)(\.0+)?\z", 1).try_cast("bigint")
+        return F.when(F.schema_of_variant(v) == "BOOLEAN", F.try_variant_get(v, "$", "bigint")).otherwise(digits)
 
     return let(value, read)
 

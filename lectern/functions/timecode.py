@@ -41,11 +41,11 @@ def _little_endian(content: Column, at: Column, width: int) -> Column:
     return F.conv(F.concat(*pairs), 16, 10).cast("bigint")
 
 
-def wav_seconds(content: Column, nominal: Column, max_chunks: int = 64) -> Column:
+def wav_seconds(content: Column, nominal: Column, usual_chunks: int = 64) -> Column:
     """Frames / frame rate read from a RIFF header, else the nominal length.
 
-    Walks the chunk list to 'fmt ' and 'data'; ``max_chunks`` only bounds the
-    number of header chunks looked at before the samples.
+    Walks the chunk list to 'fmt ' and 'data'. A file whose samples do not begin
+    within ``usual_chunks`` chunks is walked to its end (a chunk has 8 bytes at least).
     """
     def tag(at: Column, width: int = 4) -> Column:
         return F.hex(F.substring(content, at + 1, F.lit(width)))
@@ -73,7 +73,11 @@ def wav_seconds(content: Column, nominal: Column, max_chunks: int = 64) -> Colum
             F.when(live & (name == data), size).otherwise(acc["bytes"]).alias("bytes"),
         )
 
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(max_chunks)), zero, step)
+    def walk(acc: Column) -> Column:
+        rest = F.aggregate(F.sequence(F.lit(0), F.floor((total - acc["at"]) / 8).cast("int")), acc, step)
+        return F.when(acc["bytes"].isNull() & (acc["at"] + 8 <= total), rest).otherwise(acc)
+
+    walked = let(F.aggregate(F.sequence(F.lit(1), F.lit(usual_chunks)), zero, step), walk)
     seconds = let(
         walked,
         lambda w: F.when(

@@ -93,7 +93,7 @@ def call_log(costs: DataFrame) -> DataFrame:
         "output_chars": F.length("response").cast("bigint"),
         "cost_usd": usd(F.col("cost")),
         "cum_cost_usd": usd(F.col("cum_cost")),
-    }).drop("cost", "cum_cost")
+    }).drop("cost", "cum_cost", "error")
 
 
 def _cap(value: float) -> Column:
@@ -153,26 +153,36 @@ def cap_breaches(costs: DataFrame, keys=("run_id", "stage"), caps: Caps = Caps()
 # Calling the model
 # ---------------------------------------------------------------------------
 
-_REPLY = "model STRING, temperature DOUBLE, prompt_hash STRING, copies BIGINT, response STRING, in_tok BIGINT, out_tok BIGINT"
+_REPLY = "model STRING, temperature DOUBLE, prompt_hash STRING, copies BIGINT, response STRING, in_tok BIGINT, out_tok BIGINT, error STRING"
 
 
 def _caller(make_model: Callable[[], Model]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_model()
         for rows in batches:
-            replies = [
-                client.generate(m, p, t)
-                for m, p, t in zip(rows["model"], rows["prompt"], rows["temperature"])
-            ]
+            replies, errors = [], []
+            for m, p, t in zip(rows["model"], rows["prompt"], rows["temperature"]):
+                try:
+                    replies.append(client.generate(m, p, t))
+                    errors.append(None)
+                except Exception as problem:  # one failed call must not end the other runs
+                    replies.append(Reply(text="", in_tok=None, out_tok=None))
+                    errors.append(f"{type(problem).__name__}: {problem}")
             out = rows[["model", "temperature", "prompt_hash", "copies"]].copy()
-            out["response"] = [r.text.strip() for r in replies]
+            out["response"] = [None if e else r.text.strip() for r, e in zip(replies, errors)]
             out["in_tok"] = pd.array([r.in_tok for r in replies], dtype="Int64")
             out["out_tok"] = pd.array([r.out_tok for r in replies], dtype="Int64")
+            out["error"] = pd.array(errors, dtype="string")
             yield out
 
     return run
 
 
+def failed_groups(answered: DataFrame, keys=("run_id", "stage")) -> DataFrame:
+    """Groups with a failed call and what went wrong."""
+    return answered.filter("error IS NOT NULL").groupBy(*keys).agg(F.min("error").alias("breach"))
+
+
 def call_model(
     prompts: DataFrame,
     make_model: Callable[[], Model],
@@ -186,9 +196,10 @@ def call_model(
 
     Equal (model, temperature, prompt) rows are called once. ``tasks`` caps
     the parallel calls. Replies are written before anything reads them, so a
-    later action or a lost executor never repeats finished calls. ``known``
-    replies (same columns as the stored ones) are not called again. Turn
-    speculation off for the session that calls a paid model.
+    later action never repeats finished calls; a task that is lost repeats its
+    own. ``known`` replies (same columns as the stored ones) are not called
+    again, failed ones are. A call that raises gives a row with ``error`` and no
+    response. Turn speculation off for the session that calls a paid model.
     """
     keys = ["model", "temperature", "prompt_hash"]
     asked = prompts.withColumn("prompt_hash", F.sha2("prompt", 256))
@@ -196,6 +207,8 @@ def call_model(
         F.first("prompt").alias("prompt"), F.count(F.lit(1)).alias("copies")
     )
     if known is not None:
+        known = known if "error" in known.columns else known.withColumn("error", F.lit(None).cast("string"))
+        known = known.filter("error IS NULL")
         unique = unique.join(known.select(*keys), keys, "left_anti")
     # A fixed number of tasks: calls are slow, so their bytes say nothing about
     # how few tasks would do.
@@ -243,7 +256,8 @@ def repair_rounds(
     """Call, parse, re-ask the failed ones; at most ``retries`` + 1 rounds.
 
     ``parse`` adds ``parsed`` (null when unusable) and ``parse_error``.
-    Returns (all attempts, dead letters: batches that never parsed).
+    Returns (all attempts, dead letters: batches that never parsed). A failed
+    call is an attempt with ``error``; it is not asked again.
     """
     holes = pr.hole_names(repair_body) - {"original_prompt", "bad_response"}
     if holes:
@@ -256,12 +270,12 @@ def repair_rounds(
         # Written once per round: the next round and the log both read it.
         last = write_and_read(parse(answered), "round")
         attempts = last if attempts is None else attempts.unionByName(last)
-        failed = last.filter(F.col("parsed").isNull())
+        failed = last.filter("parsed IS NULL AND error IS NULL")
         if attempt == retries or failed.isEmpty():
             break
         ask = pr.fill(F.lit(repair_body), {
             "original_prompt": F.col("_original"), "bad_response": F.col("response"),
         })
         todo = failed.withColumn("prompt", ask).select(*todo.columns)
-    dead = last.filter(F.col("parsed").isNull()).select(*keys, "parse_error")
+    dead = last.filter("parsed IS NULL AND error IS NULL").select(*keys, "parse_error")
     return attempts.drop("_original"), dead

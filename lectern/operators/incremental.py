@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions import text as tx
 from lectern.operators import ordered
@@ -25,32 +25,14 @@ def artifacts(files: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
-def input_signatures(
-    expected: DataFrame, found: DataFrame, keys=("run_id", "stage"), *, bulk_inputs: int = 1 << 16
-) -> DataFrame:
-    """'path:sha256' lines in path order; an absent file is '<missing>'.
-
-    A stage with more than ``bulk_inputs`` files is signed in two levels: the
-    digests of 1024 hash buckets of its lines, in bucket order. That is still
-    equal exactly when the inputs are, and no group grows without bound.
-    """
+def input_signatures(expected: DataFrame, found: DataFrame, keys=("run_id", "stage")) -> DataFrame:
+    """'path:sha256' lines in path order, at any number of files; an absent file is '<missing>'."""
     keys = list(keys)
     line = F.concat_ws(":", F.col("path"), F.coalesce(F.col("sha256"), F.lit(MISSING)))
-    lines = expected.select(*keys, "path").distinct().join(
-        found.select("path", "sha256"), "path", "left"
-    ).select(*keys, "path", line.alias("line"))
-    # At most inputs / bulk_inputs rows.
-    bulk = expected.select(*keys, "path").distinct().groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n")
-    ).filter(F.col("_n") > bulk_inputs).select(*keys, F.lit(True).alias("_bulk"))
-    bucket = F.when(F.col("_bulk"), F.pmod(F.xxhash64("path"), F.lit(1024))).otherwise(F.lit(0))
-    joined = F.array_join(F.transform("_l", lambda x: x.line), "\n")
-    buckets = lines.join(bulk, keys, "left").groupBy(*keys, "_bulk", bucket.alias("_b")).agg(
-        F.array_sort(F.collect_list(F.struct("path", "line"))).alias("_l")
-    ).select(*keys, "_b", F.when(F.col("_bulk"), F.sha2(joined, 256)).otherwise(joined).alias("line"))
-    return buckets.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("_b", "line"))).alias("_l")
-    ).select(*keys, joined.alias("inputs_signature"))
+    lines = expected.select(*keys, "path").distinct().join(found.select("path", "sha256"), "path", "left")
+    return lines.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("path", line.alias("line")))).alias("_l")).select(
+        *keys, F.array_join(F.col("_l.line"), "\n").alias("inputs_signature")
+    )
 
 
 def params_signature(params: Column) -> Column:
@@ -106,12 +88,12 @@ def fresh_source(edited: DataFrame, condensed: DataFrame, manifests: DataFrame,
 
 
 def best_output(texts: DataFrame, run: str = "run_id", preference=("s10", "s09", "s08", "s07")) -> DataFrame:
-    """the most advanced text of each run."""
+    """the most advanced text of each run, all its rows; only names are shuffled to choose it."""
     rank = F.array_position(F.array(*[F.lit(s) for s in preference]), F.col("stage"))
-    others = [c for c in texts.columns if c != run]
-    return texts.withColumn("_rank", rank).filter("_rank > 0").groupBy(run).agg(
-        F.min_by(F.struct(*others), "_rank").alias("b")
-    ).select(run, "b.*")
+    chosen = texts.select(run, "stage", rank.alias("_rank")).filter("_rank > 0").groupBy(run).agg(
+        F.min_by("stage", "_rank").alias("stage")
+    )
+    return texts.join(chosen, [run, "stage"], "left_semi")
 
 
 def mapping_problems(mapping: DataFrame) -> DataFrame:
@@ -147,8 +129,8 @@ def file_stem(path: Column) -> Column:
 
 def _suffix(name: Column) -> tuple[Column, Column]:
     """'x-7' -> (x, 7); null where the name has no numeric suffix >= 2."""
-    canonical = r"(?s)\A(.+)-([1-9]\d{0,8})\z"
-    k = F.regexp_extract(name, canonical, 2).try_cast("int")
+    canonical = r"(?s)\A(.+)-([1-9]\d*)\z"
+    k = F.regexp_extract(name, canonical, 2).try_cast("bigint")
     return F.when(k >= 2, F.regexp_extract(name, canonical, 1)), F.when(k >= 2, k)
 
 
@@ -249,10 +231,16 @@ def _settle(contested, ranked, slots, bases, slice_rows):
             own = lost.filter("k = 1").select("base", F.lit(1).alias("_own"))
             ready = ready.join(own, "base", "left")
             shift = F.coalesce("_own", F.lit(0))
-        step = ready.withColumn("_shift", shift).groupBy("base", "_rows", "_shift").agg(
+        # Beyond the suffixes that the base's rows can reach, even if every contested
+        # name below is free, the holder keeps its name: nothing to walk there.
+        before = F.row_number().over(Window.partitionBy("base").orderBy("k")) - 1
+        ready = ready.withColumn("_shift", shift).withColumn("_before", before)
+        ready = cut_lineage(ready.withColumn("_far", F.col("k") - F.col("below") - F.col("_shift") - F.col("_before") > F.col("_rows")))
+        far = ready.filter("_far").select("base", F.struct("k", "holder", F.lit(True).alias("wins")).alias("d"))
+        step = ready.filter("NOT _far").groupBy("base", "_rows", "_shift").agg(
             F.array_sort(F.collect_list(F.struct("k", "ahead", "below", "holder"))).alias("c")
         )
-        zero = F.struct(F.lit(0).cast("bigint").alias("gone"), F.array().cast("array<struct<k:int,holder:string,wins:boolean>>").alias("out"))
+        zero = F.struct(F.lit(0).cast("bigint").alias("gone"), F.array().cast("array<struct<k:bigint,holder:string,wins:boolean>>").alias("out"))
 
         def fold(acc: Column, c: Column) -> Column:
             n = c.k - c.below - F.col("_shift") - acc.gone
@@ -263,6 +251,7 @@ def _settle(contested, ranked, slots, bases, slice_rows):
             )
 
         ruled = step.select("base", F.explode(F.aggregate("c", zero, fold, lambda a: a.out)).alias("d"))
+        ruled = ruled.unionByName(far)
         now = ruled.select(
             F.when(F.col("d.wins"), F.col("base")).otherwise(F.col("d.holder")).alias("base"),
             F.when(F.col("d.wins"), F.col("d.k")).otherwise(F.lit(1)).alias("k"),

@@ -18,7 +18,8 @@ from lectern.functions import text as tx
 from lectern.session import cut_lineage
 
 SLICE_ROWS = 1 << 18
-PART_ROWS = 1 << 14
+# Pieces that one task gathers at a time on the way to a whole text.
+GATHER_ROWS = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -216,15 +217,16 @@ def assemble(
     drop_blank: bool = False,
     terminate: bool = True,
     runs: DataFrame | None = None,
-    part_rows: int = PART_ROWS,
+    part_rows: int | None = None,
     upper: int | None = None,
 ) -> DataFrame:
     """Ordered pieces -> whole texts (keys, part, text).
 
-    A text normally is one row, part 0. A key with more than ``part_rows``
-    ordinals comes as several parts; joining them in order with ``sep`` gives
-    the whole text, stripped at both ends. ``runs`` adds an empty text for
-    keys without rows.
+    A text is one row, part 0, at any size: a long one is gathered in pieces by
+    many tasks, and the pieces are joined. Only a caller that names ``part_rows``
+    gets a key with more ordinals as several parts; joining them in order with
+    ``sep`` gives the whole text, stripped at both ends. ``runs`` adds an empty
+    text for keys without rows.
     """
     if drop_blank:
         rows = rows.filter(~tx.is_blank(F.col(text)))
@@ -235,13 +237,18 @@ def assemble(
     def joined(col: Column) -> Column:
         return F.array_join(F.transform(F.array_sort(col), lambda x: x["_text"]), sep)
 
-    if upper < part_rows:
+    if upper < (part_rows or GATHER_ROWS):
         out = rows.groupBy(*keys).agg(F.collect_list(item).alias("_items")).select(
             *keys, F.lit(0).alias("part"), tx.strip(joined(F.col("_items"))).alias("text"),
             F.lit(True).alias("_last"),
         )
     else:
-        out = _assemble_parts(rows, keys, order, text, item, joined, part_rows)
+        out = _assemble_parts(rows, keys, order, text, item, joined, part_rows or GATHER_ROWS)
+    if upper >= GATHER_ROWS and part_rows is None:
+        parts = F.array_sort(F.collect_list(F.struct("part", "text")))
+        out = out.groupBy(*keys).agg(parts.alias("_parts")).select(
+            *keys, F.lit(0).alias("part"), F.array_join(F.col("_parts.text"), sep).alias("text"), F.lit(True).alias("_last")
+        )
     if runs is not None:
         out = runs.select(*keys).distinct().join(out, keys, "left").select(
             *keys,

@@ -109,13 +109,13 @@ def report_row(number: Column) -> Column:
 
 def review_report(
     sentences: DataFrame, runs: DataFrame, run: str = "run_id", *,
-    slice_rows: int = ordered.SLICE_ROWS, part_rows: int = ordered.PART_ROWS,
+    slice_rows: int = ordered.SLICE_ROWS, part_rows: int | None = None,
     upper: int | None = None,
 ) -> DataFrame:
-    """one HTML page per run (in parts when a run is very long).
+    """one HTML page per run, or its parts of ``part_rows`` ordinals each.
 
-    Head and foot are two more rows of the page; numbering and assembly never
-    gather a run in one task beyond the part size.
+    Head and foot are two more rows of the page. Numbering never gathers a run
+    in one task; a whole page is one value.
     """
     if upper is None:
         upper = ordered.largest(sentences, "span_id")

@@ -89,9 +89,11 @@ def text_transform(
     upper = ordered.largest(prompts, "batch_id")
     ready, rejected = _admitted(prompts, setup, upper=upper)
     answered = write_and_read(ca.call_model(ready, setup.make, tasks=setup.tasks), "calls")
-    costs = ca.running_costs(answered, upper=upper)
-    stopped = _stopped(costs, rejected, setup)
-    runs = texts.select("run_id").join(stopped, "run_id", "left_anti")
+    costs = ca.running_costs(answered.filter("error IS NULL"), upper=upper)
+    failed = ca.failed_groups(answered)
+    stopped = _stopped(costs, rejected, setup).unionByName(failed)
+    runs = texts.select("run_id").distinct().join(stopped, "run_id", "left_anti")
+    answered = answered.join(failed.select("run_id"), "run_id", "left_anti")
     done = answered
     if setup.provider == S.PAID_PROVIDER:
         done = ordered.attach(answered, runs, ["run_id"], "batch_id", upper=upper)
@@ -123,11 +125,11 @@ def classify(
         ready, setup.make, rs.parse_decisions, repair, retries=retries, tasks=setup.tasks
     )
     attempts = attempts.withColumn("input_chars", F.length("prompt").cast("bigint"))
-    costs = ca.running_costs(attempts)
-    stopped = _stopped(costs, rejected, setup).unionByName(
+    costs = ca.running_costs(attempts.filter("error IS NULL"))
+    stopped = _stopped(costs, rejected, setup).unionByName(ca.failed_groups(attempts)).unionByName(
         dead.select("run_id", "stage", F.lit("invalid_json").alias("breach"))
     ).distinct()
-    runs = texts.select("run_id").join(stopped, "run_id", "left_anti")
+    runs = texts.select("run_id").distinct().join(stopped, "run_id", "left_anti")
     upper = ordered.largest(spans, "span_id")
     alive = ordered.attach(spans, runs, ["run_id"], "span_id", upper=upper)
     decided = write_and_read(
@@ -158,9 +160,10 @@ def condense(
     )
     ready, over = _admitted(prompts, setup)
     mapped = write_and_read(rs.parse_blocks(ca.call_model(ready, setup.make, tasks=setup.tasks)), "mapped")
-    unread = mapped.filter(F.col("parsed").isNull()).select("run_id", "stage", F.lit("invalid_json").alias("breach"))
+    unread = mapped.filter(F.col("parsed").isNull()).select(
+        "run_id", "stage", F.coalesce("error", F.lit("invalid_json")).alias("breach"))
     stopped = over.select("run_id", "stage", "breach").unionByName(unread).distinct()
-    runs = texts.select("run_id").join(stopped, "run_id", "left_anti")
+    runs = texts.select("run_id").distinct().join(stopped, "run_id", "left_anti")
 
     found = rs.clamp_blocks(rs.blocks(mapped, ["run_id", "batch_id", "start_paragraph", "end_paragraph"]))
     totals = paragraphs.groupBy("run_id").agg(F.max("span_id").alias("n"))
@@ -188,12 +191,12 @@ def condense(
     ranked = attempts.withColumn(
         "batch_id", F.when(F.col("phase") == "reduce", F.lit(upper + 1)).otherwise(F.col("batch_id"))
     )
-    costs = ca.running_costs(ranked, upper=upper + 1)
-    stopped = stopped.unionByName(_stopped(costs, over2, setup)).distinct()
+    costs = ca.running_costs(ranked.filter("error IS NULL"), upper=upper + 1)
+    stopped = stopped.unionByName(_stopped(costs, over2, setup)).unionByName(ca.failed_groups(reduced)).distinct()
     final = reduced.join(bl.block_bodies(candidates), "run_id", "left").select(
         "run_id", sh.final_condensed(F.col("response"), F.col("bodies")).alias("text"), F.lit(1).alias("one")
     )
-    runs = texts.select("run_id").join(stopped, "run_id", "left_anti")
+    runs = texts.select("run_id").distinct().join(stopped, "run_id", "left_anti")
     out = ordered.assemble(
         final.join(runs, "run_id", "left_semi"), ["run_id"], ["one"], "text", runs=runs, upper=1
     )

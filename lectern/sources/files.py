@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lectern import schemas as S
@@ -85,7 +88,7 @@ def json_rows(spark: SparkSession, path: str, row: str, glob: str = "*.json") ->
     """A5: files holding a JSON array of rows -> (rows, rejected files).
 
     ``pos`` keeps the order inside each file. A file that is not a list, or
-    not JSON, is a reject.
+    not JSON, or has a row with a field of another type, is a reject.
     """
     files = (
         spark.read.option("recursiveFileLookup", True)
@@ -94,9 +97,15 @@ def json_rows(spark: SparkSession, path: str, row: str, glob: str = "*.json") ->
     )
     parsed = files.withColumn("_rows", F.from_json("value", f"array<struct<{row}>>", {"mode": "PERMISSIVE"}))
     is_list = tx.strip(F.col("value")).startswith("[") & F.try_parse_json("value").isNotNull()
-    bad = ~F.coalesce(is_list & F.col("_rows").isNotNull(), F.lit(False))
+    # a field that is there but null after the cast has another type
+    told = F.from_json("value", "array<map<string, string>>", {"mode": "PERMISSIVE"})
+    names = spark.createDataFrame([], row).columns
+    lost = F.exists(F.arrays_zip(F.col("_rows").alias("r"), told.alias("m")), lambda x: reduce(
+        or_, [x["r"][n].isNull() & F.try_element_at(x["m"], F.lit(n)).isNotNull() for n in names]))
+    fine = is_list & F.col("_rows").isNotNull() & ~F.coalesce(lost, F.lit(True))
+    bad = ~F.coalesce(fine, F.lit(False))
     good = parsed.filter(~bad).select("path", F.posexplode("_rows").alias("pos", "r")).select("path", "pos", "r.*")
-    return good, parsed.filter(bad).select("path", F.lit("not a JSON list").alias("problem"))
+    return good, parsed.filter(bad).select("path", F.lit("not a JSON list of such rows").alias("problem"))
 
 
 def require_no_rejects(rejects: DataFrame) -> None:

@@ -58,3 +58,12 @@ class Staged:
         if kind == "reduce":
             return ca.Reply("\n\n".join(b["body"] for b in json.loads(text)))
         return ca.Reply(f"{kind}({text})" if kind in ("translate", "polish") else text.replace(" uh", ""))
+
+
+class Picky:
+    """Fails where the prompt asks for it."""
+
+    def generate(self, model, prompt, temperature):
+        if "boom" in prompt:
+            raise ValueError("no answer")
+        return ca.Reply(text=prompt.upper(), in_tok=None, out_tok=None)

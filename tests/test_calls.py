@@ -1,10 +1,10 @@
-"""Budgets, costs, calling, repair rounds and whole stages."""
+"""Budgets, costs, calling, repair rounds and whole st."""
 
 import pytest
 from pyspark.sql import functions as F
 
-from fakes import Broken, Chatty, Condenser, Never, Upper
-from lectern.operators import calls as ca, prompts as pr
+from fakes import Broken, Chatty, Condenser, Never, Picky, Upper
+from lectern.operators import calls as ca, ordered, prompts as pr
 from lectern.plans import stages as st
 
 
@@ -144,3 +144,21 @@ def test_report_numbers_every_sentence(make, part_rows):
     assert "Two &amp; &quot;x&quot;&#x27;." in page and page.startswith("<!doctype html>") and page.endswith("</html>\n")
     assert (len(parts["r"]) > 1) == (part_rows == 5)
     assert "No sentences available" in "\n".join(parts["none"])
+
+
+def test_failed_call_stops_its_run_only(make):
+    texts = make([("good", "one\n\ntwo"), ("bad", "boom\n\nfine"), ("none", "")], "run_id STRING, text STRING")
+    out = st.text_transform(texts, "s07", "{{text}}", st.ModelSetup(Picky, "m"))
+    assert {r.run_id: r.text for r in out.texts.collect()} == {"good": "ONE\n\nTWO\n", "none": ""}
+    assert [(r.run_id, r.breach) for r in out.rejected.collect()] == [("bad", "ValueError: no answer")]
+    assert {r.run_id for r in out.calls.collect()} == {"good"}
+
+
+def test_long_text_survives_two_stages(make, monkeypatch):
+    monkeypatch.setattr(ordered, "GATHER_ROWS", 3)
+    text = "\n\n".join(f"piece {i}" for i in range(11))
+    texts = make([("r", text)], "run_id STRING, text STRING")
+    setup = st.ModelSetup(Picky, "m")
+    one = st.text_transform(texts, "s07", "{{text}}", setup, max_chars=10).texts
+    two = st.text_transform(one.select("run_id", "text"), "s09", "{{text}}", setup, max_chars=10).texts
+    assert [r.text for r in two.collect()] == [text.upper() + "\n"]

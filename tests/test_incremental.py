@@ -42,8 +42,18 @@ def test_input_signature(make):
     assert row.inputs_signature == f"/a:{sha}\n/b:<missing>"
     assert found.head().bytes == 1
     many = make([("r", "s05", f"/{i}") for i in range(50)], "run_id STRING, stage STRING, path STRING")
-    bulk = [inc.input_signatures(e, found, bulk_inputs=10).head().inputs_signature for e in (many, many.orderBy(F.rand()), many.filter("path <> '/7'"))]
-    assert bulk[0] == bulk[1] != bulk[2] and "<missing>" not in bulk[0]
+    bulk = [inc.input_signatures(e, found).head().inputs_signature for e in (many, many.orderBy(F.rand()), many.filter("path <> '/7'"))]
+    assert bulk[0] == bulk[1] != bulk[2] and bulk[0].count("\n") == 49
+
+
+def test_best_output_keeps_all_rows_of_the_chosen_stage(make):
+    texts = make([("r", "s07", 0, "a"), ("r", "s09", 0, "b"), ("r", "s09", 1, "c"), ("q", "s05", 0, "d")], "run_id STRING, stage STRING, part INT, text STRING")
+    assert sorted(r.text for r in inc.best_output(texts).collect()) == ["b", "c"]
+
+
+def test_suffixes_of_any_length_are_taken(make):
+    old = {"/in/a/x.wav": "x", "/in/b/x.wav": "x-2", "/in/c/x.wav": "x-30000000000"}
+    assert ids(make, [*old, "/in/d/x.wav"], old)["/in/d/x.wav"] == "x-3"
 
 
 def test_fresh_source(make):
@@ -125,3 +135,9 @@ def test_existing_output_policy(spark, make, tmp_path):
 def test_best_output(make):
     df = make([("a", "s07", "x"), ("a", "s09", "y"), ("b", "s07", "z"), ("c", "s05", "n")], "run_id STRING, stage STRING, text STRING")
     assert {r.run_id: r.text for r in inc.best_output(df).collect()} == {"a": "y", "b": "z"}
+
+
+def test_many_suffixes_of_one_base(make):
+    paths = ["/in/img.wav", *(f"/in/img-{k}.wav" for k in range(2, 3000))]
+    got = ids(make, paths, {})
+    assert all(got[p] == p[4:-4] for p in paths)

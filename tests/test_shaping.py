@@ -113,8 +113,9 @@ def test_windows_equal_loop(make, size, overlap):
     assert got == {n: loop_windows(n, size, min(overlap, size - 1)) for n in range(1, 40)}
 
 
-@pytest.mark.parametrize("part_rows", [1 << 14, 4])
-def test_reassembly_equals_join(make, part_rows):
+@pytest.mark.parametrize("part_rows, gather", [(None, 1 << 14), (None, 4), (4, 1 << 14)])
+def test_reassembly_equals_join(make, monkeypatch, part_rows, gather):
+    monkeypatch.setattr(ordered, "GATHER_ROWS", gather)
     rng = random.Random(3)
     rows = [(r, i, rng.choice(["", " ", "x\n", "y", "  z "])) for r in range(15) for i in range(rng.randint(1, 30))]
     want = {r: "\n\n".join(t for q, _, t in rows if q == r).strip() for r in range(15)}

@@ -44,9 +44,10 @@ def test_json_rows(spark, tmp_path):
     put(tmp_path, "a/chunks.json", json.dumps([row, {**row, "id": 2}], indent=2))
     put(tmp_path, "b/chunks.json", json.dumps(row))
     put(tmp_path, "c/chunks.json", "[1, ")
+    put(tmp_path, "d/chunks.json", json.dumps([{**row, "id": 3}, {**row, "id": "three"}]))
     rows, bad = files.json_rows(spark, str(tmp_path), S.CHUNK_ROW, "chunks.json")
     assert [(r.pos, r.id, r.start_time, r.filename) for r in rows.orderBy("pos").collect()] == [(0, 1, 0.0, "0001.wav"), (1, 2, 0.0, "0001.wav")]
-    assert bad.count() == 2
+    assert bad.count() == 3
     with pytest.raises(files.FormatError):
         files.require_no_rejects(bad)
 
