@@ -135,11 +135,16 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS):
     return post[:, 1], given, share
 
 
-def scored(docs: DataFrame) -> DataFrame:
+def score_only(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return (pdf.drop(columns="text") for pdf in score_batches(batches))
+
+
+def scored(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """Rows of docs with _q_ columns: counts, pattern, failed, posterior. Written once, as the posterior
     needs the patterns of all rows; what is collected and sent out is 3^rules patterns at most."""
-    kinds = ", ".join([*(f"`{k}` {t}" for k, t in docs.dtypes), *(f"_q_{k} bigint" for k in FEATURES), "_q_pattern int"])
-    rows = write_and_read(docs.mapInPandas(score_batches, kinds), "quality-votes")
+    kinds = [f"`{k}` {t}" for k, t in docs.dtypes if with_text or k != "text"]
+    kinds = ", ".join([*kinds, *(f"_q_{k} bigint" for k in FEATURES), "_q_pattern int"])
+    rows = write_and_read(docs.mapInPandas(score_batches if with_text else score_only, kinds), "quality-votes")
     counted = rows.groupBy("_q_pattern").count().collect()
     patterns = np.array([r[0] for r in counted], np.int64)
     post = fit(patterns, np.array([r[1] for r in counted], float))[0] if counted else []
@@ -161,7 +166,7 @@ def assess(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     A null or empty text has no words: no rule votes and the base test fails. Rows with equal
     texts get equal verdicts; no rows give no rows; no columns but doc_id and text are read.
     """
-    return scored(docs.select("doc_id", "text")).drop("text").select(
+    return scored(docs.select("doc_id", "text"), with_text=False).select(
         "doc_id", *(F.col(f"_q_{k}").alias(k) for k in FEATURES), F.col("_q_failed").alias("base_failed"),
         F.col("_q_posterior").alias("posterior"), kept(threshold).alias("kept"))
 
