@@ -53,7 +53,7 @@ STAGES = [
     ("shards", shard),
 ]
 
-#: Expectation-maximisation has no SQL form; tests/llm holds run() against plain Python.
+#: Expectation-maximisation has no SQL form; tests/llm tests the stages.
 ORACLE_SQL = None
 
 
