@@ -8,6 +8,8 @@ import numpy as np
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK_BYTES = 4 << 20
+#: Bytes that are hashed at once, as hashing takes some sixty times their memory.
+HASH_BYTES = 1 << 18
 
 _byte = np.arange(256)
 #: Bytes of a word, as WORD has it; UTF-8 bytes beyond ASCII always belong to one.
@@ -67,17 +69,26 @@ class Block:
 
     def per_text(self, flags: np.ndarray) -> np.ndarray:
         """Sum of a byte-wise array over each text."""
-        return np.diff(np.concatenate([[0], np.cumsum(flags)])[self.bounds])
+        return np.add.reduceat(flags, self.bounds[:-1], dtype=np.int64)
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         """64 bits for each word: its bytes times fixed odd constants by position."""
         if not len(self.starts):
             return np.zeros(0, np.uint64)
         lengths = self.ends - self.starts
-        flat = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        data = (LOWER[self.data] if lower else self.data)[np.repeat(self.starts, lengths) + flat]
-        terms = (data.astype(np.uint64) + np.uint64(1)) * stream(int(lengths.max()), 11)[flat]
-        return mix(np.add.reduceat(terms, np.cumsum(lengths) - lengths))
+        upto, factors = np.cumsum(lengths), stream(int(lengths.max()), 11)
+        out, begin = np.empty(len(lengths), np.uint64), 0
+        while begin < len(lengths):
+            done = upto[begin] - lengths[begin]
+            end = max(begin + 1, int(np.searchsorted(upto, done + HASH_BYTES, "right")))
+            size = lengths[begin:end]
+            first = upto[begin:end] - size - done
+            flat = np.arange(size.sum()) - np.repeat(first, size)
+            data = self.data[np.repeat(self.starts[begin:end], size) + flat]
+            terms = ((LOWER[data] if lower else data).astype(np.uint64) + np.uint64(1)) * factors[flat]
+            out[begin:end] = np.add.reduceat(terms, first)
+            begin = end
+        return mix(out)
 
 
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
