@@ -20,6 +20,8 @@ from lectern.llm.words import IN_WORD, LEADS, Block, as_bytes, blocks, mix, stre
 from lectern.session import write_and_read
 
 WIDTH = 5
+#: Bytes of texts that are measured at once.
+BYTES = 1 << 20
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 THRESHOLD = 0.5
@@ -102,19 +104,20 @@ def votes(f: dict[str, np.ndarray]) -> list[np.ndarray]:
     return [np.where(f["n_words"] > 0, vote, -1) for vote in out]
 
 
-def score_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Adds counts and vote pattern to the rows."""
-    for pdf in batches:
-        texts = as_bytes(pdf["text"])
-        lines = np.array([lines_of(t) if isinstance(t, str) else (0, 0) for t in pdf["text"]], np.int64).reshape(-1, 2)
-        for begin, end in blocks([len(t) for t in texts]):
+def score_texts(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """Counts and vote pattern of each text."""
+    for column in series:
+        texts = as_bytes(column)
+        lines = np.array([lines_of(t) if isinstance(t, str) else (0, 0) for t in column], np.int64).reshape(-1, 2)
+        parts = []
+        for begin, end in blocks([len(t) for t in texts], BYTES):
             f = measure(texts[begin:end])
             f["n_lines"], f["n_dup_lines"] = lines[begin:end].T
             pattern = np.zeros(end - begin, np.int64)
             for vote in votes(f):
                 pattern = pattern * 3 + vote + 1
-            counts = {f"_q_{k}": f[k].astype(np.int64) for k in FEATURES}
-            yield pdf.iloc[begin:end].assign(**counts, _q_pattern=pattern.astype(np.int32))
+            parts.append(pd.DataFrame({**{k: f[k].astype(np.int64) for k in FEATURES}, "pattern": pattern.astype(np.int32)}))
+        yield pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({k: [] for k in (*FEATURES, "pattern")})
 
 
 def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS):
@@ -135,16 +138,13 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS):
     return post[:, 1], given, share
 
 
-def score_only(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    return (pdf.drop(columns="text") for pdf in score_batches(batches))
-
-
 def scored(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """Rows of docs with _q_ columns: counts, pattern, failed, posterior. Written once, as the posterior
     needs the patterns of all rows; what is collected and sent out is 3^rules patterns at most."""
-    kinds = [f"`{k}` {t}" for k, t in docs.dtypes if with_text or k != "text"]
-    kinds = ", ".join([*kinds, *(f"_q_{k} bigint" for k in FEATURES), "_q_pattern int"])
-    rows = write_and_read(docs.mapInPandas(score_batches if with_text else score_only, kinds), "quality-votes")
+    kind = ", ".join([*(f"{k} bigint" for k in FEATURES), "pattern int"])
+    told = docs.withColumn("_q", F.pandas_udf(score_texts, f"struct<{kind}>")("text"))  # texts stay in the JVM
+    rest = [k for k in docs.columns if with_text or k != "text"]
+    rows = write_and_read(told.select(*rest, *(F.col(f"_q.{k}").alias(f"_q_{k}") for k in (*FEATURES, "pattern"))), "quality-votes")
     counted = rows.groupBy("_q_pattern").count().collect()
     patterns = np.array([r[0] for r in counted], np.int64)
     post = fit(patterns, np.array([r[1] for r in counted], float))[0] if counted else []
