@@ -11,37 +11,37 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.llm import decontam, mixing, quality, sharding, sigtree
-from lectern.llm.base import table
-from lectern.session import shared_folder, ship_package
+from lectern.llm.base import prepare, table
+from lectern.session import shared_folder
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed rules hold to be good."""
-    ship_package(spark)
+    prepare(spark)
     return quality.keep_good(docs)
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the smallest doc_id, of each group linked by shingles."""
-    ship_package(spark)
+    prepare(spark)
     return sigtree.keep_first(docs)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    ship_package(spark)
+    prepare(spark)
     return decontam.keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target takes it."""
-    ship_package(spark)
+    prepare(spark)
     return mixing.mix_sources(docs, whole_rows=True)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shard and slot of each row."""
-    ship_package(spark)
+    prepare(spark)
     return sharding.assign(docs)
 
 

@@ -8,17 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lectern.session import ship_package
 
+#: Bytes of an Arrow batch, so that a Python worker's memory does not follow from the length of texts.
+ARROW_BYTES = 4 << 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    """What tasks need: this package, and batches of bounded size (a setting of the session)."""
+    ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
+
+
 def query(name: str, sql: str | None = None):
     """Register a query; sql is its DuckDB twin where there is one."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            ship_package(spark)
+            prepare(spark)
             return fn(spark, sf_dir)
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__

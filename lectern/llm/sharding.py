@@ -31,17 +31,22 @@ def jump(keys: np.ndarray, shards: int) -> np.ndarray:
     return at
 
 
-def shard_of(key: Column, shards: int) -> Column:
-    """Shard of an integer key. A null key is one more key of its own."""
+def shards_of(key: Column, *counts: int) -> Column:
+    """Array of the shards of an integer key, one for each number of shards. A null key is one more
+    key of its own."""
 
-    @F.pandas_udf("int")
+    @F.pandas_udf("array<int>")
     def of(ids: pd.Series, absent: pd.Series) -> pd.Series:
         mixed = mix(ids.to_numpy(np.int64).view(np.uint64) + absent.to_numpy(bool) * np.uint64(0x5BD1E995))
-        return pd.Series(jump(mixed, shards).astype(np.int32))
+        return pd.Series(list(np.stack([jump(mixed, n).astype(np.int32) for n in counts], axis=1)), dtype=object)
 
     return of(F.coalesce(key.cast("bigint"), F.lit(0)), key.isNull())
 
 
+def shard_of(key: Column, shards: int) -> Column:
+    return shards_of(key, shards)[0]
+
+
 def number(df: DataFrame, group: str, by: list[str], out: str, slices: int = SLICES) -> DataFrame:
     """Number the rows of each group from 0 without a gap.
 
@@ -76,9 +81,8 @@ def assign(docs: DataFrame, shards: int = 16, slices: int = SLICES) -> DataFrame
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.lit("key").alias("law"),
-        shard_of(F.col("doc_id"), shards).alias("shard"),
-        shard_of(F.col("doc_id"), shards + 1).alias("grown_shard"),
-    )
+        shards_of(F.col("doc_id"), shards, shards + 1).alias("_shards"),
+    ).select("*", F.col("_shards")[0].alias("shard"), F.col("_shards")[1].alias("grown_shard")).drop("_shards")
     return number(rows, "shard", ["doc_id", "text_crc32", "size"], "slot", slices)
 
 
