@@ -80,6 +80,8 @@ def live_slots(deltas: DataFrame, path: str, checkpoint: str, once: bool = False
     def apply(batch: DataFrame, epoch: int) -> None:
         # Every batch leaves the full state, so the one before is all it takes.
         carry = _table(spark, f"{state_path}/epoch={epoch - 1}") if epoch else None
+        if epoch and carry is None:
+            raise RuntimeError(f"{state_path}/epoch={epoch - 1} is missing; the levels would start at zero")
         start = carry.select("resource", "start_level") if carry is not None else None
         levels = ordered.clamped_level(batch, ["resource"], "seq", "delta", "in_use", start=start, **kw)
         if carry is not None:
@@ -136,19 +138,23 @@ def pick_up_new(
     """I4: only recordings not seen before get an id and are processed.
 
     ``arrivals(path, ...)`` is a file stream. Ids live under ``ids_path``,
-    one folder per micro-batch; earlier ids never change.
+    one folder per stream and micro-batch; earlier ids never change, also when
+    a stream starts anew with another checkpoint. A retried micro-batch leaves
+    out only the ids that it wrote itself.
     """
     spark = arrivals.sparkSession
 
     def handle(batch: DataFrame, epoch: int) -> None:
+        stream = spark.read.json(f"{checkpoint}/metadata").head()["id"]
         known = _table(spark, ids_path)
         if known is None:
             known = spark.createDataFrame([], "path STRING, run_id STRING")
         else:
-            known = known.filter(F.col("epoch") < epoch)
+            known = known.filter((F.col("stream").cast("string") != stream) | (F.col("epoch") != epoch))
         ids = incremental.assign_run_ids(batch.select("path"), known).filter("is_new").select("path", "run_id")
-        ids.write.mode("overwrite").parquet(f"{ids_path}/epoch={epoch}")
-        fresh = spark.read.schema("path STRING, run_id STRING").parquet(f"{ids_path}/epoch={epoch}")
+        folder = f"{ids_path}/stream={stream}/epoch={epoch}"
+        ids.write.mode("overwrite").parquet(folder)
+        fresh = spark.read.schema("path STRING, run_id STRING").parquet(folder)
         process(batch.join(fresh, "path"), epoch)
 
     return _start(arrivals, checkpoint, handle, "append", once)

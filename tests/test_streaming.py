@@ -104,16 +104,18 @@ def test_new_arrivals_keep_old_ids(spark, make, tmp_path):
     def process(batch, epoch):
         batch.write.mode("overwrite").parquet(f"{done}/epoch={epoch}")
 
-    def run(*paths):
+    def run(*paths, checkpoint="ck"):
         make([(p,) for p in paths], "path STRING").coalesce(1).write.mode("append").json(f"{tmp_path}/in")
         stream = live.read_events(spark, f"{tmp_path}/in", "path STRING")
-        live.pick_up_new(stream, ids, f"{tmp_path}/ck", process).awaitTermination()
+        live.pick_up_new(stream, ids, f"{tmp_path}/{checkpoint}", process).awaitTermination()
         return {r.path: r.run_id for r in live.assigned_ids(spark, ids).collect()}
 
     first = run("/in/b/alpha.wav", "/in/c/alpha.wav")
     assert first == {"/in/b/alpha.wav": "alpha", "/in/c/alpha.wav": "alpha-2"}
     assert run("/in/a/alpha.wav", "/in/b/alpha.wav") == {**first, "/in/a/alpha.wav": "alpha-3"}
     assert spark.read.parquet(done).count() == 3
+    both = {**first, "/in/a/alpha.wav": "alpha-3", "/in/d/alpha.wav": "alpha-4"}
+    assert run("/in/d/alpha.wav", checkpoint="ck2") == both  # a new checkpoint keeps every id
 
 
 def test_outcomes_and_matrix(make):
