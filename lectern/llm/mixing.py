@@ -80,24 +80,27 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: in
     sources = write_and_read(sources.withColumn("_source", F.coalesce("source", F.lit(""))).withColumn(
         "_none", F.col("source").isNull()).drop("source"), "mix-sources")
 
-    if whole_rows:
-        rows = docs.select("doc_id", "source", size, F.struct("*").alias("_row"))
-    keyed = rows.withColumns({"_source": F.coalesce("source", F.lit("")), "_none": F.col("source").isNull()})
     u = draw(F.col("doc_id"))
     mean = F.col("source_size") / F.col("_docs")
-    ranked = (
-        keyed.join(sources, ["_source", "_none"])
-        .withColumn("_odds", (u / (1 - u)) * ((mean + F.col("size")) / F.when(mean > 0, mean).otherwise(1.0)))
-        .withColumn("_bin", F.floor(F.col("_odds") / (1 + F.col("_odds")) * bins).cast("int"))
-    )
-    filled = ranked.drop("_row").groupBy("_source", "_none", "_bin").agg(F.sum("size").alias("_words"), F.first("_rest").alias("_rest"))
+
+    def ranked(rows: DataFrame) -> DataFrame:
+        keyed = rows.withColumns({"_source": F.coalesce("source", F.lit("")), "_none": F.col("source").isNull()})
+        return (
+            keyed.join(sources, ["_source", "_none"])
+            .withColumn("_odds", (u / (1 - u)) * ((mean + F.col("size")) / F.when(mean > 0, mean).otherwise(1.0)))
+            .withColumn("_bin", F.floor(F.col("_odds") / (1 + F.col("_odds")) * bins).cast("int"))
+        )
+
+    filled = ranked(rows).groupBy("_source", "_none", "_bin").agg(F.sum("size").alias("_words"), F.first("_rest").alias("_rest"))
     upto = Window.partitionBy("_source", "_none").orderBy("_bin").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (
+    # written, so that its size is known before the texts are joined to it
+    ends = write_and_read(
         filled.withColumn("_end", F.sum("_words").over(upto))
         .filter((F.col("_end") - F.col("_words") <= F.col("_rest")) & (F.col("_end") > F.col("_rest")))
-        .select("_source", "_none", F.col("_bin").alias("_last"), (F.col("_end") - F.col("_words")).alias("_before"))
-    )
-    placed = ranked.join(ends, ["_source", "_none"], "left")
+        .select("_source", "_none", F.col("_bin").alias("_last"), (F.col("_end") - F.col("_words")).alias("_before")), "mix-ends")
+    if whole_rows:
+        rows = docs.select("doc_id", "source", size, F.struct("*").alias("_row"))
+    placed = ranked(rows).join(ends, ["_source", "_none"], "left")
     in_last = F.col("_bin") == F.col("_last")  # null where all words of a source are wanted, or none
     order = Window.partitionBy("_source", "_none").orderBy("_odds", F.col("doc_id").asc_nulls_last(), "size")
     cut = placed.filter(in_last).withColumn(
