@@ -246,7 +246,13 @@ class Tree:
         return ((100 + percent) * most >= need) & (100 * high1[a] >= percent * low2[b]) & (100 * high2[b] >= percent * low1[a])
 
 
-STEP = 1 << 14
+#: Pairs, and bytes of their bitmaps, that are compared at once.
+STEP, STEP_BYTES = 1 << 14, 8 << 20
+
+
+def step_of(words: int) -> int:
+    """Pairs of bitmaps of so many 64-bit words that are compared at once."""
+    return max(64, min(STEP, STEP_BYTES // (8 * words)))
 
 
 def dual(one: Tree, two: Tree, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -255,6 +261,7 @@ def dual(one: Tree, two: Tree, same: bool, percent: int) -> tuple[np.ndarray, np
     for tree in (one, two):
         while len(tree.levels) <= top:
             tree.levels.append(tree.levels[-1])
+    step = step_of(one.levels[0][0].shape[1])
     stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
     left, right = [], []
     while stack:
@@ -275,7 +282,7 @@ def dual(one: Tree, two: Tree, same: bool, percent: int) -> tuple[np.ndarray, np
         y = np.concatenate([q for _ in down1 for q in down2])
         good = (x < n) & (y < m) & ((x <= y) if same else True)
         x, y = x[good], y[good]
-        stack += [(level - 1, x[i : i + STEP], y[i : i + STEP]) for i in range(0, len(x), STEP)]
+        stack += [(level - 1, x[i : i + step], y[i : i + step]) for i in range(0, len(x), step)]
     none = np.zeros(0, np.int64)
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
@@ -304,8 +311,9 @@ class Maps:
         most, common = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
         pair = self.wide[a] * (1 << 20) + self.wide[b]
         for code in np.unique(pair):
-            for mine in np.array_split(at := np.flatnonzero(pair == code), 1 + len(at) // STEP):
-                wa, wb = int(code >> 20), int(code & ((1 << 20) - 1))
+            wa, wb = int(code >> 20), int(code & ((1 << 20) - 1))
+            at = np.flatnonzero(pair == code)
+            for mine in np.array_split(at, 1 + len(at) // step_of(max(wa, wb))):
                 x, y = self.row(a[mine], wa, min(wa, wb)), self.row(b[mine], wb, min(wa, wb))
                 lack = [np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64) for p, q in ((x, y), (y, x))]
                 most[mine] = np.minimum(sizes[a[mine]] - lack[0], sizes[b[mine]] - lack[1])
