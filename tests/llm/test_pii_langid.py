@@ -66,6 +66,32 @@ def test_viterbi_equals_every_path(field):
         assert list(got) == list(max(paths, key=value))
 
 
+def test_long_digit_dense_texts_keep_every_span(field, monkeypatch):
+    rng = np.random.default_rng(6)
+    entry = lambda n: f"ring (21{n % 10}) 555-{n % 10000:04} or jo{n}@mail about key={''.join(rng.choice(list('0123456789abcdef'), 40))}"
+    lines = [entry(int(n)) for n in rng.integers(10, 99_999, 200)]
+    text = "\n".join(lines)
+    assert len(text) > 10_000 and len(pii.stretches(text)) == 1
+    monkeypatch.setattr(pii, "LONGEST", 1 << 30)
+    whole = pii.find([text], field)[0]
+    for longest in (1, 2, 3, 50, 1024):
+        monkeypatch.setattr(pii, "LONGEST", longest)
+        assert pii.find([text], field)[0] == whole
+    found = {(a, b, k) for a, b, k in whole[1]}
+    places = [(m.start(1), m.end(1), "phone") for m in re.finditer(r"ring (.*?) or", text)]
+    places += [(m.start(), m.end(), "secret") for m in re.finditer(r"[0-9a-f]{40}", text)]
+    assert sum(p in found for p in places) >= 0.99 * len(places)
+
+
+def test_stretches_cut_no_word():
+    text = "so " + "x" * 60 + "1" + "y" * 60 + " and " + "z" * 70 + " " + "v." * 40 + "@w"
+    got = pii.stretches(text)
+    assert all((a == 0 or text[a - 1].isspace()) and (b == len(text) or text[b].isspace()) for a, b in got)
+    assert got[0][0] == 3 and got[-1][1] == len(text)
+    for text in ("1" * 300_000, "a@" * 100_000, "x" * 300_000 + "1", ("x" * 200 + "1") * 1000, ("x" * 200 + "1 ") * 1000):
+        assert all(a < b for a, b in pii.stretches(text))
+
+
 def test_detect_edge_rows(docs, no_docs, field):
     rows = {r.doc_id: r for r in pii.detect(docs, field).collect()}
     assert pii.detect(no_docs, field).count() == 0 and rows[2].spans == "" == rows[1].spans
