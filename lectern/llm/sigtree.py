@@ -399,18 +399,25 @@ def candidate_pairs(marked: DataFrame, few: float, percent: int) -> DataFrame:
     return marked.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInPandas(run, f"a {kind}, b {kind}, token bigint")
 
 
-def cells(members: DataFrame, roots: DataFrame) -> DataFrame:
+def size_class(n: Column, percent: int) -> Column:
+    """Classes of a step of 100 / percent: sizes of a link are in the same or in neighbouring ones."""
+    if percent >= 100:
+        return n.cast("int")
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
+
+
+def cells(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Members (token, doc_id, n) of shingles whose texts are not all in one component, dealt to cells.
 
     Shingles with the very same texts make one cell. Texts of a shingle are dealt by size class (a
-    step of 1.25, the most that two linked sizes differ by); classes with many texts are cut into
+    step of 100 / percent, the most that two linked sizes differ by); classes with many texts are cut into
     blocks, and every pair of blocks of the same or the next class is a cell of its own."""
     known = members.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
     mixed = known.groupBy("token").agg(
         F.min("root").alias("_r1"), F.max("root").alias("_r2"), F.count(F.lit(1)).alias("_count"),
         F.expr("bit_xor(xxhash64(doc_id))").alias("_x"), F.expr("bit_xor(xxhash64(doc_id, 7))").alias("_y"))
     chosen = mixed.filter("_r1 <> _r2").groupBy("_count", "_x", "_y").agg(F.min("token").alias("token")).select("token")
-    open_ = known.join(chosen, "token").withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25)) + 1e-9).cast("int"))
+    open_ = known.join(chosen, "token").withColumn("class", size_class(F.col("n"), percent))
     open_ = write_and_read(open_, "cell-members")
     counts = open_.groupBy("token", "class").agg(
         F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cuts"), F.count(F.lit(1)).alias("texts"))
@@ -475,7 +482,7 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     # second turn by the trees; third, if need be, for the cells that were cut short
     for few in (CROWD, float("inf")):
         roots = write_and_read(components(links), "roots")
-        dealt = cells(members, roots)
+        dealt = cells(members, roots, percent)
         marks = bitmaps(picked(named, dealt.select("doc_id").distinct()), width)
         found = write_and_read(candidate_pairs(dealt.join(marks, "doc_id"), few, percent), "pairs")
         new = write_and_read(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "edges")

@@ -62,6 +62,24 @@ def test_links_equal_all_pairs(spark, docs, monkeypatch):
     assert sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got) == plain_components(rows)
 
 
+def halves_and_wholes(seed, groups=12):
+    """Texts whose shingles are all in longer texts of smaller doc_id, which link with none: sizes from 1 to 1 / 2."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for g in range(groups):
+        whole = [f"g{g}w{i}" for i in rng.permutation(240)]
+        rows += [(10 * g + k, " ".join(whole + [f"g{g}k{k}o{i}" for i in range(700)])) for k in (0, 1)]
+        rows += [(10 * g + k, " ".join(whole[: 240 * part // 100])) for k, part in ((2, 100), (3, 53), (4, 73))]
+    return rows
+
+
+@pytest.mark.parametrize("percent", [50, 70, 100])
+def test_links_equal_all_pairs_at_any_percent(spark, percent):
+    rows = corpus() + [(i + 1000, t) for i, t in halves_and_wholes(3)]
+    got = sigtree.link(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), percent=percent).collect()
+    assert sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got) == plain_components(rows, percent)
+
+
 def test_no_rows(no_docs):
     assert sigtree.link(no_docs).count() == 0
 
