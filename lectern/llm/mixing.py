@@ -64,7 +64,7 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: in
     size counts words (null text: 0). A null source is a source of its own, last in order. A
     source without words has target 0. Rows with equal doc_id draw alike and are ranked by
     size. A sample ends at the document whose inclusion brings its words nearest to what is
-    asked, so it misses by half that document at most. No rows give no rows; columns other than
+    asked, so it misses by half that document at most. A document without words is in no sample. No rows give no rows; columns other than
     doc_id, source and text are not read.
 
     Ranks fall in `bins` equal parts of odds/(1 + odds); sums of words per source and bin tell
@@ -105,10 +105,10 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: in
     order = Window.partitionBy("_source", "_none").orderBy("_odds", F.col("doc_id").asc_nulls_last(), "size")
     cut = placed.filter(in_last).withColumn(
         "_upto", F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    cut = cut.withColumn("_in", F.col("_before") + F.col("_upto") + F.col("size") / 2 <= F.col("_rest"))
+    cut = cut.withColumn("_in", (F.col("size") > 0) & (F.col("_before") + F.col("_upto") + F.col("size") / 2 <= F.col("_rest")))
     whole = placed.filter(~F.coalesce(in_last, F.lit(False))).withColumns({
         "_upto": F.lit(0).cast("bigint"),
-        "_in": F.coalesce(F.col("_bin") < F.col("_last"), F.lit(False))})
+        "_in": (F.col("size") > 0) & F.coalesce(F.col("_bin") < F.col("_last"), F.lit(False))})
     copies = (F.col("_whole") + F.col("_in").cast("int")).cast("int")
     mixed = whole.unionByName(cut)
     if whole_rows:
