@@ -26,12 +26,24 @@ def artifacts(files: DataFrame, content: str = "content") -> DataFrame:
 
 
 def input_signatures(expected: DataFrame, found: DataFrame, keys=("run_id", "stage")) -> DataFrame:
-    """'path:sha256' lines in path order, at any number of files; an absent file is '<missing>'."""
+    """'path:sha256' lines in path order, at any number of files; an absent file is '<missing>'.
+
+    Lines are gathered in pieces by many tasks and the pieces are joined; the signature itself is one value.
+    """
     keys = list(keys)
     line = F.concat_ws(":", F.col("path"), F.coalesce(F.col("sha256"), F.lit(MISSING)))
     lines = expected.select(*keys, "path").distinct().join(found.select("path", "sha256"), "path", "left")
-    return lines.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("path", line.alias("line")))).alias("_l")).select(
-        *keys, F.array_join(F.col("_l.line"), "\n").alias("inputs_signature")
+    pieces = line_pieces(lines.select(*keys, "path", line.alias("line")), keys)
+    return pieces.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_piece", "_text"))).alias("_p")).select(
+        *keys, F.array_join(F.col("_p._text"), "\n").alias("inputs_signature")
+    )
+
+
+def line_pieces(lines: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, _piece, _text: lines in order of path, at most ordered.GATHER_ROWS in a piece."""
+    placed = ordered.number_all(lines, [*keys, "path", "line"], "_place").withColumn("_piece", F.floor(F.col("_place") / ordered.GATHER_ROWS))
+    return placed.groupBy(*keys, "_piece").agg(F.array_sort(F.collect_list(F.struct("_place", "line"))).alias("_l")).select(
+        *keys, "_piece", F.array_join(F.col("_l.line"), "\n").alias("_text")
     )
 
 

@@ -46,6 +46,19 @@ def test_input_signature(make):
     assert bulk[0] == bulk[1] != bulk[2] and bulk[0].count("\n") == 49
 
 
+def test_input_signature_is_gathered_in_pieces(make, monkeypatch):
+    monkeypatch.setattr(inc.ordered, "GATHER_ROWS", 7)
+    rows = [(r, s, f"/{i}") for i in range(50) for r, s in (("r", "s05"), ("r", "s06"), (None, "s05"))]
+    expected = make(rows, "run_id STRING, stage STRING, path STRING").repartition(5)
+    found = inc.artifacts(make([("/7", "x")], "path STRING, content STRING"))
+    sha = "2d711642b726b04401627ca9fbac32f5c8530fb1903cc4db02258717921a4881"
+    want = "\n".join(f"{p}:{sha if p == '/7' else '<missing>'}" for p in sorted(f"/{i}" for i in range(50)))
+    got = {(r.run_id, r.stage): r.inputs_signature for r in inc.input_signatures(expected, found).collect()}
+    assert got == dict.fromkeys([("r", "s05"), ("r", "s06"), (None, "s05")], want)
+    pieces = inc.line_pieces(expected.withColumn("line", F.col("path")), ["run_id", "stage"]).collect()
+    assert len(pieces) > 20 and max(p._text.count("\n") + 1 for p in pieces) <= 7
+
+
 def test_best_output_keeps_all_rows_of_the_chosen_stage(make):
     texts = make([("r", "s07", 0, "a"), ("r", "s09", 0, "b"), ("r", "s09", 1, "c"), ("q", "s05", 0, "d")], "run_id STRING, stage STRING, part INT, text STRING")
     assert sorted(r.text for r in inc.best_output(texts).collect()) == ["b", "c"]
