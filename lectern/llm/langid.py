@@ -20,7 +20,7 @@ from lectern.llm.words import blocks, mix
 UNKNOWN = "und"
 BITS = 13
 SCALE = 100.0
-#: Rows of each language that the classifiers learn from at most, and languages at most.
+#: Rows of each language that the classifiers learn from at most, and languages up to which each may give so many.
 SAMPLE, LANGUAGES = 300, 200
 EPOCHS = 20
 #: Families of language codes; any other code is in a family of the rest.
@@ -136,28 +136,34 @@ def held_out(docs: DataFrame):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
+def train(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
     """Learn from at most `sample` rows of each language, those with the smallest hash of doc_id,
-    among rows that are not held out and have a text and a language."""
+    among rows that are not held out and have a text and a language.
+
+    With more than `languages` languages each gives fewer rows, sample x languages in all, but one
+    row at least: every language stays."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(docs))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = usable.select("doc_id", "lang").withColumn("_rank", rank).filter(F.col("_rank") <= sample)
-    ids = [r[0] for r in chosen.select("doc_id").distinct().limit(sample * LANGUAGES).collect()]
-    few = docs.sparkSession.createDataFrame([(i,) for i in ids], f"doc_id {dict(docs.dtypes)['doc_id']}")
-    rows = usable.select("doc_id", "lang", "text").join(F.broadcast(few), "doc_id").dropDuplicates(["doc_id"]).collect()
-    rows.sort(key=lambda r: r["doc_id"])
+    many = usable.select("lang").distinct().count()
+    if many > languages:
+        chosen = chosen.filter(F.col("_rank") <= max(1, sample * languages // many))
+    ids = [tuple(r) for r in chosen.select("doc_id", "lang").distinct().collect()]
+    few = docs.sparkSession.createDataFrame(ids, f"doc_id {dict(docs.dtypes)['doc_id']}, lang string")
+    rows = usable.join(F.broadcast(few), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["lang"]))
     return Model([r["text"] for r in rows], [r["lang"] for r in rows])
 
 
-def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def identify(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row.
 
     A null or empty text, or one without a letter, is UNKNOWN with score 0; so is every text if
     there is nothing to learn from. A null doc_id counts as the empty text for held_out and is not
     learnt from. Equal texts get equal predictions; other columns are not read. Rows stay in their
-    partitions; what goes to all tasks is the weights (2^13 for each machine, languages bounded).
+    partitions; what goes to all tasks is the weights: 2^13 for each family and pair of languages in it.
     """
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, sample))
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, sample, languages))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:

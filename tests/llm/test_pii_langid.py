@@ -113,6 +113,18 @@ def test_languages_held_out(spark):
     assert sum(truth[r.doc_id] == r.lang_pred for r in mine) / len(mine) > 0.97
 
 
+def test_every_language_stays_beyond_the_bound(spark, monkeypatch):
+    learnt = []
+    monkeypatch.setattr(langid, "Model", lambda texts, langs: learnt.append(sorted(langs)))
+    rows = [(i, f"text {i}", f"l{i % 7}") for i in range(420)] + [(1000, "one text", "few")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    assert zlib.crc32(b"1000") % 3 != 1
+    langid.train(table, sample=8, languages=2)
+    langid.train(table, sample=8)
+    langid.train(table, sample=2, languages=1)
+    assert learnt == [sorted([f"l{k}" for k in range(7)] * n + ["few"]) for n in (2, 8, 1)]
+
+
 def test_language_edge_rows(docs, no_docs):
     rows = langid.identify(docs).collect()
     assert len(rows) == docs.count() and langid.identify(no_docs).count() == 0
