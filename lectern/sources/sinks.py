@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
@@ -96,10 +98,22 @@ def write_texts(texts: DataFrame, path: str, mode: str = "error", run: str = "ru
 
     ``text`` already ends with one newline when non-empty, which is the one
     the line writer adds, so it is taken off here. The line writer cannot make
-    an empty file: empty texts are rows of the table sink (``save_runs``) only.
+    an empty file: for a run whose text is empty the driver makes one, run by
+    run. A null text is no text and has no file.
     """
+    spark = texts.sparkSession
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if mode == "ignore" and fs.exists(folder):
+        return
+    empty = write_and_read(texts.groupBy("stage", run).agg(F.max(F.col("text") != "").alias("_full")).filter("NOT _full").drop("_full"), "empty-texts")
     body = F.regexp_replace("text", r"\n\z", "")
     out = texts.filter(F.col("text") != "").select("stage", run, *(["part"] if "part" in texts.columns else []), body.alias("value"))
     if "part" in out.columns:
         out = out.repartition("stage", run).sortWithinPartitions("stage", run, "part").drop("part")
     out.write.mode(mode).partitionBy("stage", run).text(path)
+    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    text = lambda value: None if value is None else str(value)
+    for row in empty.toLocalIterator():
+        where = f"{path.rstrip('/')}/{named('stage', text(row[0]))}/{named(run, text(row[1]))}/part-00000-{uuid.uuid4()}.txt"
+        fs.create(spark._jvm.org.apache.hadoop.fs.Path(where)).close()

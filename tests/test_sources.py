@@ -77,6 +77,13 @@ def test_text_sink(spark, make, tmp_path):
     assert [p.read_text() for p in parts] == ["one\n\ntwo\n"]
 
 
+def test_text_sink_writes_empty_files(make, tmp_path):
+    rows = [("a", "s07", 0, ""), ("a", "s07", 1, "one\n"), ("b", "s07", 0, ""), ("c/ :d", "s07", 0, ""), ("e", "s07", 0, None)]
+    sinks.write_texts(make(rows, "run_id STRING, stage STRING, part INT, text STRING"), str(tmp_path / "out"))
+    found = {p.parent.name: p.read_text() for p in (tmp_path / "out" / "stage=s07").glob("*/part-*")}
+    assert found == {"run_id=a": "one\n", "run_id=b": "", "run_id=c%2F %3Ad": ""}
+
+
 def test_templates_from_folders(spark, tmp_path):
     put(tmp_path, "mine/s07_editorial.txt", "CUSTOM {{text}}")
     put(tmp_path, "std/s07_editorial.txt", "STD {{text}}")
