@@ -1,4 +1,4 @@
-"""Links between texts with similar word shingles, by signature trees; exact, no pair is lost.
+"""Components of texts linked by similar word shingles, by signature trees; exact for components.
 
 A text is the set of its distinct 5-word shingles. Two texts link when 100 x common >= percent x
 union. In any order of the shingles that all texts share, linked texts have a shingle in common
@@ -11,7 +11,8 @@ a text lost by collision. Two nodes are compared by the largest overlap that any
 have, and pairs that cannot reach the threshold are dropped with everything below them. What is left is
 compared by the sets themselves.
 
-Only components are wanted, so links are looked for in three turns: each text with the first of its
+Only components are produced: pairs already in one component are not looked for, so neither all
+links nor a text's number of links can be had from this module. Links are looked for in three turns: each text with the first of its
 cell; then every pair of a cell that the trees leave and that lies in two components, or, where such
 pairs are many, each text with its likeliest partner; then what is left of those cells. Each turn
 starts from the components that the one before found.
