@@ -15,7 +15,8 @@ Only components are produced: pairs already in one component are not looked for,
 links nor a text's number of links can be had from this module. Links are looked for in three turns: each text with the first of its
 cell; then every pair of a cell that the trees leave and that lies in two components, or, where such
 pairs are many, each text with its likeliest partner; then what is left of those cells. Each turn
-starts from the components that the one before found.
+starts from the components that the one before found. The first turn uses no tree, and cells of up to
+FEW texts are compared text by text with flat bitmaps; trees stand in larger cells only.
 """
 
 from __future__ import annotations
