@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm import bitplanes, chat, decontam, langid, mixing, pii, quality, sharding, sigtree, warc
+from lectern.llm import bitplanes, chat, decontam, langid, minhash, mixing, pii, quality, runs, sharding, sigtree, trie, warc
 from lectern.llm.base import ORACLES, QUERIES, query, table
 from lectern.session import shared_folder
 
@@ -193,3 +193,77 @@ LEFT JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) r U
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents linked by shingles."""
     return sigtree.link(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = OP10_SQL.replace("100 * c >= 80", "100 * c >= 85").replace(
+    "r.component_id\nFROM", "r.component_id, documents.doc_id = r.component_id AS kept\nFROM")
+
+
+@query("op11_minhash", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents linked by shingles, found by bands of minima; the first of each is kept."""
+    return minhash.link(table(spark, sf_dir, "documents"))
+
+
+#: crc32 of a decimal number, byte by byte and bit by bit.
+CRC_SQL = """xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda crc, b: list_reduce(range(8), lambda a, i: xor(a >> 1, 3988292384 * (a & 1)), xor(crc, b)), 4294967295::BIGINT), 4294967295)"""
+OP12_SQL = f"""
+WITH c AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id
+             ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS pos
+           FROM conversations WHERE conv_id IS NOT NULL),
+k AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base, {CRC_SQL} % 9 AS h FROM c GROUP BY conv_id),
+m AS (SELECT k.conv_id, k.base, k.h, least(k.h, coalesce(b.n, 0)) AS m FROM k LEFT JOIN k b ON b.conv_id = k.base),
+t AS (SELECT m.conv_id, pos, role, text FROM m JOIN c ON c.conv_id = m.base AND pos < h
+      UNION ALL SELECT m.conv_id, m + pos - h, role, text FROM m JOIN c ON c.conv_id = m.conv_id AND pos >= h),
+p AS (SELECT conv_id, 0 AS depth, CAST([] AS VARCHAR[]) AS prefix, 0 AS bytes FROM m
+      UNION ALL SELECT conv_id, pos + 1, list(sha256(strlen(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY pos), strlen(text) FROM t),
+l AS (SELECT conv_id, max(depth) AS n FROM p GROUP BY conv_id),
+n AS (SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+        sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = l.n), '')) AS ends_sha256
+      FROM p JOIN l USING (conv_id) GROUP BY depth, prefix),
+f AS (SELECT n.*, q.conv_id AS parent_conv_id, (SELECT count(*) FROM n x WHERE x.depth = n.depth + 1 AND x.prefix[1:x.depth - 1] = n.prefix) AS n_children
+      FROM n LEFT JOIN n q ON q.depth = n.depth - 1 AND q.prefix = n.prefix[1:n.depth - 1]),
+s AS (SELECT prefix[1:d] AS prefix, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * bytes) AS saved_tokens
+      FROM f, unnest(range(depth + 1)) AS r(d) GROUP BY 1)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs, n_children::BIGINT AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM f JOIN s USING (prefix)"""
+
+
+@query("op12_prefix_trie", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of all conversations, rebuilt so that those of one group share their beginnings."""
+    turns, convs = trie.in_order(table(spark, sf_dir, "conversations"))
+    return trie.nodes(*trie.shared_history(turns, convs))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """doc_id, text: in a tenth of the documents, by crc32 of the id, the words repeat from some place on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit("([^\\x20\\x09-\\x0D]+)"))
+    rows = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).cast("int").alias("g"))
+    marked = rows.filter("h % 10 = 0").withColumn("w", words).withColumn("n", F.size("w")).filter("n > 0")
+    marked = marked.withColumn("a", F.col("g") % F.col("n"))
+    marked = marked.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    again = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.get(
+        "w", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))))
+    rest = rows.filter("h IS NULL OR h % 10 <> 0 OR coalesce(regexp_count(text, '[^\\\\x20\\\\x09-\\\\x0D]'), 0) = 0")
+    return rest.select("doc_id", "text").unionByName(marked.select("doc_id", F.array_join(again, " ").alias("text")))
+
+
+@query("op13_word_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, some of them made periodic first."""
+    found = runs.collapse(planted(table(spark, sf_dir, "documents")))
+    power = lambda r: 1000 * r["length"] / r["period"]
+    more = lambda x, y: x["length"] * y["period"] - y["length"] * x["period"]
+    # runs come by start and period, so of equal powers the first stays
+    best = F.aggregate("runs", F.get("runs", F.lit(0)), lambda x, y: F.when(more(x, y) >= 0, x).otherwise(y))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("_best", best)
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.floor(power(F.col("_best"))).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
