@@ -100,26 +100,24 @@ def original(text: bytes, ranges: list[tuple[int, int]]) -> list[tuple[int, int]
 
 
 def scan(docs: DataFrame, windows: list[tuple[str, list[str]]]) -> DataFrame:
-    """doc_id, n_words, ranges (of word numbers), spans (code points), items."""
+    """Columns of docs but text, n_words, ranges (of word numbers), spans (code points), items. Only
+    texts go to Python: beside a null, pandas would hold ids as doubles."""
     held = docs.sparkSession.sparkContext.broadcast(windows)
+    span = "array<struct<begin: bigint, end: bigint>>"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(f"n_words bigint, ranges {span}, spans {span}, items array<string>")
+    def run(series: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scanner = Scanner(held.value)
-        for pdf in batches:
+        as_struct = lambda xs: [{"begin": a, "end": b} for a, b in xs]
+        for column in series:
             rows = []
-            for text in as_bytes(pdf["text"]):
+            for text in as_bytes(column):
                 n, ranges, items = scanner.scan(text)
-                rows.append((n, ranges, original(text, ranges), sorted(items)))
-            out = pd.DataFrame(rows, columns=["n_words", "ranges", "spans", "items"])
-            as_struct = lambda xs: [{"begin": a, "end": b} for a, b in xs]
-            out["ranges"], out["spans"] = out["ranges"].map(as_struct), out["spans"].map(as_struct)
-            for k in pdf.columns.drop("text"):
-                out[k] = pdf[k].to_numpy()
-            yield out
-
-    kept = ", ".join(f"`{k}` {t}" for k, t in docs.dtypes if k != "text")
-    span = "array<struct<begin: bigint, end: bigint>>"
-    return docs.mapInPandas(run, f"{kept}, n_words bigint, ranges {span}, spans {span}, items array<string>")
+                rows.append((n, as_struct(ranges), as_struct(original(text, ranges)), sorted(items)))
+            yield pd.DataFrame(rows, columns=["n_words", "ranges", "spans", "items"])
+
+    rest = [k for k in docs.columns if k != "text"]
+    return docs.select(*rest, run("text").alias("_s")).select(*rest, "_s.*")
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, most: int = PATTERNS) -> DataFrame:
@@ -147,6 +145,19 @@ def contamination(docs: DataFrame, items: DataFrame, width: int = WIDTH, most: i
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")))
 
 
+def free_of(windows: list[tuple[str, list[str]]], docs: DataFrame):
+    """A function of a text: whether none of the windows occurs in it. Texts stay in the JVM."""
+    held = docs.sparkSession.sparkContext.broadcast(windows)
+
+    @F.pandas_udf("boolean")
+    def clean(series: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        scanner = Scanner(held.value)
+        for column in series:
+            yield pd.Series([not scanner.scan(t)[1] for t in as_bytes(column)], dtype=bool)
+
+    return clean
+
+
 def keep_clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, most: int = PATTERNS) -> DataFrame:
     """The rows of docs, with all their columns, in which no window occurs; one scan of the texts for
     each `most` windows."""
@@ -155,14 +166,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, width: int = WIDTH, most: int
     parts = 1 if n <= most else 2 * -(-n // most)
     for part in range(parts):
         mine = windows.filter(F.pmod(F.xxhash64("pattern"), F.lit(parts)) == part).collect()
-        held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in mine])
-
-        def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            scanner = Scanner(held.value)
-            for pdf in batches:
-                yield pdf[[not scanner.scan(t)[1] for t in as_bytes(pdf["text"])]]
-
-        docs = docs.mapInPandas(run, docs.schema)
+        docs = docs.filter(free_of([tuple(r) for r in mine], docs)("text"))
         if part + 1 < parts:
             docs = write_and_read(docs, "bench-clean")
     return docs

@@ -61,26 +61,28 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return slots.T.ravel(), 3 * first
 
 
-def parts(slots: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A row per text: the part of each slot among its n-grams."""
-    n = len(first) - 1
-    doc = np.repeat(np.arange(n), np.diff(first))
-    counts = np.bincount(doc * (1 << BITS) + slots, minlength=n << BITS).reshape(n, -1)
-    return SCALE * counts / np.maximum(1, np.diff(first))[:, None]
-
-
-def svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss by dual coordinate descent; y is -1 or 1."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, alpha = np.zeros(x.shape[1]), np.zeros(len(x))
-    norm = np.einsum("ij,ij->i", x, x) + 0.5 / cost
+def parts(slots: np.ndarray, first: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each text the slots it has n-grams in, and the part of each among its n-grams."""
+    out = []
+    for a, b in zip(first[:-1], first[1:]):
+        at, counts = np.unique(slots[a:b], return_counts=True)
+        out.append((at.astype(np.int32), (SCALE * counts / max(1, b - a)).astype(np.float32)))
+    return out
+
+
+def svm(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 1.0, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+    """Linear machine with squared hinge loss by dual coordinate descent over sparse rows; y is -1 or 1."""
+    w, alpha = np.zeros((1 << BITS) + 1), np.zeros(len(x))  # the last weight is the bias
+    norm = np.array([float(v @ v) for _, v in x]) + 1 + 0.5 / cost
     random = np.random.default_rng(7)
     for _ in range(epochs):
         for i in random.permutation(len(x)):
-            gradient = y[i] * (x[i] @ w) - 1 + alpha[i] * 0.5 / cost
+            at, value = x[i]
+            gradient = y[i] * (w[at] @ value + w[-1]) - 1 + alpha[i] * 0.5 / cost
             new = max(0.0, alpha[i] - gradient / norm[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                w[at] += (new - alpha[i]) * y[i] * value
+                w[-1] += (new - alpha[i]) * y[i]
                 alpha[i] = new
     return w[:-1], float(w[-1])
 
@@ -88,22 +90,21 @@ def svm(x: np.ndarray, y: np.ndarray, cost: float = 1.0, epochs: int = EPOCHS) -
 class Model:
     """Machines for families (one against the rest) and for pairs of languages within a family."""
 
-    def __init__(self, texts: list[str], langs: list[str]):
+    def __init__(self, x: list[tuple[np.ndarray, np.ndarray]], langs: list[str]):
         self.families: dict[str, list[str]] = {}
         for lang in sorted(set(langs)):
             self.families.setdefault(FAMILY_OF.get(lang, "rest"), []).append(lang)
         self.names = list(self.families)
         self.pairs = [(f, a, b) for f, members in self.families.items() for a, b in combinations(members, 2)]
         self.weights, self.bias = np.zeros((0, 1 << BITS), np.float32), np.zeros(0)
-        if not texts:
+        if not x:
             return
-        x = parts(*grams([t.lower() for t in texts]))
         label = np.array(langs)
         family = np.array([FAMILY_OF.get(lang, "rest") for lang in langs])
         fitted = [svm(x, np.where(family == f, 1.0, -1.0)) for f in self.names] if len(self.names) > 1 else []
         for _, a, b in self.pairs:
             mine = (label == a) | (label == b)
-            fitted.append(svm(x[mine], np.where(label[mine] == a, 1.0, -1.0)))
+            fitted.append(svm([x[i] for i in np.flatnonzero(mine)], np.where(label[mine] == a, 1.0, -1.0)))
         if fitted:
             self.weights = np.array([w for w, _ in fitted], np.float32)
             self.bias = np.array([b for _, b in fitted])
@@ -150,9 +151,18 @@ def train(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) ->
         chosen = chosen.filter(F.col("_rank") <= max(1, sample * languages // many))
     ids = [tuple(r) for r in chosen.select("doc_id", "lang").distinct().collect()]
     few = docs.sparkSession.createDataFrame(ids, f"doc_id {dict(docs.dtypes)['doc_id']}, lang string")
-    rows = usable.join(F.broadcast(few), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text")).collect()
+
+    @F.pandas_udf("at array<int>, part array<float>")
+    def counted(column: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text in column:  # one at a time: a text may be long
+            rows += parts(*grams([text.lower()]))
+        return pd.DataFrame({"at": [a for a, _ in rows], "part": [p for _, p in rows]})
+
+    texts = usable.join(F.broadcast(few), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    rows = texts.select("doc_id", "lang", counted("text").alias("x")).collect()  # 2^13 numbers a row at most
     rows.sort(key=lambda r: (r["doc_id"], r["lang"]))
-    return Model([r["text"] for r in rows], [r["lang"] for r in rows])
+    return Model([(np.array(r["x"]["at"], np.int32), np.array(r["x"]["part"], np.float32)) for r in rows], [r["lang"] for r in rows])
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES) -> DataFrame:
@@ -165,13 +175,14 @@ def identify(docs: DataFrame, sample: int = SAMPLE, languages: int = LANGUAGES)
     """
     model = docs.sparkSession.sparkContext.broadcast(train(docs, sample, languages))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            for a, b in blocks([len(t) for t in texts], 1 << 20):
-                langs, scores = model.value.predict(texts[a:b])
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b], "held_out": pdf["held_out"].iloc[a:b], "lang_pred": langs, "score": scores})
-
-    rows = docs.select("doc_id", held_out(docs).alias("held_out"), "text")
-    kind = dict(docs.dtypes)["doc_id"]
-    return rows.mapInPandas(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double")
+    def run(column: pd.Series) -> pd.DataFrame:
+        texts, langs, scores = [t if isinstance(t, str) else "" for t in column], [], []
+        for a, b in blocks([len(t) for t in texts], 1 << 20):
+            mine = model.value.predict(texts[a:b])
+            langs += mine[0]
+            scores += mine[1].tolist()
+        return pd.DataFrame({"lang_pred": pd.Series(langs, dtype=object), "score": pd.Series(scores, dtype=float)})
+
+    # ids stay in the JVM: beside a null, pandas would hold them as doubles
+    return docs.select("doc_id", held_out(docs).alias("held_out"), run("text").alias("_p")).select("doc_id", "held_out", "_p.*")

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.words import IN_WORD, LEADS, Block, as_bytes, blocks, mix, stream, whole_windows, windows
@@ -138,25 +138,23 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS):
     return post[:, 1], given, share
 
 
-def scored(docs: DataFrame, with_text: bool = True) -> DataFrame:
-    """Rows of docs with _q_ columns: counts, pattern, failed, posterior. Written once, as the posterior
-    needs the patterns of all rows; what is collected and sent out is 3^rules patterns at most."""
+def votes_of(docs: DataFrame) -> DataFrame:
+    """Rows of docs with _q: counts and vote pattern. Texts stay in the JVM."""
     kind = ", ".join([*(f"{k} bigint" for k in FEATURES), "pattern int"])
-    told = docs.withColumn("_q", F.pandas_udf(score_texts, f"struct<{kind}>")("text"))  # texts stay in the JVM
-    rest = [k for k in docs.columns if with_text or k != "text"]
-    rows = write_and_read(told.select(*rest, *(F.col(f"_q.{k}").alias(f"_q_{k}") for k in (*FEATURES, "pattern"))), "quality-votes")
-    counted = rows.groupBy("_q_pattern").count().collect()
-    patterns = np.array([r[0] for r in counted], np.int64)
-    post = fit(patterns, np.array([r[1] for r in counted], float))[0] if counted else []
-    told = [(int(p), float(x)) for p, x in zip(patterns, post)]
-    table = docs.sparkSession.createDataFrame(told, "_q_pattern int, _q_posterior double")
-    failed = (F.col("_q_n_words") < MIN_WORDS) | (
-        100 * F.col("_q_n_repeat_words") > REPEAT_PERCENT * F.col("_q_n_words"))
-    return rows.join(F.broadcast(table), "_q_pattern").withColumn("_q_failed", failed)
+    # not deterministic as far as the optimizer knows, which would else count again in each filter on _q
+    return docs.withColumn("_q", F.pandas_udf(score_texts, f"struct<{kind}>").asNondeterministic()("text"))
 
 
-def kept(threshold: float):
-    return ~F.col("_q_failed") & (F.col("_q_posterior") >= threshold)
+def posteriors(patterns: DataFrame) -> DataFrame:
+    """_q_pattern, _q_posterior of the patterns in column _q_pattern: 3^rules at most are collected and sent out."""
+    counted = patterns.groupBy("_q_pattern").count().collect()
+    seen = np.array([r[0] for r in counted], np.int64)
+    post = fit(seen, np.array([r[1] for r in counted], float))[0] if counted else []
+    return patterns.sparkSession.createDataFrame([(int(p), float(x)) for p, x in zip(seen, post)], "_q_pattern int, _q_posterior double")
+
+
+def failing(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < MIN_WORDS) | (100 * n_repeat_words > REPEAT_PERCENT * n_words)
 
 
 def assess(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -166,11 +164,18 @@ def assess(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     A null or empty text has no words: no rule votes and the base test fails. Rows with equal
     texts get equal verdicts; no rows give no rows; no columns but doc_id and text are read.
     """
-    return scored(docs.select("doc_id", "text"), with_text=False).select(
-        "doc_id", *(F.col(f"_q_{k}").alias(k) for k in FEATURES), F.col("_q_failed").alias("base_failed"),
-        F.col("_q_posterior").alias("posterior"), kept(threshold).alias("kept"))
+    told = votes_of(docs.select("doc_id", "text"))
+    rows = write_and_read(told.select("doc_id", *(F.col(f"_q.{k}") for k in FEATURES), F.col("_q.pattern").alias("_q_pattern")), "quality-votes")
+    rows = rows.join(F.broadcast(posteriors(rows)), "_q_pattern")
+    failed = failing(F.col("n_words"), F.col("n_repeat_words"))
+    return rows.select("doc_id", *FEATURES, failed.alias("base_failed"), F.col("_q_posterior").alias("posterior"),
+                       (~failed & (F.col("_q_posterior") >= threshold)).alias("kept"))
 
 
 def keep_good(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, with all their columns, that are kept."""
-    return scored(docs).filter(kept(threshold)).select(docs.columns)
+    """The rows of docs, with all their columns, that are kept. Texts are read twice, once for the patterns
+    that the posterior needs and once for the rows, rather than written between."""
+    told = votes_of(docs)
+    good = posteriors(told.select(F.col("_q.pattern").alias("_q_pattern"))).filter(F.col("_q_posterior") >= threshold)
+    told = told.filter(~failing(F.col("_q.n_words"), F.col("_q.n_repeat_words"))).withColumn("_q_pattern", F.col("_q.pattern"))
+    return told.join(F.broadcast(good), "_q_pattern", "left_semi").select(*docs.columns)
