@@ -6,17 +6,16 @@ among the first n - ceil(percent n / 100) + 1 of each; so texts meet in cells, o
 shingle that several texts have. Frequent shingles come last in that order.
 
 In a cell texts stand in a signature tree: a leaf is a text's bitmap of hashed shingles and its
-size, a node holds its children's bitmaps OR-combined, their range of sizes and the most bits that
-a text lost by collision. Two nodes are compared by the largest overlap that any pair below can
-have, and pairs that cannot reach the threshold are dropped with everything below them. What is left is
+size, a node holds its children's bitmaps OR-combined, their range of sizes and components, and the most bits
+that a text lost by collision. Two nodes are compared by the largest overlap that any pair below can have;
+pairs that cannot reach the threshold, or lie in one component, are dropped with everything below them. The
+trees of many cells are walked together, level by level. Texts of a pair that is left meet in one task and are
 compared by the sets themselves.
 
-Only components are produced: pairs already in one component are not looked for, so neither all
-links nor a text's number of links can be had from this module. Links are looked for in three turns: each text with the first of its
-cell; then every pair of a cell that the trees leave and that lies in two components, or, where such
-pairs are many, each text with its likeliest partner; then what is left of those cells. Each turn
-starts from the components that the one before found. The first turn uses no tree, and cells of up to
-FEW texts are compared text by text with flat bitmaps; trees stand in larger cells only.
+Only components are produced, not all links: pairs already in one component are not looked for. Links are
+looked for in two turns. First each text meets the first text of one of its shingles, that which
+it shares most of them with; they are compared exactly, without a tree, which settles groups of copies in linear
+time. Then all pairs of a cell that lie in two components go through its tree, whatever its size.
 """
 
 from __future__ import annotations
@@ -26,9 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lectern.llm.cells import best_leads, exact_links, likely_cells, lists_of, open_cells, picked, star_cells, whole_cells, without
 from lectern.llm.words import Block, as_bytes, blocks, mix, whole_windows, windows
 from lectern.session import cut_lineage, write_and_read
 
@@ -38,12 +39,8 @@ PERCENT = 80
 FREQUENT = 1 << 16
 #: A shingle is counted where so many texts of one block of texts have it.
 OFTEN = 6
-#: Texts of one size class and shingle in one cell at most, on average; more are cut into pairs of blocks.
-CELL = 1500
-#: Numbers that ids are hashed to when texts are picked out; all of them are 8 MB.
-PICK = 1 << 20
-#: Pairs a text in a cell from which on it is settled in two turns.
-CROWD = 4.0
+#: Rows of cells whose trees are built at once, on the whole; bytes of bitmaps that are compared at once.
+ROWS, STEP_BYTES = 1 << 12, 8 << 20
 LEAST_BITS, MOST_BITS = 64, 1 << 16
 
 
@@ -81,26 +78,26 @@ def in_blocks(pdf: pd.DataFrame, width: int) -> Iterator[tuple[np.ndarray, list[
 
 
 def survey(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n, two halves of the set's digest; frequent shingles of a block on one of its rows."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for ids, sets in in_blocks(pdf, width):
-                marks = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-                halves = np.frombuffer(b"".join(marks), "<i8").reshape(-1, 2)
-                every = np.sort(np.concatenate(sets))
-                edge = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1], [True]])) if len(every) else np.zeros(1, np.int64)
-                times = np.diff(edge)
-                most = np.flatnonzero(times >= OFTEN)
-                most = most[np.argsort(-times[most])[: FREQUENT // 16]]
-                rows = pd.DataFrame({"doc_id": ids, "n": [len(s) for s in sets], "d1": halves[:, 0], "d2": halves[:, 1]})
-                rows["often"] = [every[edge[most]].view(np.int64) if i == 0 else [] for i in range(len(rows))]
-                rows["times"] = [times[most] if i == 0 else [] for i in range(len(rows))]
-                yield rows
-
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInPandas(
-        run, f"doc_id {kind}, n bigint, d1 bigint, d2 bigint, often array<bigint>, times array<bigint>")
+    """doc_id, n, two halves of the set's digest; frequent shingles of a block on one of its rows. Only
+    texts go to Python: beside a null, pandas would hold ids as doubles."""
+
+    @F.pandas_udf("n bigint, d1 bigint, d2 bigint, often array<bigint>, times array<bigint>")
+    def run(column: pd.Series) -> pd.DataFrame:
+        texts, parts = as_bytes(column), []
+        for a, b in blocks([len(t) for t in texts]):
+            sets = shingle_sets(texts[a:b], width)
+            marks = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+            halves = np.frombuffer(b"".join(marks), "<i8").reshape(-1, 2)
+            every, count = np.unique(np.concatenate(sets), return_counts=True)
+            most = np.flatnonzero(count >= OFTEN)
+            most = most[np.argsort(-count[most])[: FREQUENT // 16]]
+            rows = pd.DataFrame({"n": [len(s) for s in sets], "d1": halves[:, 0], "d2": halves[:, 1]})
+            rows["often"] = [every[most].view(np.int64) if i == 0 else [] for i in range(len(rows))]
+            rows["times"] = [count[most] if i == 0 else [] for i in range(len(rows))]
+            parts.append(rows)
+        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({k: [] for k in ("n", "d1", "d2", "often", "times")})
+
+    return docs.select("doc_id", run("text").alias("_s")).select("doc_id", "_s.*")
 
 
 def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -130,56 +127,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) ->
     return docs.mapInPandas(run, f"token bigint, doc_id {dict(docs.dtypes)['doc_id']}, often boolean")
 
 
-def bucket() -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(PICK)).cast("int").alias("_pick")
-
-
-def picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id may be in ids: those that share its number of PICK, which are few
-    more while ids are far fewer than PICK, and all at worst. No text is shuffled; what goes to all
-    tasks is at most PICK numbers."""
-    few = F.broadcast(ids.select(bucket()).distinct())
-    return docs.withColumn("_pick", bucket()).join(few, "_pick", "left_semi").drop("_pick")
-
-
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of docs whose doc_id is not in ids. Only texts whose hash number one of ids shares are shuffled."""
-    few = F.broadcast(ids.select(bucket()).distinct())
-    marked = docs.withColumn("_pick", bucket())
-    near = marked.join(few, "_pick", "left_semi").join(ids, "doc_id", "left_anti")
-    return marked.join(few, "_pick", "left_anti").unionByName(near).drop("_pick")
-
-
-# -- comparing the sets ------------------------------------------------------------
-
-
-def verified(edges: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those edges (a, b) whose texts link."""
-    firsts, seconds = (edges.select(F.col(k).alias("doc_id")).distinct() for k in "ab")
-    left = picked(docs, firsts).select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = picked(docs, seconds).select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, np.ndarray] = {}
-        for pdf in batches:
-            firsts, seconds = pdf["text_a"].tolist(), pdf["text_b"].tolist()
-            for a, b in blocks([len(t) for t in seconds], 1 << 20):
-                new = list({t for t in firsts[a:b] if t not in known})
-                sets = shingle_sets(as_bytes(new + seconds[a:b]), width)
-                if sum(map(len, known)) > 1 << 22:
-                    known = {t: known[t] for t in set(firsts[a:b]) if t in known}
-                known.update(zip(new, sets))
-                keep = []
-                for t, y in zip(firsts[a:b], sets[len(new) :]):
-                    x = known[t]
-                    common = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(linked(common, len(x), len(y), percent))
-                part = pdf.iloc[a:b]
-                yield part.loc[np.array(keep, bool), ["a", "b"]]
-
-    kind = dict(edges.dtypes)["a"]
-    paired = edges.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return write_and_read(paired.mapInPandas(run, f"a {kind}, b {kind}"), "links")
+# -- components --------------------------------------------------------------------
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -208,8 +156,8 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def width_of(n: int) -> int:
-    """Bits of a set of n: a power of two, at least four for each element."""
-    return min(MOST_BITS, max(LEAST_BITS, 1 << (4 * max(1, n) - 1).bit_length()))
+    """Bits of a set of n: a power of two, at least one for each element."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (max(1, n) - 1).bit_length()))
 
 
 def bitmap(s: np.ndarray) -> bytes:
@@ -218,235 +166,115 @@ def bitmap(s: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def folded(maps: list[bytes]) -> np.ndarray:
-    """Bitmaps as rows of 64-bit words, folded (halves OR-combined) to the narrowest width."""
-    least = min(map(len, maps))
+def folded(maps: list[bytes], least: int) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, folded (halves OR-combined) to `least` bytes."""
     return np.stack([np.bitwise_or.reduce(np.frombuffer(m, np.uint64).reshape(-1, least // 8), axis=0) for m in maps])
 
 
-class Tree:
-    """Levels of nodes over texts ordered by size and signature, two children a node."""
-
-    def __init__(self, sizes: np.ndarray, maps: np.ndarray):
-        bits = np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
-        self.levels = [(maps, sizes, sizes, sizes - bits)]  # bitmap, least and most size, most lost bits
-        while len(self.levels[-1][0]) > 1:
-            maps, low, high, lost = self.levels[-1]
-            at = np.arange(0, len(maps), 2)
-            self.levels.append((np.bitwise_or.reduceat(maps, at, axis=0), np.minimum.reduceat(low, at),
-                                np.maximum.reduceat(high, at), np.maximum.reduceat(lost, at)))
-
-    def possible(self, other: Tree, level: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-        """Whether any text below nodes a can link with any below nodes b of the other tree."""
-        m1, low1, high1, lost1 = self.levels[level]
-        m2, low2, high2, lost2 = other.levels[level]
-        most = np.bitwise_count(m1[a] & m2[b]).sum(axis=1, dtype=np.int64) + np.minimum(lost1[a], lost2[b])
-        if level == 0:  # every bit that the other lacks is a shingle that the other lacks
-            most = np.minimum(high1[a] - np.bitwise_count(m1[a] & ~m2[b]).sum(axis=1, dtype=np.int64), high2[b] - np.bitwise_count(m2[b] & ~m1[a]).sum(axis=1, dtype=np.int64))
-        most = np.minimum(most, np.minimum(high1[a], high2[b]))
-        need = percent * (low1[a] + low2[b])  # common >= percent (n + m) / (100 + percent)
-        return ((100 + percent) * most >= need) & (100 * high1[a] >= percent * low2[b]) & (100 * high2[b] >= percent * low1[a])
-
-
-#: Pairs, and bytes of their bitmaps, that are compared at once.
-STEP, STEP_BYTES = 1 << 14, 8 << 20
-
-
-def step_of(words: int) -> int:
-    """Pairs of bitmaps of so many 64-bit words that are compared at once."""
-    return max(64, min(STEP, STEP_BYTES // (8 * words)))
-
-
-def dual(one: Tree, two: Tree, same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of texts that the traversal from the roots leaves; of one tree with itself, each pair once."""
-    top = max(len(one.levels), len(two.levels)) - 1
-    for tree in (one, two):
-        while len(tree.levels) <= top:
-            tree.levels.append(tree.levels[-1])
-    step = step_of(one.levels[0][0].shape[1])
-    stack = [(top, np.zeros(1, np.int64), np.zeros(1, np.int64))]
-    left, right = [], []
-    while stack:
-        level, a, b = stack.pop()
-        keep = one.possible(two, level, a, b, percent)
-        a, b = a[keep], b[keep]
-        if level == 0:
-            if same:
-                a, b = a[a < b], b[a < b]
-            left.append(a)
-            right.append(b)
-            continue
-        n, m = len(one.levels[level - 1][0]), len(two.levels[level - 1][0])
-        split1, split2 = n > len(one.levels[level][0]), m > len(two.levels[level][0])
-        down1 = [2 * a, 2 * a + 1] if split1 else [a]
-        down2 = [2 * b, 2 * b + 1] if split2 else [b]
-        x = np.concatenate([p for p in down1 for _ in down2])
-        y = np.concatenate([q for _ in down1 for q in down2])
-        good = (x < n) & (y < m) & ((x <= y) if same else True)
-        x, y = x[good], y[good]
-        stack += [(level - 1, x[i : i + step], y[i : i + step]) for i in range(0, len(x), step)]
-    none = np.zeros(0, np.int64)
-    return np.concatenate(left or [none]), np.concatenate(right or [none])
-
-
-#: Cells of up to so many texts are compared text by text, many cells at once; a tree would be as wide.
-FEW = 24
-
-
-class Maps:
-    """Bitmaps of many texts, by width, for comparing pairs of any widths."""
-
-    def __init__(self, maps: list[bytes]):
-        self.wide = np.array([len(m) // 8 for m in maps])
-        self.place, self.rows = np.zeros(len(maps), np.int64), {}
-        for w in np.unique(self.wide):
-            mine = np.flatnonzero(self.wide == w)
-            self.place[mine] = np.arange(len(mine))
-            self.rows[w] = np.frombuffer(b"".join(maps[i] for i in mine), np.uint64).reshape(-1, w)
-
-    def row(self, at: np.ndarray, width: int, to: int) -> np.ndarray:
-        full = self.rows[width][self.place[at]]
-        return full if to == width else np.bitwise_or.reduce(full.reshape(len(at), -1, to), axis=1)
-
-    def overlap(self, a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each pair the largest possible overlap, and the bits in common."""
-        most, common = np.zeros(len(a), np.int64), np.zeros(len(a), np.int64)
-        pair = self.wide[a] * (1 << 20) + self.wide[b]
-        for code in np.unique(pair):
-            wa, wb = int(code >> 20), int(code & ((1 << 20) - 1))
-            at = np.flatnonzero(pair == code)
-            for mine in np.array_split(at, 1 + len(at) // step_of(max(wa, wb))):
-                x, y = self.row(a[mine], wa, min(wa, wb)), self.row(b[mine], wb, min(wa, wb))
-                lack = [np.bitwise_count(p & ~q).sum(axis=1, dtype=np.int64) for p, q in ((x, y), (y, x))]
-                most[mine] = np.minimum(sizes[a[mine]] - lack[0], sizes[b[mine]] - lack[1])
-                common[mine] = np.bitwise_count(x & y).sum(axis=1, dtype=np.int64)
-        return most, common
-
-
-def tree_pairs(sizes: np.ndarray, side: np.ndarray, maps: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one cell's texts that the trees leave: within the cell, or between its sides if it has two."""
-    order = np.array(sorted(range(len(maps)), key=lambda i: (sizes[i], maps[i])))
-    rows = folded([maps[i] for i in order])
-    if side.any() and not side.all():
-        parts = [np.flatnonzero(side[order] == k) for k in (0, 1)]
-        a, b = dual(*(Tree(sizes[order][p], rows[p]) for p in parts), False, percent)
-        a, b = parts[0][a], parts[1][b]
-    else:
-        a, b = dual(tree := Tree(sizes[order], rows), tree, True, percent)
-    return order[a], order[b]
-
-
-def pairs_of(cell: np.ndarray, rows: pd.DataFrame, few: float, percent: int) -> pd.DataFrame:
-    """Pairs in two components that can link, for rows in order of their cell; two_sided cells pair
-    side with side. Of a cell with more than `few` pairs a text only each text's likeliest partner
-    is told, and the cell's shingle with it: `token` of its pairs is not null."""
-    sizes, roots, side = rows["n"].to_numpy(np.int64), rows["root"].to_numpy(), rows["side"].to_numpy()
-    ids, maps = rows["doc_id"].to_numpy(), rows["bits"].tolist()
-    edges = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1], [True]]))
-    count = np.repeat(np.diff(edges), np.diff(edges))
-    two_sided = rows["i"].to_numpy() != rows["j"].to_numpy()
-    two_sided |= rows["low"].to_numpy() % 2 == 1
-    left, right = [], []
-    for k in range(1, FEW):
-        a = np.flatnonzero((count[:-k] <= FEW) & (cell[:-k] == cell[k:])) if len(cell) > k else np.zeros(0, np.int64)
-        left.append(a)
-        right.append(a + k)
-    for begin, end in zip(edges[:-1], edges[1:]):
-        if end - begin > FEW:
-            mine = slice(begin, end)
-            if two_sided[begin] and (side[mine].all() or not side[mine].any()):
-                continue
-            a, b = tree_pairs(sizes[mine], side[mine], maps[mine], percent)
-            left.append(a + begin)
-            right.append(b + begin)
-    a, b = np.concatenate(left), np.concatenate(right)
-    low, high = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
-    fit = (roots[a] != roots[b]) & (100 * low >= percent * high) & (~two_sided[a] | (side[a] != side[b]))
-    a, b = a[fit], b[fit]
-    most, common = Maps(maps).overlap(a, b, sizes)
-    fit = (100 + percent) * most >= percent * (sizes[a] + sizes[b])
-    a, b, common = a[fit], b[fit], common[fit]
-    size = np.bincount(cell)
-    crowded = np.bincount(cell[a], minlength=len(size)) > few * size
-    short = crowded[cell[a]]
-    x, y, c = (np.concatenate(z)[np.concatenate([short] * 2)] for z in ([a, b], [b, a], [common / (sizes[a] + sizes[b])] * 2))
-    order = np.lexsort((ids[y], -c, x))
-    first = order[np.concatenate([[True], x[order][1:] != x[order][:-1]])] if len(x) else order
-    a, b = np.concatenate([a[~short], x[first]]), np.concatenate([b[~short], y[first]])
-    token = pd.array(rows["token"].to_numpy()[a], "Int64")
-    token[: (~short).sum()] = pd.NA
-    return pd.DataFrame({"a": np.minimum(ids[a], ids[b]), "b": np.maximum(ids[a], ids[b]), "token": token}).drop_duplicates()
-
-
-CELL_KEY = ["token", "low", "i", "j"]
-
-
-def candidate_pairs(marked: DataFrame, few: float, percent: int) -> DataFrame:
-    """Pairs of all cells; a task takes whole cells in order, as many at once as a batch holds."""
+class Forest:
+    """Signature trees of some cells, built and walked together: levels of nodes, two children a node.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for pdf in batches:
-            held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-            keys = held[CELL_KEY].to_numpy()
-            new = np.concatenate([[True], (keys[1:] != keys[:-1]).any(axis=1)])
-            last = np.flatnonzero(new)[-1]  # this cell may go on in the next batch
-            if last:
-                yield pairs_of(np.cumsum(new)[:last], held.iloc[:last], few, percent)
-                held = held.iloc[last:]
-        if held is not None:
-            yield pairs_of(np.zeros(len(held), np.int64), held, few, percent)
-
-    kind = dict(marked.dtypes)["doc_id"]
-    return marked.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInPandas(run, f"a {kind}, b {kind}, token bigint")
-
-
-def size_class(n: Column, percent: int) -> Column:
-    """Classes of a step of 100 / percent: sizes of a link are in the same or in neighbouring ones."""
-    if percent >= 100:
-        return n.cast("int")
-    return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
-
-
-def cells(members: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Members (token, doc_id, n) of shingles whose texts are not all in one component, dealt to cells.
-
-    Shingles with the very same texts make one cell. Texts of a shingle are dealt by size class (a
-    step of 100 / percent, the most that two linked sizes differ by); classes with many texts are cut into
-    blocks, and every pair of blocks of the same or the next class is a cell of its own."""
-    known = members.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    mixed = known.groupBy("token").agg(
-        F.min("root").alias("_r1"), F.max("root").alias("_r2"), F.count(F.lit(1)).alias("_count"),
-        F.expr("bit_xor(xxhash64(doc_id))").alias("_x"), F.expr("bit_xor(xxhash64(doc_id, 7))").alias("_y"))
-    chosen = mixed.filter("_r1 <> _r2").groupBy("_count", "_x", "_y").agg(F.min("token").alias("token")).select("token")
-    open_ = known.join(chosen, "token").withColumn("class", size_class(F.col("n"), percent))
-    open_ = write_and_read(open_, "cell-members")
-    counts = open_.groupBy("token", "class").agg(
-        F.ceil(F.count(F.lit(1)) / CELL).cast("int").alias("cuts"), F.count(F.lit(1)).alias("texts"))
-    near = counts.select("token", (F.col("class") - 1).alias("class"), F.col("cuts").alias("above"))
-    before = counts.select("token", (F.col("class") + 1).alias("class"), F.col("cuts").alias("below"))
-    counts = counts.withColumn("alone", F.col("texts") == 1).drop("texts")
-    cuts = counts.join(near, ["token", "class"], "left").join(before, ["token", "class"], "left").fillna(0, ["above", "below"])
-    dealt = open_.join(cuts, ["token", "class"]).withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("cuts")).cast("int"))
-    upto = lambda n, f: F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), f))
-    at = lambda low, i, j, side: F.struct(low.alias("low"), i.alias("i"), j.alias("j"), side.cast("int").alias("side"))
-    mine, none = F.col("mine"), F.lit(-1)
-    # with its own class: blocks (i, j), i <= j; block i stands on side 0, block j on side 1, i = j alone
-    own = upto(F.when(~F.col("alone"), F.col("cuts")).otherwise(0), lambda j: at(F.col("class") * 2, F.least(mine, j), F.greatest(mine, j), mine > j))
-    up = upto(F.col("above"), lambda j: at(F.col("class") * 2 + 1, mine, j, F.lit(0)))
-    down = upto(F.col("below"), lambda j: at(F.col("class") * 2 - 1, j, mine, F.lit(1)))
-    empty = F.array().cast("array<struct<low: int, i: int, j: int, side: int>>")
-    every = F.concat(*(F.coalesce(x, empty) for x in (own, up, down)))
-    return dealt.select("token", "doc_id", "n", "root", F.explode(every).alias("c")).select("token", "doc_id", "n", "root", "c.*")
+    Rows stand by tree; a leaf is a text's bitmap, size and component, a node its children's bitmaps OR-combined,
+    their range of sizes, the most bits lost by collision, and the range of components.
+    """
+
+    def __init__(self, tree: np.ndarray, sizes: np.ndarray, maps: np.ndarray, roots: np.ndarray):
+        lost = sizes - np.bitwise_count(maps).sum(axis=1, dtype=np.int64)
+        self.levels, self.first = [(maps, sizes, sizes, lost, roots, roots)], []
+        self.trees = int(tree[-1]) + 1 if len(tree) else 0
+        self.looked = 0  # pairs of nodes that were compared
+        while (tree[1:] == tree[:-1]).any():
+            place = np.arange(len(tree))
+            new = np.concatenate([[True], tree[1:] != tree[:-1]])
+            at = np.flatnonzero((place - np.maximum.accumulate(np.where(new, place, 0))) % 2 == 0)
+            folds = (np.bitwise_or, np.minimum, np.maximum, np.maximum, np.minimum, np.maximum)
+            self.levels.append(tuple(f.reduceat(x, at, axis=0) for f, x in zip(folds, self.levels[-1])))
+            self.first.append(np.append(at, len(tree)))
+            tree = tree[at]
+
+    def possible(self, level: int, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+        """Whether any text below nodes a can link with any of another component below nodes b."""
+        maps, low, high, lost, least, most_ = self.levels[level]
+        fit = ((least[a] != most_[a]) | (least[b] != most_[b]) | (least[a] != least[b])) & (
+            (100 * high[a] >= percent * low[b]) & (100 * high[b] >= percent * low[a]))
+        at = np.flatnonzero(fit)
+        step = max(64, STEP_BYTES // (8 * maps.shape[1]))
+        for k in range(0, len(at), step):
+            i = at[k : k + step]
+            x, y = a[i], b[i]
+            most = np.bitwise_count(maps[x] & maps[y]).sum(axis=1, dtype=np.int64) + np.minimum(lost[x], lost[y])
+            if level == 0:  # every bit that the other lacks is a shingle that the other lacks
+                lack = [np.bitwise_count(maps[p] & ~maps[q]).sum(axis=1, dtype=np.int64) for p, q in ((x, y), (y, x))]
+                most = np.minimum(most, np.minimum(high[x] - lack[0], high[y] - lack[1]))
+            most = np.minimum(most, np.minimum(high[x], high[y]))
+            fit[i] = (100 + percent) * most >= percent * (low[x] + low[y])  # common >= percent (n + m) / (100 + percent)
+        self.looked += len(at)
+        return fit
+
+    def pairs(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of rows of one tree, each once, that the dual traversal from the roots leaves."""
+        a = b = np.arange(self.trees)
+        for level in range(len(self.levels) - 1, -1, -1):
+            keep = self.possible(level, a, b, percent)
+            a, b = a[keep], b[keep]
+            if level:
+                first = self.first[level - 1]
+                two_a, two_b = first[a + 1] - first[a] == 2, first[b + 1] - first[b] == 2
+                every = [(a, b, 0, 0), (a[two_a], b[two_a], 1, 0), (a[two_b], b[two_b], 0, 1), (a[two_a & two_b], b[two_a & two_b], 1, 1)]
+                x = np.concatenate([first[p] + i for p, _, i, _ in every])
+                y = np.concatenate([first[q] + j for _, q, _, j in every])
+                a, b = x[x <= y], y[x <= y]
+        return a, b
+
+
+def tree_pairs(number: np.ndarray, sizes: np.ndarray, maps: list[bytes], roots: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Pairs of rows of one cell that can link and lie in two components, and how many pairs of nodes were compared.
+    number: each row's cell, in order. The cells of one narrowest width make a forest."""
+    wide = np.array([len(m) for m in maps])
+    starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
+    cell = np.cumsum(np.concatenate([[False], number[1:] != number[:-1]]))
+    narrowest = np.minimum.reduceat(wide, starts)[cell]
+    _, code = np.unique(roots, return_inverse=True)
+    # texts of one component side by side, then by size and bitmap, so that nodes are alike
+    _, both, times = np.unique(cell * (len(code) + 1) + code, return_inverse=True, return_counts=True)
+    group = np.where(times[both] > 1, code, -1)
+    left, right, looked = [], [], 0
+    for width in np.unique(narrowest):
+        mine = np.flatnonzero(narrowest == width)
+        mine = np.array(sorted(mine, key=lambda i: (cell[i], group[i], sizes[i], maps[i])))
+        _, tree = np.unique(cell[mine], return_inverse=True)
+        forest = Forest(tree, sizes[mine], folded([maps[i] for i in mine], int(width)), code[mine])
+        a, b = forest.pairs(percent)
+        left.append(mine[a])
+        right.append(mine[b])
+        looked += forest.looked
+    return np.concatenate(left), np.concatenate(right), looked
+
+
+CELL_KEY = ["token", "i", "j"]
+
+
+def likely(cells: DataFrame, percent: int) -> DataFrame:
+    """docs: of each cell the texts that its tree leaves in some pair. A task takes whole cells, many at once."""
+
+    def compare(columns: dict, number: np.ndarray) -> pa.RecordBatch:
+        ids, n, roots = (columns[k].to_numpy() for k in ("doc_id", "n", "root"))
+        good = np.zeros(len(ids), bool)
+        a, b, _ = tree_pairs(number, n, columns["bits"].to_pylist(), roots, percent)
+        good[a] = good[b] = True
+        return lists_of(good, number, ids, columns["doc_id"].type)
+
+    rows = cells.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY)
+    return rows.mapInArrow(whole_cells(CELL_KEY, ROWS, compare), f"docs array<{dict(cells.dtypes)['doc_id']}>")
 
 
 def bitmaps(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for ids, sets in in_blocks(pdf, width):
-                yield pd.DataFrame({"doc_id": ids, "bits": [bitmap(s) for s in sets]})
+                yield pd.DataFrame({"doc_id": ids, "n": [len(s) for s in sets], "bits": [bitmap(s) for s in sets]})
 
-    return docs.mapInPandas(run, f"doc_id {dict(docs.dtypes)['doc_id']}, bits binary")
+    return docs.mapInPandas(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n bigint, bits binary")
 
 
 # -- the join ----------------------------------------------------------------------
@@ -475,24 +303,19 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     members = met.join(copies, "doc_id").select("token", F.col("first").alias("doc_id"), "n").distinct()
     members = write_and_read(members, "members")
 
-    # first turn: each text with the first of its shingle
+    # first turn: each text with the first text of one of its shingles
     leads = members.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("lead"), F.count(F.lit(1)).alias("times"))
     fits = (100 * F.col("n") >= percent * F.col("lead.n")) & (100 * F.col("lead.n") >= percent * F.col("n"))
-    stars = members.join(leads.filter("times > 1"), "token").filter((F.col("doc_id") > F.col("lead.doc_id")) & fits)
-    tested = write_and_read(stars.select(F.col("lead.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "edges")
-    links = verified(tested, named, width, percent)
-    # second turn by the trees; third, if need be, for the cells that were cut short
-    for few in (CROWD, float("inf")):
-        roots = write_and_read(components(links), "roots")
-        dealt = cells(members, roots, percent)
-        marks = bitmaps(picked(named, dealt.select("doc_id").distinct()), width)
-        found = write_and_read(candidate_pairs(dealt.join(marks, "doc_id"), few, percent), "pairs")
-        new = write_and_read(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "edges")
-        links = links.union(verified(new, named, width, percent))
-        left = found.select("token").distinct().filter("token IS NOT NULL")
-        if left.isEmpty():
-            break
-        members, tested = members.join(left, "token"), tested.union(new)
+    met = members.join(leads.filter("times > 1"), "token").filter(fits).select("doc_id", "lead.doc_id", "n").toDF("doc_id", "lead", "n")
+    met = write_and_read(met, "met-leads")
+    sizes = met.groupBy("doc_id").agg(F.max("n").alias("n"))
+    stars = write_and_read(best_leads(met).join(sizes, "doc_id"), "stars")
+    links = exact_links(star_cells(stars), named, ["lead", "part"], width, percent)
+    # second turn: all pairs of a shingle's texts in two components, by the trees
+    dealt = open_cells(members, components(links), "token")
+    marks = bitmaps(picked(named, dealt.select("doc_id").distinct()), width)
+    maybe = write_and_read(likely(dealt.join(marks, "doc_id"), percent), "likely")
+    links = links.unionByName(exact_links(likely_cells(maybe), named, ["c1", "c2"], width, percent))
     same = copies.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     roots = write_and_read(components(links.union(same)), "roots").withColumnRenamed("node", "doc_id")
     return rows.select("doc_id", "n").join(roots, "doc_id", "left").select(

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from test_sigtree_pipeline import corpus, halves_and_wholes, plain_components, shingles
 
-from lectern.llm import minhash
+from lectern.llm import cells, minhash
 from lectern.llm.words import as_bytes
 
 BIG = 1 << 60
@@ -14,7 +14,7 @@ def strings(found):
 
 @pytest.mark.parametrize("cell", [7, 512])
 def test_components_equal_all_pairs(spark, docs, monkeypatch, cell):
-    monkeypatch.setattr(minhash, "CELL", cell)
+    monkeypatch.setattr(cells, "CELL", cell)
     rows = corpus() + [(r.doc_id, r.text) for r in docs.collect()]
     rows += [(BIG + 1, "a b c d e f g h"), (BIG + 2, "zz"), (BIG + 3, "a b c d e f g h"), (BIG + 7, ""), (6, "zz"), (6, "A b c d e f g h")]
     table = spark.createDataFrame([(*r, 1, "s") for r in rows], "doc_id bigint, text string, n int, sig string").repartition(3)
@@ -31,7 +31,7 @@ def test_other_threshold(spark):
 
 def test_second_turn_finds_what_the_leads_miss(spark, monkeypatch):
     """Without the first turn's links all come from the compared signatures."""
-    monkeypatch.setattr(minhash, "star_cells", lambda members, *_: members.select("lead", members.doc_id.cast("int").alias("part"), "doc_id").limit(0))
+    monkeypatch.setattr(minhash, "likely_stars", lambda members, *_: members.select("lead", "doc_id", "n").limit(0))
     rows = corpus(7)
     got = minhash.link(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
     assert strings(got) == plain_components(rows, 85)
@@ -39,18 +39,18 @@ def test_second_turn_finds_what_the_leads_miss(spark, monkeypatch):
 
 def test_sets_and_minima():
     texts = [None, "", "a B c", "a b c d e f a b c d e f", "x " * 400, "p q r s t u"]
-    keys, bounds = minhash.shingles(as_bytes(texts), 5)
+    keys, bounds = cells.shingles(as_bytes(texts), 5)
     assert np.diff(bounds).tolist() == [len(shingles(t)) for t in texts]
     low = minhash.minima(keys, bounds, 128)
     assert low.shape == (4, 128) and (low < 1 << 32).all()
-    one = minhash.minima(*minhash.shingles([b"p q r s t u"], 5), 128)
+    one = minhash.minima(*cells.shingles([b"p q r s t u"], 5), 128)
     assert np.array_equal(one[0], low[3])
 
 
 def test_links_within_equal_sets():
     texts = [t for _, t in corpus(3)]
-    keys, bounds = minhash.shingles(as_bytes(texts), 5)
-    a, b = minhash.links_within(keys, bounds, 85)
+    keys, bounds = cells.shingles(as_bytes(texts), 5)
+    a, b = cells.links_within(keys, bounds, 85)
     sets = [shingles(t) for t in texts]
     linked = lambda x, y: 100 * len(x & y) >= 85 * len(x | y)
     assert all(linked(sets[i], sets[j]) for i, j in zip(a, b))

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from lectern.llm import sigtree
+from lectern.llm import cells, sigtree
 from lectern.llm.words import as_bytes
 
 
@@ -55,8 +55,9 @@ def corpus(seed=11):
 
 
 def test_links_equal_all_pairs(spark, docs, monkeypatch):
-    monkeypatch.setattr(sigtree, "CELL", 7)
+    monkeypatch.setattr(cells, "CELL", 7)
     rows = corpus() + [(r.doc_id, r.text) for r in docs.collect()]
+    rows += [(2**60 + k, " ".join(f"big{k}w{i}" for i in range(9))) for k in (1, 2, 3, 7)]
     table = spark.createDataFrame([(*r, "c", 1) for r in rows], "doc_id bigint, text string, token string, n int").repartition(3)
     got = sigtree.link(table).collect()
     assert sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got) == plain_components(rows)
@@ -84,23 +85,29 @@ def test_no_rows(no_docs):
     assert sigtree.link(no_docs).count() == 0
 
 
-@pytest.mark.parametrize("few", [0.0, float("inf")])
-def test_trees_lose_no_pair(few):
-    import pandas as pd
-
+@pytest.mark.parametrize("size", [500, 9, 2])
+def test_trees_lose_no_pair(size):
+    """Cells of all, of nine and of two texts: every link of two components is left, most pairs of nodes are pruned."""
     rows = corpus(12)
     sets = sigtree.shingle_sets(as_bytes([t for _, t in rows]))
-    want = {(rows[x][0], rows[y][0]) for y in range(len(rows)) for x in range(y)
-            if sigtree.linked(len(np.intersect1d(sets[x], sets[y])), len(sets[x]), len(sets[y]), 80)}
-    cell = pd.DataFrame({"token": 5, "low": 0, "i": 0, "j": 0, "side": 0, "doc_id": [i for i, _ in rows], "root": [i for i, _ in rows],
-                         "n": [len(s) for s in sets], "bits": [sigtree.bitmap(s) for s in sets]})
-    got = sigtree.pairs_of(np.zeros(len(cell), np.int64), cell, few, 80)
-    pairs = set(zip(got["a"], got["b"]))
-    assert (want <= pairs and got["token"].isna().all()) if few else got["token"].notna().all()
-    small = sigtree.pairs_of(np.arange(len(cell)) // 9, cell, few, 80)
-    near = {(a, b) for a, b in want if (a - 100) // 9 == (b - 100) // 9}
-    assert near <= set(zip(small["a"], small["b"])) if few else True
-    assert len(pairs) < len(rows) * len(rows) / 8
+    number, n = np.arange(len(rows)) // size, np.array([len(s) for s in sets])
+    roots = np.arange(len(rows)) // 2 * 2
+    want = {(y, x) for x in range(len(rows)) for y in range(x) if number[x] == number[y] and roots[x] != roots[y]
+            and sigtree.linked(len(np.intersect1d(sets[x], sets[y])), n[x], n[y], 80)}
+    a, b, looked = sigtree.tree_pairs(number, n, [sigtree.bitmap(s) for s in sets], roots, 80)
+    pairs = {(min(p), max(p)) for p in zip(a.tolist(), b.tolist())}
+    assert want <= pairs and len(pairs) == len(a) and all(number[x] == number[y] and roots[x] != roots[y] for x, y in pairs)
+    if size == 500:
+        every = len(rows) * (len(rows) - 1) / 2
+        assert len(want) > 100 and looked < every / 2 and len(pairs) < every / 8
+
+
+def test_second_turn_finds_all_links(spark, monkeypatch):
+    """Without the first turn every link is found by the trees."""
+    monkeypatch.setattr(sigtree, "best_leads", lambda met: met.select("doc_id", "lead").limit(0))
+    rows = corpus(13)
+    got = sigtree.link(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
+    assert sorted(str((r.doc_id, r.n_shingles, r.component_id)) for r in got) == plain_components(rows)
 
 
 def test_pipeline_stages_on_edge_rows(spark, docs, tmp_path):
