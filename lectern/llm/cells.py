@@ -178,18 +178,33 @@ def best_leads(members: DataFrame) -> DataFrame:
     return met.groupBy("doc_id").agg(F.max_by("lead", F.struct("times", "lead")).alias("lead"))
 
 
-def lists_of(good: np.ndarray, number: np.ndarray, ids: np.ndarray, kind: pa.DataType) -> pa.RecordBatch:
-    """docs: of each cell the ids of its rows that are good, once each and in order; number: each row's cell."""
-    at = np.flatnonzero(good)
-    cuts = np.flatnonzero(np.concatenate([[True], number[at][1:] != number[at][:-1], [True]])) if len(at) else [0]
-    found = [np.unique(ids[at[i:j]]).tolist() for i, j in zip(cuts[:-1], cuts[1:])]
-    return pa.record_batch({"docs": pa.array(found, pa.list_(kind))})
-
-
-def likely_cells(maybe: DataFrame) -> DataFrame:
-    """c1, c2, doc_id: a cell for each distinct list `docs` of texts that may link."""
-    cells = maybe.select("docs", F.xxhash64("docs").alias("c1"), F.xxhash64("docs", F.lit(3)).alias("c2")).dropDuplicates(["c1", "c2"])
-    return write_and_read(cells.select("c1", "c2", F.explode("docs").alias("doc_id")), "cells-likely")
+def spanning_pairs(a: np.ndarray, b: np.ndarray, number: np.ndarray, ids: np.ndarray, kind: pa.DataType) -> pa.RecordBatch:
+    """a, b: of the pairs of rows, each of one cell, some that span the same groups; number: each row's cell."""
+    order = np.argsort(number[a], kind="stable")
+    a, b = a[order], b[order]
+    cuts = np.flatnonzero(np.concatenate([[True], number[a][1:] != number[a][:-1], [True]])) if len(a) else [0]
+    left, right = [], []
+    for i, j in zip(cuts[:-1], cuts[1:]):
+        if j - i == 1:
+            left.append(ids[a[i]])
+            right.append(ids[b[i]])
+            continue
+        rows, place = np.unique(np.concatenate([a[i:j], b[i:j]]), return_inverse=True)
+        near = np.zeros((len(rows), len(rows)), bool)
+        near[place[: j - i], place[j - i :]] = True
+        x, y = spanning(near | near.T)
+        left += ids[rows[x]].tolist()
+        right += ids[rows[y]].tolist()
+    return pa.record_batch({"a": pa.array(left, kind), "b": pa.array(right, kind)})
+
+
+def likely_cells(groups: DataFrame, sizes: DataFrame, roots: DataFrame) -> DataFrame:
+    """label, i, j, doc_id: cells of the groups (node, root) that likely links make, so that a text is sent out once
+    and not once for each cell it was found in. sizes: doc_id, n; roots: components that are known."""
+    members = groups.select(F.col("root").alias("label"), F.col("node").alias("doc_id"))
+    members = members.unionByName(members.select("label", F.col("label").alias("doc_id"))).distinct()
+    sizes = sizes.groupBy("doc_id").agg(F.sum("n").alias("n"))
+    return open_cells(members.join(sizes, "doc_id"), roots, "label").select("label", "i", "j", "doc_id")
 
 
 def cuts_of(count: Column, total: Column) -> Column:

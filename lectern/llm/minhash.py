@@ -11,7 +11,7 @@ Equal sets are one text from the start. Then, in two turns:
 * every text meets the smallest text of one of its buckets, the one it shares most buckets with;
 * in buckets that still hold several components, all pairs from different components are compared by
   signature. A large bucket is cut into blocks; its largest component is set against the other texts
-  only, not against itself. Texts with a likely partner meet in one task and are compared exactly.
+  only, not against itself. Texts that likely links join meet in one task and are compared exactly.
 
 Links are contracted by alternating large-star and small-star.
 """
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.cells import best_leads, exact_links, likely_cells, lists_of, open_cells, shingles, star_cells, whole_cells, without
+from lectern.llm.cells import best_leads, exact_links, likely_cells, open_cells, shingles, spanning_pairs, star_cells, whole_cells, without
 from lectern.llm.words import as_bytes, blocks, mix, stream
 from lectern.session import write_and_read
 
@@ -85,22 +85,23 @@ def least_agreement(places: int, percent: int) -> int:
 
 
 def likely(cells: DataFrame, key: list[str], least: int, percent: int, kind: str) -> DataFrame:
-    """docs: of each cell the texts that may link with one of another component, by size and signature."""
+    """(a, b): of each cell pairs that may link and lie in two components, by size and signature; they span the groups
+    that all such pairs make."""
 
     def compare(columns: dict, number: np.ndarray) -> pa.RecordBatch:
         ids, n, roots = (columns[k].to_numpy() for k in ("doc_id", "n", "root"))
         sig = np.frombuffer(b"".join(columns["sig"].to_pylist()), np.uint8).reshape(len(ids), -1)
-        good = np.zeros(len(ids), bool)
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k in range(1, int(np.bincount(number).max())):
             a = np.flatnonzero((number[k:] == number[:-k]) & (roots[k:] != roots[:-k])
                                & (100 * np.minimum(n[k:], n[:-k]) >= percent * np.maximum(n[k:], n[:-k])))
             for part in np.array_split(a, 1 + len(a) // STEP):
-                fit = part[(sig[part] == sig[part + k]).sum(axis=1) >= least]
-                good[fit] = good[fit + k] = True
-        return lists_of(good, number, ids, columns["doc_id"].type)
+                left.append(part[(sig[part] == sig[part + k]).sum(axis=1) >= least])
+                right.append(left[-1] + k)
+        return spanning_pairs(np.concatenate(left), np.concatenate(right), number, ids, columns["doc_id"].type)
 
     rows = cells.repartition(*key).sortWithinPartitions(*key)
-    return rows.mapInArrow(whole_cells(key, STEP, compare), f"docs array<{kind}>")
+    return write_and_read(rows.mapInArrow(whole_cells(key, STEP, compare), f"a {kind}, b {kind}"), "minhash-likely")
 
 
 # -- components --------------------------------------------------------------------
@@ -176,8 +177,8 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT, bands: int
     links = exact_links(star_cells(stars), named, ["lead", "part"], width, percent)
     roots = contracted(links)
     dealt = open_cells(members.select("band", "doc_id", "n"), roots, "band").join(marks, "doc_id")
-    maybe = write_and_read(likely(dealt, ["band", "i", "j"], least, percent, kind), "minhash-likely")
-    links = links.unionByName(exact_links(likely_cells(maybe), named, ["c1", "c2"], width, percent))
+    groups = contracted(likely(dealt, ["band", "i", "j"], least, percent, kind))
+    links = links.unionByName(exact_links(likely_cells(groups, marks, roots), named, ["label", "i", "j"], width, percent))
     same = copies.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     roots = contracted(links.unionByName(same)).withColumnRenamed("node", "doc_id")
     found = sets.select("doc_id", F.col("n").alias("n_shingles")).join(roots, "doc_id", "left")

@@ -2,15 +2,16 @@
 
 A text is the set of its distinct 5-word shingles. Two texts link when 100 x common >= percent x
 union. In any order of the shingles that all texts share, linked texts have a shingle in common
-among the first n - ceil(percent n / 100) + 1 of each; so texts meet in cells, one for each such
-shingle that several texts have. Frequent shingles come last in that order.
+among the first n - ceil(percent n / 100) + 1 of each, and k more in common among the first k more; so texts meet in
+cells, one for each such shingle that several texts have, and a text that shares too few of its first ones
+with any others meets none. Frequent shingles come last in that order.
 
 In a cell texts stand in a signature tree: a leaf is a text's bitmap of hashed shingles and its
 size, a node holds its children's bitmaps OR-combined, their range of sizes and components, and the most bits
 that a text lost by collision. Two nodes are compared by the largest overlap that any pair below can have;
 pairs that cannot reach the threshold, or lie in one component, are dropped with everything below them. The
-trees of many cells are walked together, level by level. Texts of a pair that is left meet in one task and are
-compared by the sets themselves.
+trees of many cells are walked together, level by level. Texts that the pairs left join to a group meet in one
+task and are compared by the sets themselves.
 
 Only components are produced, not all links: pairs already in one component are not looked for. Links are
 looked for in two turns. First each text meets the first text of one of its shingles, that which
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.cells import best_leads, exact_links, likely_cells, lists_of, open_cells, picked, star_cells, whole_cells, without
+from lectern.llm.cells import best_leads, exact_links, likely_cells, open_cells, picked, spanning_pairs, star_cells, whole_cells, without
 from lectern.llm.words import Block, as_bytes, blocks, mix, whole_windows, windows
 from lectern.session import cut_lineage, write_and_read
 
@@ -39,6 +40,8 @@ PERCENT = 80
 FREQUENT = 1 << 16
 #: A shingle is counted where so many texts of one block of texts have it.
 OFTEN = 6
+#: One shingle in so many stands in a text's prefix beyond the least that linked texts must share one of.
+MORE = 10
 #: Rows of cells whose trees are built at once, on the whole; bytes of bitmaps that are compared at once.
 ROWS, STEP_BYTES = 1 << 12, 8 << 20
 LEAST_BITS, MOST_BITS = 64, 1 << 16
@@ -113,7 +116,7 @@ def prefixes(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) ->
                 for i, s in zip(ids, sets):
                     if not len(s):
                         continue
-                    keep = len(s) - -(-percent * len(s) // 100) + 1
+                    keep = len(s) - -(-percent * len(s) // 100) + 1 + len(s) // MORE
                     at = np.minimum(np.searchsorted(known, s), max(0, len(known) - 1))
                     hot = known[at] == s if len(known) else np.zeros(len(s), bool)
                     if hot.any():
@@ -255,17 +258,27 @@ CELL_KEY = ["token", "i", "j"]
 
 
 def likely(cells: DataFrame, percent: int) -> DataFrame:
-    """docs: of each cell the texts that its tree leaves in some pair. A task takes whole cells, many at once."""
+    """(a, b): of each cell pairs that its tree leaves, which span the groups that all those make. A task takes whole
+    cells, many at once."""
 
     def compare(columns: dict, number: np.ndarray) -> pa.RecordBatch:
         ids, n, roots = (columns[k].to_numpy() for k in ("doc_id", "n", "root"))
-        good = np.zeros(len(ids), bool)
         a, b, _ = tree_pairs(number, n, columns["bits"].to_pylist(), roots, percent)
-        good[a] = good[b] = True
-        return lists_of(good, number, ids, columns["doc_id"].type)
+        return spanning_pairs(a, b, number, ids, columns["doc_id"].type)
 
     rows = cells.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY)
-    return rows.mapInArrow(whole_cells(CELL_KEY, ROWS, compare), f"docs array<{dict(cells.dtypes)['doc_id']}>")
+    kind = dict(cells.dtypes)["doc_id"]
+    return write_and_read(rows.mapInArrow(whole_cells(CELL_KEY, ROWS, compare), f"a {kind}, b {kind}"), "likely")
+
+
+def sharing(members: DataFrame, percent: int) -> DataFrame:
+    """Members (token, doc_id, n) of shingles that several texts have, of texts with enough of them to link:
+    two linked texts share 1 + m // MORE of their prefixes, m being the smaller size."""
+    several = members.groupBy("token").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").select("token")
+    members = write_and_read(members.join(several, "token"), "members")
+    least = 1 + F.floor(F.ceil(percent * F.col("n") / 100) / MORE)
+    enough = members.groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("_times")).filter(F.col("_times") >= least)
+    return members.join(enough.select("doc_id", "n"), ["doc_id", "n"]).select("token", "doc_id", "n")
 
 
 def bitmaps(docs: DataFrame, width: int) -> DataFrame:
@@ -301,9 +314,11 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     met = met.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("token", F.when(F.col("often"), F.xxhash64("doc_id")))))
     met = write_and_read(met.filter("often OR _n > 1").select("token", "doc_id"), "shared-shingles")
     members = met.join(copies, "doc_id").select("token", F.col("first").alias("doc_id"), "n").distinct()
-    members = write_and_read(members, "members")
+    for _ in range(2):  # what is dropped leaves others with too few
+        members = sharing(members, percent)
 
     # first turn: each text with the first text of one of its shingles
+    members = write_and_read(members, "members")
     leads = members.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("lead"), F.count(F.lit(1)).alias("times"))
     fits = (100 * F.col("n") >= percent * F.col("lead.n")) & (100 * F.col("lead.n") >= percent * F.col("n"))
     met = members.join(leads.filter("times > 1"), "token").filter(fits).select("doc_id", "lead.doc_id", "n").toDF("doc_id", "lead", "n")
@@ -312,10 +327,11 @@ def link(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFra
     stars = write_and_read(best_leads(met).join(sizes, "doc_id"), "stars")
     links = exact_links(star_cells(stars), named, ["lead", "part"], width, percent)
     # second turn: all pairs of a shingle's texts in two components, by the trees
-    dealt = open_cells(members, components(links), "token")
+    roots = write_and_read(components(links), "roots")
+    dealt = open_cells(members, roots, "token")
     marks = bitmaps(picked(named, dealt.select("doc_id").distinct()), width)
-    maybe = write_and_read(likely(dealt.join(marks, "doc_id"), percent), "likely")
-    links = links.unionByName(exact_links(likely_cells(maybe), named, ["c1", "c2"], width, percent))
+    groups = components(likely(dealt.join(marks, "doc_id"), percent))
+    links = links.unionByName(exact_links(likely_cells(groups, copies, roots), named, ["label", "i", "j"], width, percent))
     same = copies.filter("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     roots = write_and_read(components(links.union(same)), "roots").withColumnRenamed("node", "doc_id")
     return rows.select("doc_id", "n").join(roots, "doc_id", "left").select(
