@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lectern.session import ship_package
 
 #: Bytes of an Arrow batch, so that a Python worker's memory does not follow from the length of texts.
-ARROW_BYTES = 4 << 20
+ARROW_BYTES = 2 << 20
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -14,11 +14,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.words import Block, as_bytes, whole_windows, windows
+from lectern.llm.words import Block, as_bytes, blocks, whole_windows, windows
 from lectern.session import write_and_read
 
 #: Texts, and shingles, that one cell holds on average at most of one side; a longer text stands alone.
-CELL, CELL_SHINGLES = 512, 1 << 21
+CELL, CELL_SHINGLES = 512, 1 << 19
+#: Bytes of texts that are cut to shingles at once.
+BLOCK = 1 << 20
 #: Numbers that ids are hashed to when texts are picked out; all of them are 8 MB.
 PICK = 1 << 20
 
@@ -153,8 +155,10 @@ def exact_links(cells: DataFrame, docs: DataFrame, key: list[str], width: int, p
         edges = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1], [True]]))
         for a, b in zip(edges[:-1], edges[1:]):
             if b - a > 1:
-                keys, bounds = shingles(as_bytes(texts.slice(a, b - a).to_pylist()), width)
-                x, y = links_within(keys, bounds, percent)
+                data = as_bytes(texts.slice(a, b - a).to_pylist())
+                parts = [shingles(data[i:j], width) for i, j in blocks([len(t) for t in data], BLOCK)]
+                size = np.concatenate([np.diff(p) for _, p in parts])
+                x, y = links_within(np.concatenate([k for k, _ in parts]), np.concatenate([[0], np.cumsum(size)]), percent)
                 left += ids[a:b][x].tolist()
                 right += ids[a:b][y].tolist()
         return pa.record_batch({"a": pa.array(left, columns["doc_id"].type), "b": pa.array(right, columns["doc_id"].type)})

@@ -26,13 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.cells import best_leads, exact_links, likely_cells, open_cells, shingles, spanning_pairs, star_cells, whole_cells, without
+from lectern.llm.cells import BLOCK, best_leads, exact_links, likely_cells, open_cells, shingles, spanning_pairs, star_cells, whole_cells, without
 from lectern.llm.words import as_bytes, blocks, mix, stream
 from lectern.session import write_and_read
 
 WIDTH, PERCENT = 5, 85
 BANDS, ROWS = 32, 4
-BLOCK = 1 << 20
 #: Rows of cells whose signatures are compared at once.
 STEP = 1 << 12
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.cells import best_leads, exact_links, likely_cells, open_cells, picked, spanning_pairs, star_cells, whole_cells, without
+from lectern.llm.cells import BLOCK, best_leads, exact_links, likely_cells, open_cells, picked, spanning_pairs, star_cells, whole_cells, without
 from lectern.llm.words import Block, as_bytes, blocks, mix, whole_windows, windows
 from lectern.session import cut_lineage, write_and_read
 
@@ -76,7 +76,7 @@ def linked(common: int, n: int, m: int, percent: int) -> bool:
 def in_blocks(pdf: pd.DataFrame, width: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
     texts = as_bytes(pdf["text"])
     ids = pdf["doc_id"].to_numpy()
-    for a, b in blocks([len(t) for t in texts]):
+    for a, b in blocks([len(t) for t in texts], BLOCK):
         yield ids[a:b], shingle_sets(texts[a:b], width)
 
 
