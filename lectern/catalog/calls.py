@@ -5,13 +5,15 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import uuid
 
 from pyspark.sql import functions as F
 
 from lectern import schemas as S
-from lectern.catalog.base import documents, query, sql_batches, sql_chunks
+from lectern.catalog.base import documents, query, sql_batches, sql_chunks, sql_strip
 from lectern.operators import calls as ca, prompts as pr
 from lectern.plans import stages as st
+from lectern.session import shared_folder
 
 _BODY = "Clean this up.\n\nInput:\n{{text}}"
 _BODY_SQL = "'Clean this up.' || chr(10) || chr(10) || 'Input:' || chr(10) || text"
@@ -141,6 +143,40 @@ def model_replies(spark, sf):
     return replies.select("run_id", "batch_id", "response", "in_tok")
 
 
+_LIMIT = 7
+
+
+@query("m9_call_limit", f"""WITH {_P} SELECT run_id, stage,
+  sum((provider <> 'openai' OR batch_id <= {_LIMIT})::INT)::BIGINT AS calls, max((provider = 'openai' AND batch_id > {_LIMIT})::INT) = 1 AS stopped
+FROM (SELECT * REPLACE (row_number() OVER (PARTITION BY run_id, stage, provider ORDER BY batch_id) AS batch_id) FROM q) GROUP BY run_id, stage""")
+def call_limit(spark, sf):
+    """Calls really made of each run when a paid stage may make few, and whether it ran into the limit."""
+    ready, over = ca.within_limit(_prompts(spark, sf).drop("in_tok", "out_tok"), _LIMIT, slice_rows=128)
+    made = ca.call_model(ready, Echo, tasks=8).groupBy("run_id", "stage").agg(F.count(F.lit(1)).alias("calls"))
+    over = over.select("run_id", "stage", F.lit(True).alias("stopped"))
+    return made.join(over, ["run_id", "stage"], "left").fillna(False, ["stopped"])
+
+
+class Refusing:
+    """Raises for prompts whose hash starts with 0, has no text for those with 1, answers the rest."""
+
+    def generate(self, model, prompt, temperature):
+        digit = hashlib.sha256(prompt.encode()).hexdigest()[0]
+        if digit == "0":
+            raise ValueError("refused")
+        return ca.Reply(None if digit == "1" else prompt[:3])
+
+
+@query("m1_failed_calls", f"""WITH {_P} SELECT run_id, batch_id, sha256(prompt)[1] IN ('0', '1') AS failed,
+  CASE WHEN sha256(prompt)[1] NOT IN ('0', '1') THEN {sql_strip("prompt[1:3]")} END AS response FROM q""")
+def failed_calls(spark, sf):
+    """Replies by way of a ledger, failed calls as rows of their own."""
+    ledger = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    asked = _prompts(spark, sf).drop("in_tok", "out_tok")
+    replies = ca.call_model(asked, Refusing, tasks=8, ledger=ledger, batch=512)
+    return replies.select("run_id", "batch_id", F.col("error").isNotNull().alias("failed"), "response")
+
+
 def _texts(spark, sf):
     return documents(spark, sf).select(F.col("doc_id").cast("string").alias("run_id"), "text")
 

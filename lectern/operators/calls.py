@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import NamedTuple, Protocol
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern import schemas as S
@@ -16,6 +18,12 @@ from lectern.session import write_and_read
 
 HOT_COPIES = 1 << 20
 HOT_SALTS = 64
+#: Prompts that are salted at most, the most frequent ones; any other is less than this part of all rows.
+HOT_PROMPTS = 100_000
+#: Prompts that a task answers between two writes of the ledger, and calls that it has in flight.
+LEDGER_BATCH, IN_FLIGHT = 256, 4
+#: So many calls in a wave without one answer mean that the client is broken, not the prompts.
+HOPELESS = 20
 
 
 class Reply(NamedTuple):
@@ -32,6 +40,10 @@ class BudgetError(RuntimeError):
     """A token, cost or call cap is exceeded."""
 
 
+class ClientError(RuntimeError):
+    """No call was answered."""
+
+
 @dataclass(frozen=True)
 class Caps:
     cost_usd: float = S.COST_CAP_USD
@@ -55,10 +67,12 @@ def priced(rows: DataFrame, prices=S.MODEL_PRICES) -> DataFrame:
 
 
 def costed(calls: DataFrame) -> DataFrame:
-    """M6: reported usage wins over the estimate, side by side."""
+    """M6: reported usage wins over the estimate, side by side. A row that shares another row's call
+    (``called`` is false) used no tokens."""
+    made = F.col("called") if "called" in calls.columns else F.lit(True)
     rows = priced(estimated(calls)).withColumns({
-        "in_tok": F.coalesce("in_tok", "est_in"),
-        "out_tok": F.coalesce("out_tok", "est_out"),
+        "in_tok": F.when(made, F.coalesce("in_tok", "est_in")).otherwise(F.lit(0)),
+        "out_tok": F.when(made, F.coalesce("out_tok", "est_out")).otherwise(F.lit(0)),
     })
     return rows.withColumn(
         "cost", acc.call_cost(F.col("in_tok"), F.col("out_tok"), F.col("price_in"),
@@ -149,6 +163,33 @@ def cap_breaches(costs: DataFrame, keys=("run_id", "stage"), caps: Caps = Caps()
     )
 
 
+def within_limit(
+    prompts: DataFrame, limit: int, keys=("run_id", "stage"), order=("batch_id",), *,
+    spent: DataFrame | None = None, **kw,
+) -> tuple[DataFrame, DataFrame]:
+    """M9 before the call: (prompts that may be called, groups with more prompts than calls left).
+
+    Calls of a group are numbered in order before any is made, after the ``spent`` ones (keys, spent)
+    of earlier rounds, and only numbers up to ``limit`` pass: call ``limit`` + 1 is never made. The
+    numbers are a sliced prefix sum, so a hot group is not one task. Calls that cost nothing have no limit.
+    """
+    paid = F.col("provider") == S.PAID_PROVIDER
+    free, counted = prompts.filter(~paid), prompts.filter(paid)
+    counted = ordered.number_rows(counted, list(keys), list(order), "_no", **kw)
+    if spent is not None:
+        counted = ordered.attach(counted, spent, list(keys), order[0], how="left", **kw)
+    else:
+        counted = counted.withColumn("spent", F.lit(0))
+    number = F.col("_no") + F.coalesce("spent", F.lit(0))
+    over = counted.filter(number > limit).select(*keys).distinct().withColumn("breach", F.lit("max_calls"))
+    return free.unionByName(counted.filter(number <= limit).select(*prompts.columns)), over
+
+
+def calls_made(answered: DataFrame, keys=("run_id", "stage")) -> DataFrame:
+    """Calls per group so far, for ``within_limit``; a failed call was a call."""
+    return answered.groupBy(*keys).agg(F.count(F.lit(1)).alias("spent"))
+
+
 # ---------------------------------------------------------------------------
 # Calling the model
 # ---------------------------------------------------------------------------
@@ -156,24 +197,26 @@ def cap_breaches(costs: DataFrame, keys=("run_id", "stage"), caps: Caps = Caps()
 _REPLY = "model STRING, temperature DOUBLE, prompt_hash STRING, copies BIGINT, response STRING, in_tok BIGINT, out_tok BIGINT, error STRING"
 
 
-def _caller(make_model: Callable[[], Model]):
+def _caller(make_model: Callable[[], Model], in_flight: int):
+    def answer(client: Model, model: str, prompt: str, temperature: float) -> tuple[Reply | None, str | None, str | None]:
+        try:
+            reply = client.generate(model, prompt, temperature)
+            return reply, reply.text.strip(), None
+        except Exception as problem:  # one failed call must not end the other runs
+            return None, None, f"{type(problem).__name__}: {problem}"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_model()
-        for rows in batches:
-            replies, errors = [], []
-            for m, p, t in zip(rows["model"], rows["prompt"], rows["temperature"]):
-                try:
-                    replies.append(client.generate(m, p, t))
-                    errors.append(None)
-                except Exception as problem:  # one failed call must not end the other runs
-                    replies.append(Reply(text="", in_tok=None, out_tok=None))
-                    errors.append(f"{type(problem).__name__}: {problem}")
-            out = rows[["model", "temperature", "prompt_hash", "copies"]].copy()
-            out["response"] = [None if e else r.text.strip() for r, e in zip(replies, errors)]
-            out["in_tok"] = pd.array([r.in_tok for r in replies], dtype="Int64")
-            out["out_tok"] = pd.array([r.out_tok for r in replies], dtype="Int64")
-            out["error"] = pd.array(errors, dtype="string")
-            yield out
+        with ThreadPoolExecutor(in_flight) as pool:
+            for rows in batches:
+                asked = zip(rows["model"], rows["prompt"], rows["temperature"])
+                replies = list(pool.map(lambda a: answer(client, *a), asked))
+                out = rows[["model", "temperature", "prompt_hash", "copies", "bill"]].copy()
+                out["response"] = [text for _, text, _ in replies]
+                out["in_tok"] = pd.array([r.in_tok if r else None for r, *_ in replies], dtype="Int64")
+                out["out_tok"] = pd.array([r.out_tok if r else None for r, *_ in replies], dtype="Int64")
+                out["error"] = pd.array([e for *_, e in replies], dtype="string")
+                yield out
 
     return run
 
@@ -183,64 +226,105 @@ def failed_groups(answered: DataFrame, keys=("run_id", "stage")) -> DataFrame:
     return answered.filter("error IS NOT NULL").groupBy(*keys).agg(F.min("error").alias("breach"))
 
 
+_CALL = ["model", "temperature", "prompt_hash"]
+
+
+def ledger_replies(spark, path: str) -> DataFrame:
+    """Stored replies, one per call; an answer wins over failures of the same call. No ledger yet: no rows."""
+    try:
+        stored = spark.read.schema(_REPLY).parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _REPLY)
+    best = F.max_by(F.struct("copies", "response", "in_tok", "out_tok", "error"), F.struct(F.col("error").isNull(), "copies"))
+    return stored.groupBy(*_CALL).agg(best.alias("_r")).select(*_CALL, "_r.*")
+
+
 def call_model(
     prompts: DataFrame,
     make_model: Callable[[], Model],
     *,
     tasks: int | None = None,
     known: DataFrame | None = None,
+    ledger: str | None = None,
+    batch: int = LEDGER_BATCH,
+    in_flight: int = IN_FLIGHT,
+    hopeless: int = HOPELESS,
     hot_copies: int = HOT_COPIES,
     salts: int = HOT_SALTS,
 ) -> DataFrame:
     """M1: one reply per prompt row.
 
-    Equal (model, temperature, prompt) rows are called once. ``tasks`` caps
-    the parallel calls. Replies are written before anything reads them, so a
-    later action never repeats finished calls; a task that is lost repeats its
-    own. ``known`` replies (same columns as the stored ones) are not called
-    again, failed ones are. A call that raises gives a row with ``error`` and no
-    response. Turn speculation off for the session that calls a paid model.
+    Equal (model, temperature, prompt) rows are called once; ``called`` is true on the one row of
+    them, the first by the other columns, that the call is billed to. ``tasks`` caps the parallel
+    tasks, each with ``in_flight`` calls at a time: the client is shared by that many threads.
+
+    Replies are written before anything reads them, so a later action never repeats finished calls.
+    Without a ``ledger`` a task that is lost repeats its own. With one, a folder, prompts are called in waves of
+    ``batch`` per task, each wave is added to the ledger when it ends, and calls that the ledger answers are
+    not made again: a lost task repeats one batch at most, and a run that was broken off goes on
+    where it was. ``known`` replies (same columns) are not called again either; failed ones are. A call that raises,
+    or has no text, gives a row with ``error`` and no response; ``hopeless`` calls in one wave
+    without any answer raise ClientError. Turn speculation off for the session that calls a paid model.
     """
-    keys = ["model", "temperature", "prompt_hash"]
+    spark = prompts.sparkSession
     asked = prompts.withColumn("prompt_hash", F.sha2("prompt", 256))
-    unique = asked.groupBy(*keys).agg(
-        F.first("prompt").alias("prompt"), F.count(F.lit(1)).alias("copies")
-    )
+    mine = F.xxhash64(*[F.col(c) for c, t in prompts.dtypes if c != "prompt" and not t.startswith("map")], F.col("prompt_hash"))
+    unique = asked.groupBy(*_CALL).agg(
+        F.first("prompt").alias("prompt"), F.count(F.lit(1)).alias("copies"), F.min(mine).alias("bill"))
+    if known is not None or ledger is not None:
+        unique = write_and_read(unique, "calls-asked")
+    bills = unique.select(*_CALL, "copies", "bill")
     if known is not None:
         known = known if "error" in known.columns else known.withColumn("error", F.lit(None).cast("string"))
         known = known.filter("error IS NULL")
-        unique = unique.join(known.select(*keys), keys, "left_anti")
+        unique = unique.join(known.select(*_CALL), _CALL, "left_anti")
     # A fixed number of tasks: calls are slow, so their bytes say nothing about
     # how few tasks would do.
-    width = tasks or int(prompts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = unique.repartition(width, "prompt_hash")
-    replies = write_and_read(spread.mapInPandas(_caller(make_model), _REPLY), "replies")
+    width = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    caller = _caller(make_model, in_flight)
+    ask = lambda rows: rows.repartition(width, "prompt_hash").mapInPandas(caller, f"{_REPLY}, bill BIGINT")
+    if ledger is None:
+        replies = write_and_read(ask(unique), "replies")
+        _check_client(replies, hopeless)
+    else:
+        answered = ledger_replies(spark, ledger).filter("error IS NULL")
+        todo = write_and_read(unique.join(answered.select(*_CALL), _CALL, "left_anti"), "unanswered")
+        waves = -(-todo.count() // (width * batch))
+        for wave in range(waves):
+            mine_now = F.pmod(F.xxhash64("prompt_hash"), F.lit(waves)) == wave
+            said = write_and_read(ask(todo.filter(mine_now)), "replies")
+            said.drop("bill").write.mode("append").parquet(ledger)
+            _check_client(said, hopeless)
+        asked_now = unique.select(*_CALL, "copies", "bill")
+        replies = write_and_read(ledger_replies(spark, ledger).drop("copies").join(asked_now, _CALL), "replies")
     if known is not None:
-        replies = replies.unionByName(known.select(*replies.columns))
-    return _join_replies(asked, replies, keys, hot_copies, salts)
+        replies = replies.unionByName(known.drop("copies").join(bills, _CALL).select(*replies.columns))
+    return _join_replies(asked.withColumn("_mine", mine), replies, hot_copies, salts)
 
 
-def _join_replies(asked, replies, keys, hot_copies, salts):
+def _check_client(replies: DataFrame, hopeless: int) -> None:
+    told = replies.agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("bad"), F.min("error").alias("error")).first()
+    if told["n"] >= hopeless and told["n"] == told["bad"]:
+        raise ClientError(f"none of {told['n']} calls was answered: {told['error']}")
+
+
+def _join_replies(asked, replies, hot_copies, salts):
     """Give every prompt row its reply; very common prompts are salted.
 
-    Hot prompts number at most rows / hot_copies, so their hashes fit a
-    broadcast as long as that quotient is small; it is checked.
+    The hot ones are the HOT_PROMPTS most frequent of those with ``hot_copies`` rows or more, so
+    their hashes fit a broadcast, and any prompt that is not among them has less than 1 / HOT_PROMPTS
+    of all rows.
     """
-    hot = replies.filter(F.col("copies") >= hot_copies).select(*keys)
-    n_hot = hot.limit(100_001).count()
-    if n_hot == 0 or n_hot > 100_000:
-        return asked.join(replies.drop("copies"), keys)
-    flagged = asked.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
-    flagged = flagged.withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*[c for c in asked.columns if c != "prompt"]), F.lit(salts)))
-        .otherwise(F.lit(0)).cast("int"),
-    )
-    shards = F.when(
-        F.col("copies") >= hot_copies, F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    spread = replies.withColumn("_salt", F.explode(shards)).drop("copies")
-    return flagged.join(spread, [*keys, "_salt"]).drop("_hot", "_salt")
+    hot = replies.filter(F.col("copies") >= hot_copies).orderBy(F.desc("copies"), "prompt_hash").limit(HOT_PROMPTS)
+    hot = write_and_read(hot.select(*_CALL, F.lit(True).alias("_hot")), "hot-prompts")
+    salt = F.pmod(F.xxhash64("_mine"), F.lit(salts))
+    salted = asked.join(F.broadcast(hot), _CALL, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)).cast("int"))
+    shards = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = replies.join(F.broadcast(hot), _CALL, "left").withColumn("_salt", F.explode(shards)).drop("copies", "_hot")
+    out = salted.drop("_hot").join(spread, [*_CALL, "_salt"])
+    return out.withColumn("called", F.col("_mine") == F.col("bill")).drop("_salt", "_mine", "bill")
 
 
 def repair_rounds(
@@ -252,11 +336,14 @@ def repair_rounds(
     retries: int = S.JSON_RETRIES,
     keys=("run_id", "stage", "batch_id"),
     tasks: int | None = None,
-) -> tuple[DataFrame, DataFrame]:
+    ledger: str | None = None,
+    limit: int | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Call, parse, re-ask the failed ones; at most ``retries`` + 1 rounds.
 
     ``parse`` adds ``parsed`` (null when unusable) and ``parse_error``.
-    Returns (all attempts, dead letters: batches that never parsed). A failed
+    Returns (all attempts, dead letters: batches that never parsed, groups that ran into the ``limit`` of
+    calls). Calls of all rounds are numbered before each round, so none beyond the limit is made. A failed
     call is an attempt with ``error``; it is not asked again.
     """
     holes = pr.hole_names(repair_body) - {"original_prompt", "bad_response"}
@@ -264,9 +351,13 @@ def repair_rounds(
         raise pr.TemplateError(f"Missing prompt template values for repair: {', '.join(sorted(holes))}")
     todo = prompts.withColumn("_original", F.col("prompt"))
     attempts = None
-    last = None
+    last, stopped = None, None
     for attempt in range(retries + 1):
-        answered = call_model(todo.withColumn("retry_index", F.lit(attempt)), make_model, tasks=tasks)
+        if limit is not None:
+            todo, over = within_limit(todo, limit, spent=None if attempts is None else calls_made(attempts))
+            over = write_and_read(over, "over-limit")
+            stopped = over if stopped is None else stopped.unionByName(over).distinct()
+        answered = call_model(todo.withColumn("retry_index", F.lit(attempt)), make_model, tasks=tasks, ledger=ledger)
         # Written once per round: the next round and the log both read it.
         last = write_and_read(parse(answered), "round")
         attempts = last if attempts is None else attempts.unionByName(last)
@@ -278,4 +369,6 @@ def repair_rounds(
         })
         todo = failed.withColumn("prompt", ask).select(*todo.columns)
     dead = last.filter("parsed IS NULL AND error IS NULL").select(*keys, "parse_error")
-    return attempts.drop("_original"), dead
+    if stopped is None:
+        stopped = prompts.select("run_id", "stage", F.lit("max_calls").alias("breach")).limit(0)
+    return attempts.drop("_original"), dead, stopped

@@ -22,6 +22,8 @@ class ModelSetup:
     provider: str = S.LOCAL_PROVIDER
     caps: ca.Caps = ca.Caps()
     tasks: int | None = None
+    #: Folder of replies that were paid for: a stage that is run again calls only what it does not answer.
+    ledger: str | None = None
 
 
 @dataclass(frozen=True)
@@ -48,7 +50,16 @@ def _admitted(prompts: DataFrame, setup: ModelSetup, **kw) -> tuple[DataFrame, D
     """Prompts within budget and the groups over it. Only paid calls have one."""
     if setup.provider != S.PAID_PROVIDER:
         return prompts, _no_groups(prompts)
-    return ca.admit(prompts, caps=setup.caps, **kw)
+    ready, rejected = ca.admit(prompts, caps=setup.caps, **kw)
+    return ready, rejected.select("run_id", "stage", "breach")
+
+
+def _limited(prompts: DataFrame, setup: ModelSetup, spent: DataFrame | None = None, **kw) -> tuple[DataFrame, DataFrame]:
+    """Prompts whose number is within the limit of calls, and the groups with more."""
+    if setup.provider != S.PAID_PROVIDER:
+        return prompts, _no_groups(prompts)
+    ready, over = ca.within_limit(prompts, setup.caps.calls, spent=spent, **kw)
+    return ready, write_and_read(over, "over-limit")
 
 
 def _no_groups(prompts: DataFrame) -> DataFrame:
@@ -88,7 +99,9 @@ def text_transform(
     )
     upper = ordered.largest(prompts, "batch_id")
     ready, rejected = _admitted(prompts, setup, upper=upper)
-    answered = write_and_read(ca.call_model(ready, setup.make, tasks=setup.tasks), "calls")
+    ready, over = _limited(ready, setup, upper=upper)
+    rejected = rejected.unionByName(over)
+    answered = write_and_read(ca.call_model(ready, setup.make, tasks=setup.tasks, ledger=setup.ledger), "calls")
     costs = ca.running_costs(answered.filter("error IS NULL"), upper=upper)
     failed = ca.failed_groups(answered)
     stopped = _stopped(costs, rejected, setup).unionByName(failed)
@@ -121,9 +134,11 @@ def classify(
         "prompts",
     )
     ready, rejected = _admitted(prompts, setup)
-    attempts, dead = ca.repair_rounds(
-        ready, setup.make, rs.parse_decisions, repair, retries=retries, tasks=setup.tasks
+    attempts, dead, over = ca.repair_rounds(
+        ready, setup.make, rs.parse_decisions, repair, retries=retries, tasks=setup.tasks, ledger=setup.ledger,
+        limit=setup.caps.calls if setup.provider == S.PAID_PROVIDER else None,
     )
+    rejected = rejected.unionByName(over)
     attempts = attempts.withColumn("input_chars", F.length("prompt").cast("bigint"))
     costs = ca.running_costs(attempts.filter("error IS NULL"))
     stopped = _stopped(costs, rejected, setup).unionByName(ca.failed_groups(attempts)).unionByName(
@@ -159,7 +174,9 @@ def condense(
         "prompts",
     )
     ready, over = _admitted(prompts, setup)
-    mapped = write_and_read(rs.parse_blocks(ca.call_model(ready, setup.make, tasks=setup.tasks)), "mapped")
+    ready, many = _limited(ready, setup)
+    over = over.unionByName(many)
+    mapped = write_and_read(rs.parse_blocks(ca.call_model(ready, setup.make, tasks=setup.tasks, ledger=setup.ledger)), "mapped")
     unread = mapped.filter(F.col("parsed").isNull()).select(
         "run_id", "stage", F.coalesce("error", F.lit("invalid_json")).alias("breach"))
     stopped = over.select("run_id", "stage", "breach").unionByName(unread).distinct()
@@ -184,7 +201,9 @@ def condense(
         "prompts",
     )
     ready2, over2 = _admitted(reduce, setup, upper=0)
-    reduced = write_and_read(ca.call_model(ready2, setup.make, tasks=setup.tasks), "reduced")
+    ready2, many = _limited(ready2, setup, ca.calls_made(mapped), upper=0)
+    over2 = over2.unionByName(many)
+    reduced = write_and_read(ca.call_model(ready2, setup.make, tasks=setup.tasks, ledger=setup.ledger), "reduced")
     keep = reduced.columns
     attempts = mapped.select(*keep).unionByName(reduced)
     # The reduce call comes after all windows of its run.

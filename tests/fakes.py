@@ -1,6 +1,9 @@
 """Deterministic stand-ins for a model; shipped to the workers."""
 
 import json
+import os
+import time
+import uuid
 
 from lectern.operators import calls as ca
 
@@ -67,3 +70,31 @@ class Picky:
         if "boom" in prompt:
             raise ValueError("no answer")
         return ca.Reply(text=prompt.upper(), in_tok=None, out_tok=None)
+
+
+class Slow:
+    """Takes a moment per call."""
+
+    def generate(self, model, prompt, temperature):
+        time.sleep(0.5)
+        return ca.Reply(prompt[::-1])
+
+
+class Silent:
+    """Has no text for any prompt."""
+
+    def generate(self, model, prompt, temperature):
+        return ca.Reply(None)
+
+
+class Tallying:
+    """Notes every call as a file of its own in a folder; raises from the given prompt on."""
+
+    def __init__(self, folder, last=None):
+        self.folder, self.last = folder, last
+
+    def generate(self, model, prompt, temperature):
+        if self.last is not None and prompt >= self.last:
+            raise SystemExit("the worker is lost")
+        open(os.path.join(self.folder, uuid.uuid4().hex), "w").close()
+        return ca.Reply(f"<{prompt}>")

@@ -1,9 +1,12 @@
 """Budgets, costs, calling, repair rounds and whole st."""
 
+import os
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from fakes import Broken, Chatty, Condenser, Never, Picky, Upper
+from fakes import Broken, Chatty, Condenser, Never, Picky, Silent, Slow, Tallying, Upper
 from lectern.operators import calls as ca, ordered, prompts as pr
 from lectern.plans import stages as st
 
@@ -162,3 +165,75 @@ def test_long_text_survives_two_stages(make, monkeypatch):
     one = st.text_transform(texts, "s07", "{{text}}", setup, max_chars=10).texts
     two = st.text_transform(one.select("run_id", "text"), "s09", "{{text}}", setup, max_chars=10).texts
     assert [r.text for r in two.collect()] == [text.upper() + "\n"]
+
+
+def test_calls_beyond_the_limit_are_never_made(make, tmp_path):
+    df = prompts(make, [("r", i, f"p{i}") for i in range(1, 8)] + [("s", 1, "q1"), ("s", 2, "q2")])
+    for slice_rows in (1 << 18, 2):
+        ready, over = ca.within_limit(df, 5, slice_rows=slice_rows)
+        assert sorted((r.run_id, r.batch_id) for r in ready.collect()) == [*(("r", i) for i in range(1, 6)), ("s", 1), ("s", 2)]
+        assert [tuple(r) for r in over.collect()] == [("r", "s08", "max_calls")]
+    spent = make([("s", "s08", 4)], "run_id STRING, stage STRING, spent LONG")
+    ready, over = ca.within_limit(df, 5, spent=spent)
+    assert [r.batch_id for r in ready.filter("run_id = 's'").collect()] == [1]
+    assert {r.run_id for r in over.collect()} == {"r", "s"}
+    assert ca.within_limit(df.withColumn("provider", F.lit("local")), 1)[0].count() == 9
+
+
+def test_stage_makes_as_many_calls_as_the_limit_allows(make, tmp_path):
+    folder = str(tmp_path)
+    df = texts(make, ("long", "\n\n".join(f"part {i} of it" for i in range(9))), ("short", "one part"))
+    made = st.ModelSetup(lambda: Tallying(folder), "m", provider="openai", caps=ca.Caps(calls=4))
+    res = st.text_transform(df, "s07", "{{text}}", made, max_chars=15)
+    assert [(r.run_id, r.breach) for r in res.rejected.collect()] == [("long", "max_calls")]
+    assert [r.run_id for r in res.texts.collect()] == ["short"]
+    assert len(os.listdir(folder)) == 5
+
+
+def test_repairs_count_towards_the_limit(make):
+    df = texts(make, ("r", "Audience question\n\nLecture starts"), ("x", "hopeless"))
+    res = st.classify(df, "C {{span_lines}}", "Fix {{original_prompt}} {{bad_response}}",
+                      setup(Chatty, provider="openai", caps=ca.Caps(calls=3, tokens_in=10**6, tokens_out=10**6)))
+    assert {r.run_id: r["count"] for r in res.calls.groupBy("run_id").count().collect()} == {"r": 2, "x": 3}
+    assert ("x", "max_calls") in {(r.run_id, r.breach) for r in res.rejected.collect()}
+
+
+def test_ledger_resumes_where_calls_were_broken_off(make, tmp_path):
+    ledger, folder = f"{tmp_path}/ledger", str(tmp_path / "calls")
+    os.mkdir(folder)
+    df = prompts(make, [("r", i, f"p{i:03}") for i in range(60)]).drop("in_tok", "out_tok")
+    ask = lambda make_model: ca.call_model(df, make_model, tasks=2, ledger=ledger, batch=5, in_flight=1)
+    with pytest.raises(Exception, match="."):
+        ask(lambda: Tallying(folder, last="p050"))
+    stored = ca.ledger_replies(df.sparkSession, ledger).count()
+    before = len(os.listdir(folder))
+    got = {r.prompt: r.response for r in ask(lambda: Tallying(folder)).collect()}
+    assert got == {f"p{i:03}": f"<p{i:03}>" for i in range(60)}
+    assert len(os.listdir(folder)) - before == 60 - stored  # what the ledger holds was not called again
+    assert ask(Never).count() == 60
+
+
+def test_calls_overlap(make):
+    df = prompts(make, [("r", i, f"p{i}") for i in range(8)]).drop("in_tok", "out_tok")
+    taken = []
+    for in_flight in (1, 8):
+        start = time.perf_counter()
+        assert ca.call_model(df, Slow, tasks=1, in_flight=in_flight).count() == 8
+        taken.append(time.perf_counter() - start)
+    assert taken[0] - taken[1] > 2.5  # seven of eight half seconds
+
+
+def test_copies_are_billed_once(make):
+    df = prompts(make, [("r", i, f"p{i % 3}" * 8) for i in range(30)]).drop("in_tok", "out_tok")
+    got = ca.call_model(df, Picky, hot_copies=5, salts=4)
+    assert got.filter("called").count() == 3 and got.count() == 30
+    costs = ca.running_costs(got)
+    assert costs.agg(F.sum("in_tok")).first()[0] == 3 * 4
+
+
+def test_broken_clients_end_the_stage(make):
+    df = prompts(make, [("r", i, f"p{i}") for i in range(30)]).drop("in_tok", "out_tok")
+    with pytest.raises(ca.ClientError, match="30 calls"):
+        ca.call_model(df, Silent)
+    few = ca.call_model(df.limit(3), Silent)
+    assert few.filter("error IS NOT NULL AND response IS NULL").count() == 3
