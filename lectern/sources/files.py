@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lectern import schemas as S
 from lectern.functions import text as tx
 from lectern.operators import ordered, timeline
+from lectern.sources import folders
 
 
 class FormatError(ValueError):
@@ -32,30 +33,17 @@ def deal_out(scan: DataFrame, *keys: str) -> DataFrame:
 
 
 def recordings(spark: SparkSession, root: str, *, content: bool = False) -> DataFrame:
-    """A1: media files under ``root`` at any depth, any letter case of suffix.
+    """A1: media files under ``root`` at any depth, any letter case of suffix, hidden and empty ones too.
 
-    Without ``content`` the scan lists files and never opens them. Order by
+    Folders are listed by tasks. Without ``content`` files are never opened. Order by
     ``rel_path`` (or use ``numbered``) to get the reference order.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.*")
-        .load(root)
-    )
-    ext = F.lower(F.regexp_extract("path", r"[^/]\.([^./]+)$", 1))
-    base = root.rstrip("/").split("file:")[-1]
-    rel = F.regexp_replace(_local_path(F.col("path")), "^" + _quote(base) + "/+", "")
-    kept = files.filter(ext.isin(*S.MEDIA_EXTENSIONS))
-    return kept.select(
-        "path", rel.alias("rel_path"), ext.alias("ext"),
-        F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"),
-        *(["content"] if content else []),
-    )
-
-
-def _quote(path: str) -> str:
-    return "".join("\\" + c if c in r"\.[]{}()*+-?^$|" else c for c in path)
+    found = folders.walk(spark, root)
+    ext = F.lower(F.regexp_extract("rel_path", r"[^/]\.([^./]+)$", 1))
+    kept = found.select(
+        folders.full_path(root, F.col("rel_path")).alias("path"), "rel_path", ext.alias("ext"), "bytes", "modified",
+    ).filter(F.col("ext").isin(*S.MEDIA_EXTENSIONS))
+    return folders.contents(kept, root) if content else kept
 
 
 def numbered(recordings: DataFrame) -> DataFrame:
@@ -64,14 +52,24 @@ def numbered(recordings: DataFrame) -> DataFrame:
     return rows.withColumn("total_runs", F.lit(rows.count()))
 
 
-def whole_texts(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
-    """A3: one row per text file; ``chunk_id`` from a numeric file stem."""
+def whole_texts(spark: SparkSession, path: str, suffix: str = "", *, every: bool = False) -> DataFrame:
+    """A3: one row per text file; ``chunk_id`` from a numeric file stem.
+
+    Spark's scan passes over files of no bytes and hidden ones; with ``every`` tasks list the folder and read
+    those that it passed over as well.
+    """
     rows = spark.read.option("recursiveFileLookup", True)
     if suffix:
         rows = rows.option("pathGlobFilter", f"*{suffix}")
     rows = rows.text(path, wholetext=True).select(
         _local_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("text")
     )
+    if every:
+        hidden = F.col("rel_path").rlike("(^|/)[._]")
+        passed = folders.walk(spark, path).filter(F.col("rel_path").endswith(suffix) & ((F.col("bytes") == 0) | hidden))
+        passed = folders.contents(passed.filter("rel_path <> '_SUCCESS'"), path)
+        rows = rows.unionByName(passed.select(
+            _local_path(folders.full_path(path, F.col("rel_path"))).alias("path"), F.decode("content", "utf-8").alias("text")))
     stem = F.regexp_extract("path", r"(\d+)\.[^./]*$", 1)
     return rows.withColumn("chunk_id", stem.try_cast("int"))
 

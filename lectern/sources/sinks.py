@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.errors import AnalysisException
 
 from lectern.session import write_and_read
+from lectern.sources import folders
 
 BUCKETS = 256
 BUCKET = "run_bucket"
@@ -94,26 +93,40 @@ def write_manifests(manifests: DataFrame, path: str, mode: str = "append") -> No
 
 
 def write_texts(texts: DataFrame, path: str, mode: str = "error", run: str = "run_id") -> None:
-    """Final texts as plain files, one folder per stage and run.
+    """Final texts as plain files, one folder per stage and run, each written by a task.
 
-    ``text`` already ends with one newline when non-empty, which is the one
-    the line writer adds, so it is taken off here. The line writer cannot make
-    an empty file: for a run whose text is empty the driver makes one, run by
-    run. A null text is no text and has no file.
+    A non-empty text ends with one newline, an empty one is an empty file; a null text is no text and has no
+    file. ``part`` orders the pieces of a text. Names that Spark's partition folders escape are escaped alike.
     """
     spark = texts.sparkSession
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if mode == "ignore" and fs.exists(folder):
-        return
-    empty = write_and_read(texts.groupBy("stage", run).agg(F.max(F.col("text") != "").alias("_full")).filter("NOT _full").drop("_full"), "empty-texts")
-    body = F.regexp_replace("text", r"\n\z", "")
-    out = texts.filter(F.col("text") != "").select("stage", run, *(["part"] if "part" in texts.columns else []), body.alias("value"))
-    if "part" in out.columns:
-        out = out.repartition("stage", run).sortWithinPartitions("stage", run, "part").drop("part")
-    out.write.mode(mode).partitionBy("stage", run).text(path)
-    named = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
-    text = lambda value: None if value is None else str(value)
-    for row in empty.toLocalIterator():
-        where = f"{path.rstrip('/')}/{named('stage', text(row[0]))}/{named(run, text(row[1]))}/part-00000-{uuid.uuid4()}.txt"
-        fs.create(spark._jvm.org.apache.hadoop.fs.Path(where)).close()
+    if fs.exists(folder):
+        if mode == "ignore":
+            return
+        if mode == "error":
+            raise ExistingOutputError(f"{path} exists")
+        if mode == "overwrite":
+            fs.delete(folder, True)
+    place = F.concat(_named("stage"), F.lit("/"), _named(run), F.lit("/part-00000.txt"))
+    body = F.when(F.col("text") == "", "").otherwise(F.concat(F.regexp_replace("text", r"\n\z", ""), F.lit("\n")))
+    part = F.col("part") if "part" in texts.columns else F.lit(0)
+    folders.write_files(texts.filter("text IS NOT NULL").select(place.alias("path"), part.alias("part"), body.alias("content")), path, "part")
+
+
+#: The characters that partition folders escape as % and two hexadecimal digits, beside
+#: control characters, and the name of a null or empty value.
+ESCAPED = "\"#%'*/:=?\\{[]^\x7f"
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _named(column: str) -> Column:
+    """Folder name column=value."""
+    value = F.col(column).cast("string")
+    code = lambda c: F.concat(F.lit("%"), F.lpad(F.hex(F.ascii(c)), 2, "0"))
+    strange = value.rlike("[\\x00-\\x1f" + "".join("\\" + c for c in ESCAPED[:-1]) + "\\x7f]")
+    letters = F.split(value, "")
+    special = lambda c: (F.ascii(c) < 32) | F.lit(ESCAPED).contains(c)
+    escaped = F.array_join(F.transform(letters, lambda c: F.when((c != "") & special(c), code(c)).otherwise(c)), "")
+    plain = F.when(strange, escaped).otherwise(value)
+    return F.concat(F.lit(f"{column}="), F.when(value.isNull() | (value == ""), NO_VALUE).otherwise(plain))

@@ -99,3 +99,43 @@ def test_few_files_are_dealt_out(spark, tmp_path):
     assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and dealt.count() == 10
     many = spark.range(100, numPartitions=20)
     assert files.deal_out(many) is many
+
+
+def test_hidden_and_empty_recordings(spark, tmp_path):
+    for name in ("_a.wav", ".b.mp3", ".c/_d/e.flac", "f.wav", "g/.wav", "h.wav.txt"):
+        put(tmp_path, name, b"" if name == "f.wav" else b"abc")
+    (tmp_path / "empty/deep").mkdir(parents=True)
+    rows = files.recordings(spark, str(tmp_path), content=True).collect()
+    assert sorted((r.rel_path, r.ext, r.bytes, r.content) for r in rows) == [
+        (".b.mp3", "mp3", 3, b"abc"), (".c/_d/e.flac", "flac", 3, b"abc"), ("_a.wav", "wav", 3, b"abc"), ("f.wav", "wav", 0, b"")]
+    with pytest.raises(Exception, match="nowhere"):
+        files.recordings(spark, str(tmp_path / "nowhere")).collect()
+
+
+def test_text_sink_names_and_empty_texts(spark, make, tmp_path):
+    rows = [("s10", "a/b=c", 0, "one\n"), ("s10", "a/b=c", 1, "two"), ("s10", "ř %1", 0, ""), ("s10", "none", 0, None), ("s10", None, 0, "x\n"), ("s10", "tab\t", 0, "y")]
+    df = make(rows, "stage STRING, run_id STRING, part INT, text STRING")
+    path = str(tmp_path / "out")
+    sinks.write_texts(df, path)
+    found = {p.parent.name: p.read_text() for p in (tmp_path / "out").rglob("*.txt")}
+    assert found == {"run_id=a%2Fb%3Dc": "one\ntwo\n", "run_id=ř %251": "", "run_id=__HIVE_DEFAULT_PARTITION__": "x\n", "run_id=tab%09": "y\n"}
+    assert {r.run_id: r.value for r in spark.read.text(path, wholetext=True).select("run_id", "value").collect()} == {
+        "a/b=c": "one\ntwo\n", None: "x\n", "tab\t": "y\n"}  # Spark reads the names back; it sees no empty file
+    assert files.whole_texts(spark, path, ".txt", every=True).count() == 4
+    assert (tmp_path / "out/_SUCCESS").read_text() == "4 files, 12 bytes\n"
+    assert not list((tmp_path / "out").rglob(".*"))
+    with pytest.raises(sinks.ExistingOutputError):
+        sinks.write_texts(df, path)
+    sinks.write_texts(df.limit(0), path, mode="ignore")
+    assert len(list((tmp_path / "out").rglob("*.txt"))) == 4
+
+
+def test_failed_sink_leaves_no_file(spark, make, tmp_path):
+    from pyspark.sql import functions as F
+    from lectern.sources import folders
+
+    rows = make([(f"{i}.txt",) for i in range(40)], "path STRING")
+    bad = rows.withColumn("content", F.when(F.col("path") == "33.txt", F.raise_error(F.lit("broken"))).otherwise("x"))
+    with pytest.raises(Exception, match="broken"):
+        folders.write_files(bad, str(tmp_path / "out"))
+    assert not (tmp_path / "out/_SUCCESS").exists()
