@@ -317,7 +317,11 @@ def _join_replies(asked, replies, hot_copies, salts):
     their hashes fit a broadcast, and any prompt that is not among them has less than 1 / HOT_PROMPTS
     of all rows.
     """
-    hot = replies.filter(F.col("copies") >= hot_copies).orderBy(F.desc("copies"), "prompt_hash").limit(HOT_PROMPTS)
+    frequent = replies.filter(F.col("copies") >= hot_copies)
+    if frequent.isEmpty():
+        out = asked.join(replies.drop("copies"), _CALL)
+        return out.withColumn("called", F.col("_mine") == F.col("bill")).drop("_mine", "bill")
+    hot = frequent.orderBy(F.desc("copies"), "prompt_hash").limit(HOT_PROMPTS)
     hot = write_and_read(hot.select(*_CALL, F.lit(True).alias("_hot")), "hot-prompts")
     salt = F.pmod(F.xxhash64("_mine"), F.lit(salts))
     salted = asked.join(F.broadcast(hot), _CALL, "left").withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)).cast("int"))
