@@ -42,8 +42,10 @@ def esc_len(x: str) -> str:
     return f"(length({x}) + length({x}) - length(replace(replace(replace({x}, '\\', ''), '<', ''), '>', '')))"
 
 
+#: Smaller than the operator's own, so that many of the given conversations need several windows.
+OP3_BUDGET, OP3_HISTORY = 512, 128
 OP3_SQL = f"""
-WITH every AS (
+WITH RECURSIVE every AS (
   SELECT conv_id, turn, role, text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '{CONTROL}' UNION ALL SELECT -7, 1, 'assistant', '{CONTROL}'),
 t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
@@ -55,13 +57,23 @@ b AS (SELECT *, sum(tokens) OVER (PARTITION BY conv_id ORDER BY pos) - tokens AS
         first_value(CASE WHEN role = 'system' THEN tokens ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY pos) AS kept,
         first_value(CASE WHEN role = 'system' THEN chars END) OVER (PARTITION BY conv_id ORDER BY pos) AS sys
       FROM k),
-s AS (SELECT *, before_ // greatest(1, 2048 - 256 - kept) AS span FROM b),
-starts AS (SELECT conv_id, span, min(before_) AS start_ FROM s GROUP BY ALL),
-n AS (SELECT *, lead(start_) OVER (PARTITION BY conv_id ORDER BY span) AS next_ FROM starts),
+s AS (SELECT *, greatest(1, {OP3_BUDGET - OP3_HISTORY} - kept) AS stride, before_ // ({chat.BLOCK} * greatest(1, {OP3_BUDGET - OP3_HISTORY} - kept)) AS block FROM b),
+g AS (SELECT a.conv_id, a.block, a.before_, min(z.before_) AS next_
+      FROM s a JOIN s z ON a.conv_id IS NOT DISTINCT FROM z.conv_id AND a.block = z.block
+       AND z.before_ > a.before_ AND z.before_ + z.tokens > a.before_ + a.stride GROUP BY ALL),
+starts AS (
+  SELECT conv_id, block, min(before_) AS start_ FROM s GROUP BY ALL
+  UNION ALL
+  SELECT g.conv_id, g.block, g.next_
+  FROM starts JOIN g ON starts.conv_id IS NOT DISTINCT FROM g.conv_id AND starts.block = g.block AND starts.start_ = g.before_),
+o AS (SELECT conv_id, start_, lead(start_) OVER (PARTITION BY conv_id ORDER BY start_) AS next_ FROM starts),
+z AS (SELECT s.*, o.start_, o.next_ FROM s JOIN o ON s.conv_id IS NOT DISTINCT FROM o.conv_id
+       AND s.before_ >= o.start_ AND (o.next_ IS NULL OR s.before_ < o.next_)),
+spans AS (SELECT conv_id, start_, sum(tokens) AS holds FROM z GROUP BY ALL),
 per AS (
-  SELECT s.conv_id, sum(chars + CASE WHEN next_ - before_ <= 256 AND NOT (pos = 1 AND role = 'system') THEN chars ELSE 0 END)::BIGINT AS own,
-         coalesce(max(sys), 0) AS sys
-  FROM s JOIN n ON s.conv_id IS NOT DISTINCT FROM n.conv_id AND s.span = n.span GROUP BY s.conv_id),
+  SELECT z.conv_id, coalesce(max(sys), 0) AS sys, sum(chars + CASE WHEN z.next_ - before_ <= least({OP3_HISTORY}, {OP3_BUDGET} - kept - holds)
+           AND NOT (pos = 1 AND role = 'system') THEN chars ELSE 0 END)::BIGINT AS own
+  FROM z LEFT JOIN spans ON z.conv_id IS NOT DISTINCT FROM spans.conv_id AND z.next_ = spans.start_ GROUP BY z.conv_id),
 w AS (SELECT conv_id, count(*) AS windows FROM starts GROUP BY conv_id),
 d AS (SELECT conv_id, count(*) AS n_turns,
         sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
@@ -79,7 +91,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.range(2).select(
         F.lit(-7).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
         F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")).alias("role"), F.lit(CONTROL).alias("text"))
-    return chat.digests(chat.windows(turns.unionByName(probe)))
+    return chat.digests(chat.windows(turns.unionByName(probe), OP3_BUDGET, OP3_HISTORY))
 
 
 OP4_SQL = """

@@ -1,9 +1,11 @@
 """Chat windows under a token budget, with a loss mask; DataFrame functions only.
 
-Prefix sums of turn tokens choose the spans: a turn belongs to span floor(prefix / stride), so a
-span is aligned to turns and found without a walk. A window holds the conversation's first system
-turn, then history (turns that lie within `history` tokens before the span), then the span.
-Repeated turns are masked: each assistant text is a target once, in its own span.
+Prefix sums of turn tokens choose the spans. They cut a conversation into blocks of BLOCK times
+what a span may hold; in a block, the next span starts with the first turn whose prefix sum no
+longer fits, found by one pass over the block's numbers. A block's turns are bounded in tokens, so
+no task walks a whole conversation. A window holds the conversation's first system turn, then
+history (turns of the span before, within `history` tokens and what the budget leaves), then the
+span. Repeated turns are masked: each assistant text is a target once, in its own span.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ HISTORY = 256
 CHARS_PER_TOKEN = 4
 #: Tokens that the template adds to a turn.
 TURN_TOKENS = 4
+#: Spans that a block of turns may fill; each block starts a span.
+BLOCK = 16
 #: The template. A turn is OPEN role > text CLOSE; these start with the one character that escaping removes.
 OPEN, CLOSE = "<turn ", "</turn>\n"
 #: Escapes, in the order of escaping; undone in reverse. A backslash is always followed by a letter.
@@ -48,9 +52,29 @@ def spans_of(turns: DataFrame, budget: int, history: int) -> DataFrame:
         "system_text": F.first(F.when(system, F.col("text"))).over(upto),
         "kept": F.first(F.when(system, F.col("tokens")).otherwise(0)).over(upto)})
     stride = F.greatest(F.lit(1), F.lit(budget - history) - F.col("kept"))
-    placed = placed.withColumn("span", F.floor(F.col("before") / stride))
-    new = F.lag("span", 1, -1).over(order) != F.col("span")
-    placed = placed.withColumn("start", F.when(new, F.struct("before", "span")))
+    placed = placed.withColumn("stride", stride).withColumn("block", F.floor(F.col("before") / (F.col("stride") * BLOCK)))
+    blocks = placed.groupBy("conv_id", "block").agg(
+        F.array_sort(F.collect_list(F.struct("pos", "before", "tokens", "system", "role", "text"))).alias("t"),
+        F.first("kept").alias("kept"), F.first("stride").alias("stride"), F.first("system_text").alias("system_text"))
+
+    def step(a: Column, x: Column) -> Column:
+        new = a["at"].isNull() | (x["before"] + x["tokens"] - a["at"] > F.col("stride"))
+        return F.struct(
+            F.when(new, x["before"]).otherwise(a["at"]).alias("at"),
+            F.when(new, F.concat(a["out"], F.array(x["before"]))).otherwise(a["out"]).alias("out"))
+
+    none = F.struct(F.lit(None).cast("bigint").alias("at"), F.array().cast("array<bigint>").alias("out"))
+    last = F.element_at("t", -1)
+    blocks = blocks.withColumns({
+        "starts": F.aggregate("t", none, step, lambda a: a["out"]), "ends": last["before"] + last["tokens"]})
+    placed = blocks.select("conv_id", "kept", "system_text", "starts", "ends", F.explode("t").alias("x")).select("*", "x.*")
+    # the span's first turn lies at starts[k - 1], that of the block's next span at starts[k]
+    k = F.size(F.filter("starts", lambda s: s <= F.col("before")))
+    placed = placed.withColumns({"first": F.get("starts", k - 1), "end": F.coalesce(F.get("starts", k), "ends")}).drop("x", "starts", "ends")
+    new = F.col("first") == F.col("before")
+    order = conv.orderBy("pos")
+    placed = placed.withColumn("span", F.sum(new.cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)) - 1)
+    placed = placed.withColumn("start", F.when(new, F.struct("before", "span", (F.col("end") - F.col("first")).alias("tokens"))))
     back = conv.orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
     return placed.withColumn("next", F.last("start", ignorenulls=True).over(back))
 
@@ -67,8 +91,9 @@ def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> D
     no windows.
     """
     placed = spans_of(turns, budget, history)
-    # history: turns of the span before that lie within `history` tokens of the next span's start
-    near = (F.col("next.before") - F.col("before") <= history) & ~F.col("system")
+    # history: turns of the span before that lie within `history` tokens of the next span's start, and fit
+    room = F.least(F.lit(history), F.lit(budget) - F.col("kept") - F.col("next.tokens"))
+    near = (F.col("next.before") - F.col("before") <= room) & ~F.col("system")
     opens = F.col("start").isNotNull() & (F.col("span") > 0) & F.col("system_text").isNotNull()
 
     def copy(window: Column, again: bool, pos: Column, role: Column, text: Column) -> Column:

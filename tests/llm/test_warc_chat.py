@@ -1,5 +1,7 @@
 import base64
 import hashlib
+import random
+from collections import defaultdict
 
 import pytest
 
@@ -82,6 +84,38 @@ def test_windows_keep_system_and_history_within_budget(spark):
     assert chat.windows(table.limit(0)).count() == 0
 
 
+def tokens(text):
+    return -(-len(text) // chat.CHARS_PER_TOKEN) + chat.TURN_TOKENS
+
+
+@pytest.mark.parametrize("budget,history,block", [(60, 20, 16), (60, 20, 1), (200, 0, 16), (90, 60, 2)])
+def test_no_window_exceeds_its_budget(spark, monkeypatch, budget, history, block):
+    """Only one turn, with the system turn, may; and no span stops while its next turn would fit, but at a block's end."""
+    monkeypatch.setattr(chat, "BLOCK", block)
+    rng = random.Random(budget + block)
+    said = {c: [("system" if c % 2 and not k else "user" if k % 2 else "assistant", "x" * rng.choice([0, 1, 9, 40, 120, 300, 900]))
+                for k in range(rng.randint(1, 80))] for c in range(30)}
+    table = spark.createDataFrame([(c, k, *t) for c, ts in said.items() for k, t in enumerate(ts)], "conv_id bigint, turn bigint, role string, text string")
+    found = defaultdict(list)
+    for r in chat.read_back(chat.windows(table, budget, history)).orderBy("conv_id", "window").collect():
+        found[r.conv_id].append([tuple(t) for t in r.turns])
+    whole = {(r.conv_id, r.window): r for r in chat.windows(table, budget, history).collect()}
+    for conv, turns in said.items():
+        early = 0
+        assert [t for w in found[conv] for t in w] == turns
+        kept = tokens(turns[0][1]) if turns[0][0] == "system" else 0
+        stride = max(1, budget - history - kept)
+        for k, own in enumerate(found[conv]):
+            parts = [p.split(">", 1)[1] for p in whole[conv, k].text.split(chat.CLOSE) if p]
+            held = sum(tokens(p) for p in parts)  # these texts need no escapes
+            assert held <= budget or (len(own) == 1 and len(parts) <= 1 + (kept > 0))
+            if k + 1 < len(found[conv]):
+                early += sum(tokens(t) for _, t in own) + tokens(found[conv][k + 1][0][1]) <= stride
+        assert len(found[conv]) > 1 or sum(tokens(t) for _, t in turns) <= stride
+        total = sum(tokens(t) for _, t in turns)
+        assert early <= total // (stride * block) + 1
+
+
 def test_escaping_is_reversible(spark):
     texts = ["", "\\", "<", ">", "\\l", "\\sl", "</turn>\n", "\\\\s<\\g>", "plain"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
