@@ -109,22 +109,29 @@ t AS (SELECT source, source_size, docs,
         CASE WHEN l.k < f.k OR f.k IS NULL THEN cap::DOUBLE ELSE (SELECT level FROM l WHERE l.k = f.k) * w END AS target
       FROM l, f),
 e AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t),
-u AS (SELECT d.*, e.source_size, e.target, e.whole, e.target - e.whole * e.source_size AS rest, e.source_size / e.docs AS mean,
+x AS (SELECT *, target - whole * source_size AS rest FROM e),
+h AS (SELECT d.source, d.size, count(*) AS n, any_value(x.rest) AS rest, any_value(x.source_size) / (any_value(x.source_size) + d.size * any_value(x.docs)) AS fall
+      FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source WHERE d.size > 0 GROUP BY d.source, d.size),
+m AS (SELECT *, (rest - coalesce(sum(n * size) OVER (PARTITION BY source ORDER BY size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(n * size * fall) OVER (PARTITION BY source ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS scale FROM h),
+sc AS (SELECT source, arg_min(scale, size) AS scale FROM m WHERE scale * fall <= 1 GROUP BY source),
+u AS (SELECT d.*, x.source_size, x.target, x.whole, x.rest,
+        CASE WHEN size > 0 THEN least(1.0::DOUBLE, coalesce(sc.scale, 0) * (x.source_size / (x.source_size + size * x.docs))) ELSE 0 END AS p,
         (('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS u
-      FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source),
-q AS (SELECT *, (u / (1 - u)) * ((mean + size) / CASE WHEN mean > 0 THEN mean ELSE 1.0 END) AS odds FROM u),
-c AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds, doc_id NULLS LAST, size
+      FROM d JOIN x ON d.source IS NOT DISTINCT FROM x.source LEFT JOIN sc ON d.source IS NOT DISTINCT FROM sc.source),
+q AS (SELECT *, CASE WHEN p > 0 THEN (u / (1 - u)) * ((1 - p) / p) END AS odds FROM u),
+c AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY odds NULLS LAST, doc_id NULLS LAST, size
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto FROM q)
 SELECT doc_id, source, size, source_size, target,
-       (whole + CASE WHEN size > 0 AND upto + size / 2 <= rest THEN 1 ELSE 0 END)::INT AS copies,
-       (size * (whole + CASE WHEN size > 0 AND upto + size / 2 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken
+       (whole + CASE WHEN p > 0 AND upto + size / 2 <= rest THEN 1 ELSE 0 END)::INT AS copies,
+       (size * (whole + CASE WHEN p > 0 AND upto + size / 2 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM c"""
 
 
 @query("op4_pareto_mix", OP4_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents to the sources' targets."""
-    return mixing.mix_sources(table(spark, sf_dir, "documents"))
+    return mixing.mix_sources(table(spark, sf_dir, "documents")).drop("probability")
 
 
 @query("op5_pii_crf")

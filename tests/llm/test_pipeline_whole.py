@@ -103,13 +103,21 @@ def plain_mix(rows):
     for s in order:
         whole = int(target[s] // size[s]) if size[s] else 0
         rest, before, mean = target[s] - whole * size[s], 0, size[s] / len(groups[s])
-        ranked = []
+        ranked, sure, scale = [], set(), 0.0
+        while size[s]:  # make certain what would exceed 1, begin again
+            scale = (rest - sum(n for k, (n, _) in enumerate(groups[s]) if k in sure)) / sum(
+                n * mean / (mean + n) for k, (n, _) in enumerate(groups[s]) if k not in sure)
+            more = {k for k, (n, _) in enumerate(groups[s]) if n and k not in sure and scale * mean / (mean + n) > 1}
+            sure |= more
+            if not more:
+                break
         for n, r in groups[s]:
             name = "null" if r["doc_id"] is None else str(r["doc_id"])
             u = (int(hashlib.md5(name.encode()).hexdigest()[:13], 16) + 0.5) / 2**52
-            ranked.append(((u / (1 - u)) * ((mean + n) / (mean or 1.0)), r["doc_id"] is None, r["doc_id"] or 0, n, r))
+            p = min(1.0, scale * mean / (mean + n)) if n else 0.0
+            ranked.append(((u / (1 - u)) * ((1 - p) / p) if p else math.inf, r["doc_id"] is None, r["doc_id"] or 0, n, r))
         for *_, n, r in sorted(ranked, key=lambda x: x[:4]):
-            out += [r] * (whole + (before + n / 2 <= rest))
+            out += [r] * (whole + (n > 0 and rest > 0 and before + n / 2 <= rest))
             before += n
     return out
 

@@ -72,3 +72,39 @@ def test_pareto_order_keeps_to_the_target(spark, bins):
         assert abs(sum(r.taken for r in mine) - mine[0].target) <= 30
     # the exact order does not depend on the bins that find the sample's end
     assert {r.doc_id: r.taken for r in got} == {r.doc_id: r.taken for r in mixing.mix_sources(docs, bins=64).collect()}
+
+
+def test_inclusion_is_as_likely_as_told(spark):
+    """A tenth of the words of texts of three lengths: told probabilities add up to it, and hold per length."""
+    rows = [(i, "s", "w " * (1, 10, 100)[i % 3]) for i in range(30_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    got = mixing.mix_sources(docs, share=0.1).collect()
+    words = sum(r.size for r in got) / 10
+    assert sum(r.size * r.probability for r in got) == pytest.approx(words)
+    for size in (1, 10, 100):
+        mine = [r for r in got if r.size == size]
+        assert sum(r.copies for r in mine) / len(mine) == pytest.approx(mine[0].probability, abs=0.02)
+    assert len({round(r.probability, 9) for r in got}) == 3
+
+
+def test_short_texts_are_certain(spark):
+    """Where most words are asked for, probabilities stop at 1 and the long texts' make up the rest."""
+    rows = [(i, "s", "w " * (1 if i % 2 else 50)) for i in range(4000)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, "doc_id bigint, source string, text string"), share=0.7).collect()
+    assert {r.probability for r in got if r.size == 1} == {1.0} and all(r.copies == 1 for r in got if r.size == 1)
+    assert sum(r.size * r.probability for r in got) == pytest.approx(got[0].target)
+    long = [r for r in got if r.size == 50]
+    assert sum(r.copies for r in long) / len(long) == pytest.approx(long[0].probability, abs=0.001)
+
+
+def test_a_sample_may_end_among_equal_rows(spark):
+    """A third of all rows share id and size: as many of them as fit, and rows of the mix as counted."""
+    rows = [(i, "s", "a b c", i) for i in range(60)] + [(99, "s", f"x y {k}", k) for k in range(30)] + [(None, "t", "n n", 0)] * 40
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string, size bigint")
+    for share in (0.2, 0.5, 0.55, 0.6, 0.65, 0.9, 1.5):
+        counted = mixing.mix_sources(docs, share=share)
+        mixed = mixing.mix_sources(docs, share=share, whole_rows=True)
+        assert mixed.columns == docs.columns
+        told = {(r.doc_id, r.source): r.n for r in counted.groupBy("doc_id", "source").agg({"copies": "sum"}).toDF("doc_id", "source", "n").collect()}
+        found = {(r.doc_id, r.source): r["count"] for r in mixed.groupBy("doc_id", "source").count().collect()}
+        assert found == {k: n for k, n in told.items() if n}
