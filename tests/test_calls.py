@@ -103,14 +103,14 @@ def test_text_transform_over_budget(make):
 
 
 def test_classify(make):
-    df = texts(make, ("r", "Audience question\n\nLecture starts"), ("x", "hopeless"), ("e", " \n\n\t"))
+    df = texts(make, ("r", "Is this seat free?\n\nGlaciers carve valleys"), ("x", "hopeless"), ("e", " \n\n\t"))
     res = st.classify(df, "C {{span_lines}}", "Fix {{original_prompt}} {{bad_response}}", setup(Chatty))
-    assert {r.run_id: r.text for r in res.texts.collect()} == {"r": "Lecture starts\n", "e": ""}
+    assert {r.run_id: r.text for r in res.texts.collect()} == {"r": "Glaciers carve valleys\n", "e": ""}
     log = res.calls.groupBy("run_id").count().collect()
     assert {r.run_id: r["count"] for r in log} == {"r": 2, "x": 4}
     assert [(r.run_id, r.breach) for r in res.rejected.collect()] == [("x", "invalid_json")]
     assert [tuple(r) for r in res.extra["removed"].select("span_id", "label", "reason", "text").collect()] == [
-        (1, "AUDIENCE", "chatter", "Audience question")]
+        (1, "SEATING", "asks for a seat", "Is this seat free?")]
     report = {r.run_id: r.text for r in res.extra["report"].collect()}
     assert "sentences: 2 | KEEP: 1 | REMOVE: 1" in report["r"] and "No sentences available" in report["e"]
     with pytest.raises(pr.TemplateError):
@@ -120,8 +120,9 @@ def test_classify(make):
 def test_condense(make):
     df = texts(make, ("r", "\n\n".join(f"Paragraph {i}" for i in range(1, 10))), ("e", " "))
     res = st.condense(df, "M{{paragraph_lines}}", "R{{candidate_blocks_json}}", setup(Condenser))
-    assert {r.run_id: r.text for r in res.texts.collect()} == {"r": "A.\n\nB.\n\nC.\n", "e": ""}
-    assert [tuple(r)[1:] for r in res.extra["blocks"].orderBy("from_p").collect()] == [(1, 4, "Intro", "A."), (5, 9, "Middle", "B.\n\nC.")]
+    assert {r.run_id: r.text for r in res.texts.collect()} == {"r": "Ships leave at dawn.\n\nWind from the west.\n\nAn island.\n", "e": ""}
+    assert [tuple(r)[1:] for r in res.extra["blocks"].orderBy("from_p").collect()] == [
+        (1, 3, "Harbour", "Ships leave at dawn."), (4, 9, "The long crossing", "Wind from the west.\n\nAn island.")]
     assert [r.phase for r in res.calls.orderBy("batch_id").collect()] == ["map", "map", "reduce"]
 
 
@@ -191,7 +192,7 @@ def test_stage_makes_as_many_calls_as_the_limit_allows(make, tmp_path):
 
 
 def test_repairs_count_towards_the_limit(make):
-    df = texts(make, ("r", "Audience question\n\nLecture starts"), ("x", "hopeless"))
+    df = texts(make, ("r", "Is this seat free?\n\nGlaciers carve valleys"), ("x", "hopeless"))
     res = st.classify(df, "C {{span_lines}}", "Fix {{original_prompt}} {{bad_response}}",
                       setup(Chatty, provider="openai", caps=ca.Caps(calls=3, tokens_in=10**6, tokens_out=10**6)))
     assert {r.run_id: r["count"] for r in res.calls.groupBy("run_id").count().collect()} == {"r": 2, "x": 3}
