@@ -18,6 +18,13 @@ class Never:
         raise AssertionError("must not be called")
 
 
+class Refusing:
+    def generate(self, model, prompt, temperature):
+        if "bad" in prompt:
+            raise ValueError("refused")
+        return ca.Reply(prompt.upper())
+
+
 class Chatty:
     """First answer unusable, repaired on request; one run never answers well."""
 
