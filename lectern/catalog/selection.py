@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from lectern.catalog.base import query, table
+from lectern.catalog.base import query, sql_chunks, table
+from lectern.catalog.calls import Echo
 from lectern.operators import incremental as inc
+from lectern.plans import run as rn, stages as st
+from lectern.session import shared_folder
 
 
 @query("a2_artifacts", """SELECT url || '#' || page_id AS path, sha256(html) AS sha256, strlen(html)::BIGINT AS bytes FROM pages""")
@@ -48,6 +53,34 @@ def work_selection(spark, sf):
     return inc.select_work(_candidates(spark, sf), _manifests(spark, sf)).select("run_id", "stage", "o_orderkey")
 
 
+@query("f8_second_run", f"""WITH documents AS (
+  SELECT d.doc_id, d.source, d.lang, l.doc_id IS NOT NULL AS revised,
+         CASE WHEN l.doc_id IS NOT NULL THEN d.text || chr(10) || 'Revised.' ELSE d.text END AS text
+  FROM documents d LEFT JOIN (SELECT DISTINCT doc_id FROM labels) l USING (doc_id)),
+{sql_chunks(6000)},
+told AS (
+  SELECT doc_id, count(*) AS n, string_agg('[m] Edit:' || chr(10) || text, chr(10) || chr(10) ORDER BY chunk_id) || chr(10) AS text
+  FROM chunks GROUP BY doc_id)
+SELECT d.doc_id::VARCHAR AS run_id, CASE WHEN revised THEN 'success' ELSE 'skipped' END AS status,
+  CASE WHEN revised THEN coalesce(n, 0) ELSE 0 END::BIGINT AS calls, coalesce(t.text, '') AS text
+FROM documents d LEFT JOIN told t USING (doc_id)""".replace("WITH split AS", "split AS"))
+def second_run(spark, sf):
+    """All documents are edited; then the labelled ones, revised since, and no others are edited again."""
+    docs = table(spark, sf, "documents").select("doc_id", F.col("doc_id").cast("string").alias("run_id"), "text")
+    labelled = table(spark, sf, "labels").select("doc_id", F.lit(True).alias("_revised")).distinct()
+    revised = docs.join(labelled, "doc_id", "left").withColumn(
+        "text", F.when(F.col("_revised"), F.concat("text", F.lit("\nRevised."))).otherwise(F.col("text")))
+    setup, template = st.ModelSetup(Echo, "m"), "Edit:\n{{text}}"
+    step = rn.Step("s07", lambda t: st.text_transform(t, "s07", template, setup, sep="\n"), rn.model_params(setup, template))
+    folder = f"{shared_folder(spark)}/second-run-{uuid.uuid4().hex}"
+    rn.run_stage(docs.select("run_id", "text"), step, folder, buckets=16)
+    done = rn.run_stage(revised.select("run_id", "text"), step, folder, buckets=16)
+    made = done.calls.groupBy("run_id").agg(F.count(F.lit(1)).alias("calls"))
+    stored = rn.stored_texts(spark, folder, "s07").select("run_id", "text")
+    return done.manifests.select("run_id", "status").join(stored, "run_id", "left").join(made, "run_id", "left").select(
+        "run_id", "status", F.coalesce("calls", F.lit(0)).cast("bigint").alias("calls"), "text")
+
+
 @query("f9_input_signatures", """WITH e AS (SELECT DISTINCT source AS run_id, 's0' || doc_id % 3 AS stage, lang || '/' || doc_id AS path, doc_id FROM documents),
 f AS (SELECT d.lang || '/' || d.doc_id AS path, sha256(d.text) AS sha FROM documents d WHERE doc_id IN (SELECT doc_id FROM labels))
 SELECT run_id, stage, string_agg(path || ':' || coalesce(sha, '<missing>'), chr(10) ORDER BY path) AS inputs_signature

@@ -71,12 +71,13 @@ def stored_texts(spark: SparkSession, folder: str, stage: str) -> DataFrame | No
 
 def run_stage(
     texts: DataFrame, step: Step, folder: str, *, on_exists: str = "overwrite", force: bool = False, dry_run: bool = False,
+    buckets: int = sinks.BUCKETS,
 ) -> Pass:
     """Do a stage for the runs whose texts or parameters changed since their last success.
 
     Of those, ``on_exists`` decides where outputs are stored already: overwrite does them again, skip leaves
     them, fail stops before any call. ``force`` takes every run as changed; ``dry_run`` only notes what
-    would be done. ``texts``: run_id, text and, where a run has several rows, part. Runs are named: a
+    would be done. Outputs stand in ``buckets`` folders a stage, the same number in every pass. ``texts``: run_id, text and, where a run has several rows, part. Runs are named: a
     null run_id is an error. A run that the stage rejects is 'failed' and keeps its older outputs.
     """
     if on_exists not in ("overwrite", "skip", "fail"):
@@ -97,8 +98,8 @@ def run_stage(
         return Pass(_noted(rest, folder, started), None)
 
     result = step.work(texts.join(todo.select("run_id"), "run_id", "left_semi"))
-    made = sinks.save_runs(result.texts, f"{folder}/texts", "overwrite")
-    calls = sinks.save_runs(result.calls, f"{folder}/calls", "overwrite")
+    made = sinks.save_runs(result.texts, f"{folder}/texts", "overwrite", buckets=buckets)
+    calls = sinks.save_runs(result.calls, f"{folder}/calls", "overwrite", buckets=buckets)
     reasons = result.rejected.groupBy("run_id").agg(F.min("breach").alias("error"))
     outputs = signed(made, step.stage).select("run_id", F.col("inputs_signature").alias("outputs_signature"))
     done = todo.join(outputs, "run_id", "left").join(reasons, "run_id", "left")
