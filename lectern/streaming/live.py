@@ -1,7 +1,8 @@
 """Live views over the event log with Structured Streaming.
 
-Each view appends one folder per micro-batch (``epoch=N``) and overwrites that
-folder when a batch is retried, so results are exactly-once. Readers take the
+Each view appends one folder per micro-batch (``epoch=N``; for states and ids below
+``stream=ID``, so that a stream with a new checkpoint overwrites nothing) and overwrites
+that folder when a batch is retried, so results are exactly-once. Readers take the
 newest row per key.
 """
 
@@ -31,6 +32,11 @@ def _start(stream: DataFrame, checkpoint: str, each: Callable[[DataFrame, int],
     return writer.start()
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps over restarts from its checkpoint."""
+    return spark.read.json(f"{checkpoint}/metadata").head()["id"]
+
+
 def _table(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.option("basePath", path).parquet(path)
@@ -44,9 +50,15 @@ def _table(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def live_states(events: DataFrame, path: str, checkpoint: str, run: str = "run_id", once: bool = False) -> StreamingQuery:
-    """Run states kept up to date; only changed runs are written."""
+    """Run states kept up to date; only changed runs are written.
+
+    A stream that starts anew with another checkpoint reads the log from its start. Until it has caught up,
+    the states that know a later event stay in force; of states that know the same last event, that
+    written last counts, since late events change a state without a new last one.
+    """
     def upsert(changed: DataFrame, epoch: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+        folder = f"{path}/stream={_stream_id(changed.sparkSession, checkpoint)}/epoch={epoch}"
+        changed.withColumn("written_at", F.current_timestamp()).write.mode("overwrite").parquet(folder)
 
     return _start(runlog.run_states(events, run), checkpoint, upsert, "update", once)
 
@@ -54,13 +66,16 @@ def live_states(events: DataFrame, path: str, checkpoint: str, run: str = "run_i
 def current_states(spark: SparkSession, path: str, run: str = "run_id") -> DataFrame:
     """Newest state per run; feed it to fleet_summary for the live counts."""
     rows = spark.read.option("basePath", path).parquet(path)
-    rest = [c for c in rows.columns if c not in (run, "epoch")]
-    return rows.groupBy(run).agg(F.max_by(F.struct(*rest), "epoch").alias("s")).select(run, "s.*")
+    rest = [c for c in rows.columns if c not in (run, "stream", "epoch", "written_at")]
+    return rows.groupBy(run).agg(
+        F.max_by(F.struct(*rest), F.struct("last_seq", "written_at", "epoch")).alias("s")).select(run, "s.*")
 
 
 def compact_states(spark: SparkSession, path: str, into: str, run: str = "run_id") -> None:
-    """Rewrite the newest states to a fresh folder as its epoch 0."""
-    current_states(spark, path, run).write.mode("error").parquet(f"{into}/epoch=0")
+    """Rewrite the newest states to a fresh folder, as epoch 0 of a stream of its own. The stream that
+    wrote ``path`` can go on into the fresh folder."""
+    current_states(spark, path, run).withColumn("written_at", F.current_timestamp()).write.mode("error").parquet(
+        f"{into}/stream=compacted/epoch=0")
 
 
 # -- I2 ---------------------------------------------------------------------
@@ -145,7 +160,7 @@ def pick_up_new(
     spark = arrivals.sparkSession
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        stream = spark.read.json(f"{checkpoint}/metadata").head()["id"]
+        stream = _stream_id(spark, checkpoint)
         known = _table(spark, ids_path)
         if known is None:
             known = spark.createDataFrame([], "path STRING, run_id STRING")

@@ -67,6 +67,22 @@ def test_states_batch_and_live(spark, make, tmp_path):
     assert summary.total_runs == 3 == sum(summary[1:])
 
 
+def test_states_over_two_checkpoints_and_late_events(spark, make, tmp_path):
+    events, late = log(make, 120), log(make, 120).filter("seq % 7 = 3")
+    src, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    start = lambda ck, **kw: live.live_states(
+        live.read_events(spark, src, events.schema, "parquet", **kw), out, f"{tmp_path}/{ck}", "run_dir", once=True).awaitTermination()
+    for low, high in ((60, 200), (0, 60)):  # the newest events come first
+        events.filter(f"seq % 7 <> 3 AND seq >= {low} AND seq < {high}").coalesce(1).write.mode("append").parquet(src)
+        start("ck")
+    late.coalesce(1).write.mode("append").parquet(src)
+    start("ck")
+    want = as_dict(rl.run_states(events, "run_dir"))
+    assert as_dict(live.current_states(spark, out, "run_dir")) == want
+    start("anew", maxFilesPerTrigger="1")
+    assert as_dict(live.current_states(spark, out, "run_dir")) == want
+
+
 def test_slots_continue_across_batches(spark, make, tmp_path):
     df = log(make, 300, 2)
     want = {}
