@@ -17,8 +17,10 @@ def _folder(spark) -> str:
 
 
 def _stream(spark, sf, name):
+    """A table as a file stream, be it one file or a folder of part files. The pattern matches its name only:
+    as a plain path a single file would be taken for the base folder."""
     schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf}/{name}.[p]arquet")
 
 
 @query("i1_live_states", f"WITH {logs.STATES} SELECT * FROM states")

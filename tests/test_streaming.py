@@ -1,10 +1,15 @@
 """Streams fed in several files must end where the batch operators end."""
 
+import glob
+import os
 import random
+import shutil
 
+import pytest
 from pyspark.sql import functions as F
 
 from lectern import schemas as S
+from lectern.catalog import QUERIES
 from lectern.operators import runlog as rl
 from lectern.streaming import live
 
@@ -151,3 +156,17 @@ def test_outcomes_and_matrix(make):
     else:
         raise AssertionError("reversed range must fail")
     assert S.STAGES[0] == "s01"
+
+
+@pytest.mark.parametrize("files", [0, 2])
+def test_queries_read_tables_of_one_file_and_of_many(spark, make, tmp_path, files):
+    rows = [(n, "x", "en", f"src{n % 2}", n) for n in range(9)]
+    docs = make(rows, "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/one")
+    if files:
+        docs.repartition(files).write.parquet(f"{tmp_path}/sf/documents.parquet")
+    else:
+        os.mkdir(f"{tmp_path}/sf")
+        shutil.copy(glob.glob(f"{tmp_path}/one/part-*.parquet")[0], f"{tmp_path}/sf/documents.parquet")
+    got = QUERIES["i4_new_arrivals"](spark, f"{tmp_path}/sf").collect()
+    assert {(r.path, r.n_chars) for r in got} == {(f"/in/{n}/src{n % 2}.wav", n) for n in range(9)} and len(got) == 9
