@@ -9,7 +9,7 @@ from typing import NamedTuple, Protocol
 
 import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from lectern import schemas as S
 from lectern.functions import accounting as acc
@@ -287,16 +287,20 @@ def call_model(
     ask = lambda rows: rows.repartition(width, "prompt_hash").mapInPandas(caller, f"{_REPLY}, bill BIGINT")
     if ledger is None:
         replies = write_and_read(ask(unique), "replies")
-        _check_client(replies, hopeless)
+        _check_client(replies.agg(*_told()).first(), hopeless)
     else:
         answered = ledger_replies(spark, ledger).filter("error IS NULL")
-        todo = write_and_read(unique.join(answered.select(*_CALL), _CALL, "left_anti"), "unanswered")
+        todo = unique.join(answered.select(*_CALL), _CALL, "left_anti")
         waves = -(-todo.count() // (width * batch))
+        if waves:
+            # One folder per wave, so that a wave reads its own prompts only.
+            wave_of = F.pmod(F.xxhash64("prompt_hash"), F.lit(waves)).cast("int")
+            todo = write_and_read(todo.withColumn("wave", wave_of).repartition("wave"), "unanswered", "wave")
         for wave in range(waves):
-            mine_now = F.pmod(F.xxhash64("prompt_hash"), F.lit(waves)) == wave
-            said = write_and_read(ask(todo.filter(mine_now)), "replies")
+            seen = Observation()
+            said = ask(todo.filter(F.col("wave") == wave).drop("wave")).observe(seen, *_told())
             said.drop("bill").write.mode("append").parquet(ledger)
-            _check_client(said, hopeless)
+            _check_client(seen.get, hopeless)
         asked_now = unique.select(*_CALL, "copies", "bill")
         replies = write_and_read(ledger_replies(spark, ledger).drop("copies").join(asked_now, _CALL), "replies")
     if known is not None:
@@ -304,8 +308,12 @@ def call_model(
     return _join_replies(asked.withColumn("_mine", mine), replies, hot_copies, salts)
 
 
-def _check_client(replies: DataFrame, hopeless: int) -> None:
-    told = replies.agg(F.count(F.lit(1)).alias("n"), F.count("error").alias("bad"), F.min("error").alias("error")).first()
+def _told() -> list[Column]:
+    """What a wave tells of its calls."""
+    return [F.count(F.lit(1)).alias("n"), F.count("error").alias("bad"), F.min("error").alias("error")]
+
+
+def _check_client(told, hopeless: int) -> None:
     if told["n"] >= hopeless and told["n"] == told["bad"]:
         raise ClientError(f"none of {told['n']} calls was answered: {told['error']}")
 

@@ -214,6 +214,18 @@ def test_ledger_resumes_where_calls_were_broken_off(make, tmp_path):
     assert ask(Never).count() == 60
 
 
+def test_a_wave_reads_its_own_prompts_only(make, tmp_path, monkeypatch):
+    written = []
+    keep = ca.write_and_read
+    monkeypatch.setattr(ca, "write_and_read", lambda df, name, *by: written.append((name, by)) or keep(df, name, *by))
+    df = prompts(make, [("r", i, f"p{i:03}") for i in range(60)]).drop("in_tok", "out_tok")
+    got = ca.call_model(df, Upper, tasks=2, ledger=f"{tmp_path}/ledger", batch=5)
+    assert {r.prompt: r.response for r in got.collect()} == {f"p{i:03}": f"P{i:03}" for i in range(60)}
+    assert ("unanswered", ("wave",)) in written and [n for n, _ in written].count("replies") == 1  # none per wave
+    with pytest.raises(ca.ClientError, match="60 calls"):
+        ca.call_model(df, Silent, tasks=2, ledger=f"{tmp_path}/silent", batch=30)
+
+
 def test_calls_overlap(make):
     df = prompts(make, [("r", i, f"p{i}") for i in range(8)]).drop("in_tok", "out_tok")
     taken = []
