@@ -226,6 +226,16 @@ def test_a_wave_reads_its_own_prompts_only(make, tmp_path, monkeypatch):
         ca.call_model(df, Silent, tasks=2, ledger=f"{tmp_path}/silent", batch=30)
 
 
+def test_workers_get_small_batches(spark):
+    from lectern.catalog import QUERIES
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    QUERIES["m1_model_replies"](spark, "/root/testdata/sf0.001")
+    long = spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 20_000).alias("prompt"))
+    sizes = long.mapInPandas(lambda batches: (b.iloc[:1].assign(prompt=str(len(b))) for b in batches), "prompt STRING")
+    assert max(int(r.prompt) for r in sizes.collect()) < 200  # 2 MB of 40
+
+
 def test_calls_overlap(make):
     df = prompts(make, [("r", i, f"p{i}") for i in range(8)]).drop("in_tok", "out_tok")
     taken = []
