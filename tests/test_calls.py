@@ -150,6 +150,22 @@ def test_report_numbers_every_sentence(make, part_rows):
     assert "No sentences available" in "\n".join(parts["none"])
 
 
+def test_long_pages_come_in_parts(make):
+    from lectern.operators import review as rv
+
+    spans = make([(r, i, f"One {i}. Two <x>.", "KEEP", None, "why") for r, n in (("long", 50), ("short", 3)) for i in range(n)],
+                 "run_id STRING, span_id INT, text STRING, action STRING, label STRING, reason STRING")
+    runs = make([("long",), ("short",), ("none",)], "run_id STRING")
+    whole = {r.run_id: r.text for r in rv.review_report(rv.sentence_table(spans), runs).collect()}
+    cut = rv.review_report(rv.sentence_table(spans), runs, page_bytes=5000, part_rows=7).orderBy("part").collect()
+    assert rv.review_report(rv.sentence_table(spans), runs, page_bytes=10**6).count() == 3
+    parts = {}
+    for r in cut:
+        parts.setdefault(r.run_id, []).append((r.part, r.text))
+    assert {k: "\n".join(t for _, t in v) for k, v in parts.items()} == whole
+    assert [p for p, _ in parts["long"]] == list(range(8)) and len(parts["none"]) == 1
+
+
 def test_failed_call_stops_its_run_only(make):
     texts = make([("good", "one\n\ntwo"), ("bad", "boom\n\nfine"), ("none", "")], "run_id STRING, text STRING")
     out = st.text_transform(texts, "s07", "{{text}}", st.ModelSetup(Picky, "m"))
