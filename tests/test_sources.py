@@ -139,3 +139,10 @@ def test_failed_sink_leaves_no_file(spark, make, tmp_path):
     with pytest.raises(Exception, match="broken"):
         folders.write_files(bad, str(tmp_path / "out"))
     assert not (tmp_path / "out/_SUCCESS").exists()
+
+
+def test_small_texts_are_read_by_few_tasks(spark, make, tmp_path):
+    sinks.write_texts(make([(f"r{i}", "s10", "" if i % 3 == 0 else f"t{i}") for i in range(40)], "run_id STRING, stage STRING, text STRING"), f"{tmp_path}/t")
+    scan = files.whole_texts(spark, f"{tmp_path}/t", ".txt", every=True)
+    assert sorted(r.text for r in scan.collect()) == sorted("" if i % 3 == 0 else f"t{i}\n" for i in range(40))
+    assert "FileScan text" not in scan._jdf.queryExecution().executedPlan().toString()  # one task per 32 files or fewer
