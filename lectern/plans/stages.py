@@ -94,14 +94,16 @@ def text_transform(
     chunks = sh.text_chunks(texts, ["run_id"], max_chars, sep=sep).withColumnRenamed("chunk_id", "batch_id")
     prompts = write_and_read(
         _prompted(chunks, template, {"text": F.col("text")}, stage, "chunk", setup)
-        .withColumn("input_chars", F.length("text").cast("bigint")).withColumn("retry_index", F.lit(0)),
+        .withColumn("input_chars", F.length("text").cast("bigint")).withColumn("retry_index", F.lit(0))
+        .drop(*([] if with_edits else ["text"])),
         "prompts",
     )
     upper = ordered.largest(prompts, "batch_id")
     ready, rejected = _admitted(prompts, setup, upper=upper)
     ready, over = _limited(ready, setup, upper=upper)
     rejected = rejected.unionByName(over)
-    answered = write_and_read(ca.call_model(ready, setup.make, tasks=setup.tasks, ledger=setup.ledger), "calls")
+    # Prompts and replies are stored; what joins them reads the columns it needs only.
+    answered = ca.call_model(ready, setup.make, tasks=setup.tasks, ledger=setup.ledger)
     costs = ca.running_costs(answered.filter("error IS NULL"), upper=upper)
     failed = ca.failed_groups(answered)
     stopped = _stopped(costs, rejected, setup).unionByName(failed)

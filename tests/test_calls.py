@@ -252,6 +252,14 @@ def test_workers_get_small_batches(spark):
     assert max(int(r.prompt) for r in sizes.collect()) < 200  # 2 MB of 40
 
 
+def test_texts_are_not_stored_beside_their_prompts(make, monkeypatch):
+    stored = {}
+    keep = st.write_and_read
+    monkeypatch.setattr(st, "write_and_read", lambda df, name, *by: stored.update({name: df.columns}) or keep(df, name, *by))
+    res = st.text_transform(texts(make, ("r", "one")), "s07", "{{text}}", setup(Upper), with_edits=False)
+    assert [r.text for r in res.texts.collect()] == ["ONE\n"] and "text" not in stored["prompts"] and "calls" not in stored
+
+
 def test_calls_overlap(make):
     df = prompts(make, [("r", i, f"p{i}") for i in range(8)]).drop("in_tok", "out_tok")
     taken = []
