@@ -361,7 +361,8 @@ def repair_rounds(
     holes = pr.hole_names(repair_body) - {"original_prompt", "bad_response"}
     if holes:
         raise pr.TemplateError(f"Missing prompt template values for repair: {', '.join(sorted(holes))}")
-    todo = prompts.withColumn("_original", F.col("prompt"))
+    # The original of a repair prompt; a prompt of the first round is its own.
+    todo = prompts.withColumn("_original", F.lit(None).cast("string"))
     attempts = None
     last, stopped = None, None
     for attempt in range(retries + 1):
@@ -376,10 +377,9 @@ def repair_rounds(
         failed = last.filter("parsed IS NULL AND error IS NULL")
         if attempt == retries or failed.isEmpty():
             break
-        ask = pr.fill(F.lit(repair_body), {
-            "original_prompt": F.col("_original"), "bad_response": F.col("response"),
-        })
-        todo = failed.withColumn("prompt", ask).select(*todo.columns)
+        original = F.coalesce("_original", "prompt")
+        ask = pr.fill(F.lit(repair_body), {"original_prompt": original, "bad_response": F.col("response")})
+        todo = failed.withColumns({"prompt": ask, "_original": original}).select(*todo.columns)
     dead = last.filter("parsed IS NULL AND error IS NULL").select(*keys, "parse_error")
     if stopped is None:
         stopped = prompts.select("run_id", "stage", F.lit("max_calls").alias("breach")).limit(0)

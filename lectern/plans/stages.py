@@ -148,7 +148,9 @@ def classify(
     ).distinct()
     runs = texts.select("run_id").distinct().join(stopped, "run_id", "left_anti")
     upper = ordered.largest(spans, "span_id")
-    alive = ordered.attach(spans, runs, ["run_id"], "span_id", upper=upper)
+    # Stored, so that its size is known: spans are not shuffled for a short list of runs.
+    gone = write_and_read(stopped.select("run_id").distinct(), "stopped-runs")
+    alive = spans.filter("run_id IS NOT NULL").join(gone, "run_id", "left_anti")
     decided = write_and_read(
         rv.apply_decisions(alive, rs.decisions(attempts, ["run_id", "batch_id"])), "decided"
     )

@@ -260,6 +260,14 @@ def test_texts_are_not_stored_beside_their_prompts(make, monkeypatch):
     assert [r.text for r in res.texts.collect()] == ["ONE\n"] and "text" not in stored["prompts"] and "calls" not in stored
 
 
+def test_first_prompts_are_stored_once(make, monkeypatch):
+    rounds = []
+    keep = ca.write_and_read
+    monkeypatch.setattr(ca, "write_and_read", lambda df, name, *by: (name == "round" and rounds.append(keep(df, name, *by)) or None) or (rounds[-1] if name == "round" else keep(df, name, *by)))
+    st.classify(texts(make, ("r", "Is this seat free?")), "C {{span_lines}}", "Fix {{original_prompt}} {{bad_response}}", setup(Chatty))
+    assert rounds[0].filter("_original IS NOT NULL").isEmpty() and rounds[1].filter("_original IS NULL").isEmpty()
+
+
 def test_calls_overlap(make):
     df = prompts(make, [("r", i, f"p{i}") for i in range(8)]).drop("in_tok", "out_tok")
     taken = []
