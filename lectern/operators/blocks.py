@@ -72,10 +72,11 @@ def merged_body(members: Column) -> Column:
 
 
 def fallback_blocks(
-    paragraphs: DataFrame, merged: DataFrame, run: str = "run_id", *, upper: int | None = None, **kw
+    paragraphs: DataFrame, merged: DataFrame | None, run: str = "run_id", *, upper: int | None = None, bare: DataFrame | None = None, **kw
 ) -> DataFrame:
-    """Runs without any block get one block per paragraph window."""
-    bare = paragraphs.select(run).distinct().join(merged.select(run).distinct(), run, "left_anti")
+    """Runs without any block, or the ``bare`` ones of a caller that knows them, get one block per paragraph window."""
+    if bare is None:
+        bare = paragraphs.select(run).distinct().join(merged.select(run).distinct(), run, "left_anti")
     rows = ordered.attach(paragraphs, bare, [run], "span_id", upper=upper)
     return shaping.windows(rows, run, **kw).select(
         run,

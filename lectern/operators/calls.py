@@ -7,9 +7,10 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import NamedTuple, Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql.types import StructType
 
 from lectern import schemas as S
 from lectern.functions import accounting as acc
@@ -53,8 +54,8 @@ class Caps:
 
 
 def estimated(prompts: DataFrame) -> DataFrame:
-    """M4: estimated input and output tokens per prompt."""
-    rows = prompts.withColumn("est_in", acc.estimate_tokens(F.col("prompt")))
+    """M4: estimated input and output tokens per prompt; rows without their prompt have est_in already."""
+    rows = prompts.withColumn("est_in", acc.estimate_tokens(F.col("prompt"))) if "prompt" in prompts.columns else prompts
     return rows.withColumn("est_out", acc.estimate_output(F.col("est_in"), F.col("stage")))
 
 
@@ -101,15 +102,22 @@ def usd(amount: Column) -> Column:
 
 
 def call_log(costs: DataFrame) -> DataFrame:
-    """M3: log rows; amounts are rounded only here, after summing."""
+    """M3: log rows; amounts are rounded only here, after summing. Rows without texts (``untold``) have hash and length already."""
+    told = {"prompt_hash": F.sha2("prompt", 256)} if "prompt" in costs.columns else {}
+    if "response" in costs.columns:
+        told["output_chars"] = F.length("response").cast("bigint")
     return costs.withColumns({
-        "prompt_hash": F.sha2("prompt", 256),
-        "output_chars": F.length("response").cast("bigint"),
+        **told,
         "cost_usd": usd(F.col("cost")),
         "cum_cost_usd": usd(F.col("cum_cost")),
     }).drop("cost", "cum_cost", "error")
 
 
+def untold(answered: DataFrame) -> DataFrame:
+    """Answered calls as the log needs them, without their texts, so that numbering calls moves no text."""
+    return answered.withColumn("output_chars", F.length("response").cast("bigint")).drop("prompt", "response", "text", "parsed")
+
+
 def _cap(value: float) -> Column:
     return F.lit(str(value)).cast("decimal(30,12)")
 
@@ -195,32 +203,37 @@ def calls_made(answered: DataFrame, keys=("run_id", "stage")) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 _REPLY = "model STRING, temperature DOUBLE, prompt_hash STRING, copies BIGINT, response STRING, in_tok BIGINT, out_tok BIGINT, error STRING"
+_TOLD = pa.schema([("response", pa.string()), ("in_tok", pa.int64()), ("out_tok", pa.int64()), ("error", pa.string())])
+_TOLD_DDL = "response STRING, in_tok BIGINT, out_tok BIGINT, error STRING"
+
 
+def _caller(make_model: Callable[[], Model], in_flight: int, keep: list[str]):
+    """For mapInArrow: the columns ``keep`` of each row and its reply."""
 
-def _caller(make_model: Callable[[], Model], in_flight: int):
-    def answer(client: Model, model: str, prompt: str, temperature: float) -> tuple[Reply | None, str | None, str | None]:
+    def answer(client: Model, model: str, prompt: str, temperature: float) -> tuple:
         try:
             reply = client.generate(model, prompt, temperature)
-            return reply, reply.text.strip(), None
+            return reply.text.strip(), reply.in_tok, reply.out_tok, None
         except Exception as problem:  # one failed call must not end the other runs
-            return None, None, f"{type(problem).__name__}: {problem}"
+            return None, None, None, f"{type(problem).__name__}: {problem}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         client = make_model()
         with ThreadPoolExecutor(in_flight) as pool:
             for rows in batches:
-                asked = zip(rows["model"], rows["prompt"], rows["temperature"])
+                asked = zip(*[rows.column(c).to_pylist() for c in ("model", "prompt", "temperature")])
                 replies = list(pool.map(lambda a: answer(client, *a), asked))
-                out = rows[["model", "temperature", "prompt_hash", "copies", "bill"]].copy()
-                out["response"] = [text for _, text, _ in replies]
-                out["in_tok"] = pd.array([r.in_tok if r else None for r, *_ in replies], dtype="Int64")
-                out["out_tok"] = pd.array([r.out_tok if r else None for r, *_ in replies], dtype="Int64")
-                out["error"] = pd.array([e for *_, e in replies], dtype="string")
-                yield out
+                told = [pa.array([r[i] for r in replies], f.type) for i, f in enumerate(_TOLD)]
+                yield pa.RecordBatch.from_arrays([*[rows.column(c) for c in keep], *told], names=[*keep, *_TOLD.names])
 
     return run
 
 
+def _ask(rows: DataFrame, make_model: Callable[[], Model], in_flight: int, keep: list[str]) -> DataFrame:
+    schema = StructType([*[rows.schema[c] for c in keep], *StructType.fromDDL(_TOLD_DDL)])
+    return rows.mapInArrow(_caller(make_model, in_flight, keep), schema)
+
+
 def failed_groups(answered: DataFrame, keys=("run_id", "stage")) -> DataFrame:
     """Groups with a failed call and what went wrong."""
     return answered.filter("error IS NOT NULL").groupBy(*keys).agg(F.min("error").alias("breach"))
@@ -253,6 +266,8 @@ def call_model(
     hopeless: int = HOPELESS,
     hot_copies: int = HOT_COPIES,
     salts: int = HOT_SALTS,
+    prompt_kept: bool = True,
+    in_place: bool = False,
 ) -> DataFrame:
     """M1: one reply per prompt row.
 
@@ -267,24 +282,32 @@ def call_model(
     where it was. ``known`` replies (same columns) are not called again either; failed ones are. A call that raises,
     or has no text, gives a row with ``error`` and no response; ``hopeless`` calls in one wave
     without any answer raise ClientError. Turn speculation off for the session that calls a paid model.
+
+    Without ledger and known replies a prompt of one row only is stored with its row and reply, so neither is joined.
+    Without ``prompt_kept`` rows come back with est_in in place of their prompt, and it is not stored again.
+    With ``in_place`` such prompts are called by the tasks that read them, for a caller whose prompts lie in
+    as many parts as there are slots.
     """
     spark = prompts.sparkSession
+    if not prompt_kept:
+        prompts = prompts.withColumn("est_in", acc.estimate_tokens(F.col("prompt")))
     asked = prompts.withColumn("prompt_hash", F.sha2("prompt", 256))
     mine = F.xxhash64(*[F.col(c) for c, t in prompts.dtypes if c != "prompt" and not t.startswith("map")], F.col("prompt_hash"))
+    # A fixed number of tasks: calls are slow, so their bytes say nothing about
+    # how few tasks would do.
+    width = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    told = prompts.columns if prompt_kept else [c for c in prompts.columns if c != "prompt"]
+    if known is None and ledger is None:
+        return _call_all(asked.withColumn("_mine", mine), told, make_model, None if in_place else width, width, in_flight, hopeless, hot_copies, salts)
     unique = asked.groupBy(*_CALL).agg(
         F.first("prompt").alias("prompt"), F.count(F.lit(1)).alias("copies"), F.min(mine).alias("bill"))
-    if known is not None or ledger is not None:
-        unique = write_and_read(unique, "calls-asked")
+    unique = write_and_read(unique, "calls-asked")
     bills = unique.select(*_CALL, "copies", "bill")
     if known is not None:
         known = known if "error" in known.columns else known.withColumn("error", F.lit(None).cast("string"))
         known = known.filter("error IS NULL")
         unique = unique.join(known.select(*_CALL), _CALL, "left_anti")
-    # A fixed number of tasks: calls are slow, so their bytes say nothing about
-    # how few tasks would do.
-    width = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    caller = _caller(make_model, in_flight)
-    ask = lambda rows: rows.repartition(width, "prompt_hash").mapInPandas(caller, f"{_REPLY}, bill BIGINT")
+    ask = lambda rows: _ask(rows.repartition(width, "prompt_hash"), make_model, in_flight, [*_CALL, "copies", "bill"])
     if ledger is None:
         replies = write_and_read(ask(unique), "replies")
         _check_client(replies.agg(*_told()).first(), hopeless)
@@ -299,13 +322,35 @@ def call_model(
         for wave in range(waves):
             seen = Observation()
             said = ask(todo.filter(F.col("wave") == wave).drop("wave")).observe(seen, *_told())
-            said.drop("bill").write.mode("append").parquet(ledger)
+            said.select(*[f.name for f in StructType.fromDDL(_REPLY)]).write.mode("append").parquet(ledger)
             _check_client(seen.get, hopeless)
         asked_now = unique.select(*_CALL, "copies", "bill")
         replies = write_and_read(ledger_replies(spark, ledger).drop("copies").join(asked_now, _CALL), "replies")
     if known is not None:
         replies = replies.unionByName(known.drop("copies").join(bills, _CALL).select(*replies.columns))
-    return _join_replies(asked.withColumn("_mine", mine), replies, hot_copies, salts)
+    return _join_replies(asked.withColumn("_mine", mine).select(*told, "prompt_hash", "_mine"), replies, hot_copies, salts)
+
+
+def _call_all(asked, told, make_model, dealt: int | None, width: int, in_flight, hopeless, hot_copies, salts) -> DataFrame:
+    """Replies to all prompts. Only prompts that may have several rows are grouped, and only their replies joined: which
+    they are is known from hashes. ``dealt``: the tasks that the others are dealt to; None leaves them where they lie."""
+    keep = [*[c for c in told if c not in _CALL], *_CALL]
+    shared = write_and_read(asked.groupBy(*_CALL).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1"), "shared-calls")
+    some = not shared.isEmpty()
+    several, single = ordered.maybe_among(asked, shared, ["prompt_hash"]) if some else (None, asked)
+    single = single.select(*dict.fromkeys([*keep, "prompt"]))
+    single = single if dealt is None else single.repartition(dealt, "prompt_hash")
+    alone = write_and_read(_ask(single, make_model, in_flight, keep), "replies")
+    out = alone.withColumn("called", F.lit(True))
+    if not some:
+        _check_client(alone.agg(*_told()).first(), hopeless)
+        return out
+    unique = several.groupBy(*_CALL).agg(
+        F.first("prompt").alias("prompt"), F.count(F.lit(1)).alias("copies"), F.min("_mine").alias("bill"))
+    unique = unique.repartition(width, "prompt_hash")
+    replies = write_and_read(_ask(unique, make_model, in_flight, [*_CALL, "copies", "bill"]), "shared-replies")
+    _check_client(alone.select("error").unionByName(replies.select("error")).agg(*_told()).first(), hopeless)
+    return out.unionByName(_join_replies(several.select(*keep, "_mine"), replies, hot_copies, salts))
 
 
 def _told() -> list[Column]:

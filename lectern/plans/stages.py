@@ -66,6 +66,13 @@ def _no_groups(prompts: DataFrame) -> DataFrame:
     return prompts.select("run_id", "stage", F.lit(None).cast("string").alias("breach")).limit(0)
 
 
+def _answered(ready: DataFrame, setup: ModelSetup, stored: DataFrame) -> DataFrame:
+    """Replies without their prompts. Prompts as they are stored are called where they lie, if that keeps all slots busy."""
+    slots = ready.sparkSession.sparkContext.defaultParallelism
+    in_place = setup.tasks is None and ready is stored and stored.rdd.getNumPartitions() >= slots
+    return ca.call_model(ready, setup.make, tasks=setup.tasks, ledger=setup.ledger, prompt_kept=False, in_place=in_place)
+
+
 def _stopped(costs: DataFrame, rejected: DataFrame, setup: ModelSetup) -> DataFrame:
     """Groups stopped by a run-time cap, added to those stopped before calling."""
     before = rejected.select("run_id", "stage", "breach")
@@ -103,9 +110,10 @@ def text_transform(
     ready, over = _limited(ready, setup, upper=upper)
     rejected = rejected.unionByName(over)
     # Prompts and replies are stored; what joins them reads the columns it needs only.
-    answered = ca.call_model(ready, setup.make, tasks=setup.tasks, ledger=setup.ledger)
-    costs = ca.running_costs(answered.filter("error IS NULL"), upper=upper)
-    failed = ca.failed_groups(answered)
+    answered = _answered(ready, setup, prompts)
+    costs = ca.running_costs(ca.untold(answered.filter("error IS NULL")), upper=upper)
+    # Stored, so that its size is known: replies are not shuffled for a short list of runs.
+    failed = write_and_read(ca.failed_groups(answered), "failed-runs")
     stopped = _stopped(costs, rejected, setup).unionByName(failed)
     runs = texts.select("run_id").distinct().join(stopped, "run_id", "left_anti")
     answered = answered.join(failed.select("run_id"), "run_id", "left_anti")
@@ -121,7 +129,7 @@ def text_transform(
         extra["edits"] = answered.select(
             "run_id", F.col("batch_id").alias("chunk_id"), F.col("text").alias("before"), F.col("response").alias("after")
         )
-    return StageResult(out.withColumn("stage", F.lit(stage)), ca.call_log(costs).drop("text"), stopped, extra)
+    return StageResult(out.withColumn("stage", F.lit(stage)), ca.call_log(costs), stopped, extra)
 
 
 def classify(
@@ -180,7 +188,7 @@ def condense(
     ready, over = _admitted(prompts, setup)
     ready, many = _limited(ready, setup)
     over = over.unionByName(many)
-    mapped = write_and_read(rs.parse_blocks(ca.call_model(ready, setup.make, tasks=setup.tasks, ledger=setup.ledger)), "mapped")
+    mapped = write_and_read(rs.parse_blocks(_answered(ready, setup, prompts)), "mapped")
     unread = mapped.filter(F.col("parsed").isNull()).select(
         "run_id", "stage", F.coalesce("error", F.lit("invalid_json")).alias("breach"))
     stopped = over.select("run_id", "stage", "breach").unionByName(unread).distinct()
@@ -192,8 +200,9 @@ def condense(
     live = totals.join(runs, "run_id")
     capped = ordered.attach(found, live, ["run_id"], "from_p", upper=upper)
     merged = bl.merge_blocks(capped, cap="n", upper=upper)
-    alive = ordered.attach(paragraphs, runs, ["run_id"], "span_id", upper=upper)
-    spare = bl.fallback_blocks(alive, merged, upper=upper)
+    # Runs that need spare blocks are told from names, so only their paragraphs are shuffled.
+    bare = write_and_read(live.select("run_id").join(merged.select("run_id").distinct(), "run_id", "left_anti"), "bare-runs")
+    spare = bl.fallback_blocks(ordered.maybe_among(paragraphs, bare, ["run_id"])[0], None, upper=upper, bare=bare)
     candidates = write_and_read(merged.unionByName(spare), "candidates")
 
     payload = bl.candidate_json(candidates)
@@ -207,14 +216,14 @@ def condense(
     ready2, over2 = _admitted(reduce, setup, upper=0)
     ready2, many = _limited(ready2, setup, ca.calls_made(mapped), upper=0)
     over2 = over2.unionByName(many)
-    reduced = write_and_read(ca.call_model(ready2, setup.make, tasks=setup.tasks, ledger=setup.ledger), "reduced")
+    reduced = write_and_read(_answered(ready2, setup, reduce), "reduced")
     keep = reduced.columns
     attempts = mapped.select(*keep).unionByName(reduced)
     # The reduce call comes after all windows of its run.
     ranked = attempts.withColumn(
         "batch_id", F.when(F.col("phase") == "reduce", F.lit(upper + 1)).otherwise(F.col("batch_id"))
     )
-    costs = ca.running_costs(ranked.filter("error IS NULL"), upper=upper + 1)
+    costs = ca.running_costs(ca.untold(ranked.filter("error IS NULL")), upper=upper + 1)
     stopped = stopped.unionByName(_stopped(costs, over2, setup)).unionByName(ca.failed_groups(reduced)).distinct()
     final = reduced.join(bl.block_bodies(candidates), "run_id", "left").select(
         "run_id", sh.final_condensed(F.col("response"), F.col("bodies")).alias("text"), F.lit(1).alias("one")

@@ -292,3 +292,36 @@ def test_broken_clients_end_the_stage(make):
         ca.call_model(df, Silent)
     few = ca.call_model(df.limit(3), Silent)
     assert few.filter("error IS NOT NULL AND response IS NULL").count() == 3
+
+
+def test_lone_prompts_move_no_text(make, monkeypatch):
+    kept = {}
+    keep = ca.write_and_read
+    monkeypatch.setattr(ca, "write_and_read", lambda df, name, *by: kept.update({name: keep(df, name, *by)}) or kept[name])
+    df = prompts(make, [("r", i, f"p{max(i, 5)}") for i in range(30)]).drop("in_tok", "out_tok")
+    got = ca.call_model(df, Upper, prompt_kept=False, in_place=True)
+    assert sorted((r.batch_id, r.response, r.est_in) for r in got.collect()) == [(i, f"P{max(i, 5)}", 1) for i in range(30)]
+    assert got.filter("called").count() == 25 and "prompt" not in got.columns
+    assert kept["replies"].count() >= 20 and "prompt" not in kept["replies"].columns and {"run_id", "batch_id"} <= set(kept["replies"].columns)
+    assert kept["shared-calls"].count() == 1 and kept["replies"].count() + kept["shared-replies"].count() <= 25
+    lone = ca.call_model(df.filter("batch_id > 5"), Upper)
+    assert "Exchange" not in lone._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.prompt for r in lone.collect()) == sorted(f"p{i}" for i in range(6, 30))
+
+
+def test_condense_stores_no_prompt_twice(make, monkeypatch):
+    stored = {}
+    keep = st.write_and_read
+    monkeypatch.setattr(st, "write_and_read", lambda df, name, *by: stored.update({name: df.columns}) or keep(df, name, *by))
+    df = texts(make, ("r", "\n\n".join(f"Paragraph {i}" for i in range(1, 10))), ("e", " "))
+    res = st.condense(df, "M{{paragraph_lines}}", "R{{candidate_blocks_json}}", setup(Condenser))
+    assert "prompt" not in stored["mapped"] and "prompt" not in stored["reduced"]
+    log = res.calls.orderBy("batch_id").collect()
+    assert [len(r.prompt_hash) for r in log] == [64] * 3 and all(r.output_chars > 0 for r in log)
+
+
+def test_rows_told_apart_by_bits(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "PICKS", 256)
+    rows = spark.range(1000).withColumn("x", F.lit("text"))
+    near, far = ordered.maybe_among(rows, spark.range(0, 40), ["id"])
+    assert {r.id for r in near.collect()} >= set(range(40)) and near.count() + far.count() == 1000 and far.count() > 500
