@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lectern.operators import incremental as inc
+from lectern.operators import incremental as inc, ordered
 from lectern.plans.stages import ModelSetup, StageResult
 from lectern.session import write_and_read
 from lectern.sources import sinks
@@ -89,7 +89,8 @@ def run_stage(
     candidates = write_and_read(signed(texts, step.stage).withColumn("params", params), "candidates")
     before = stored_manifests(spark, folder)
     changed = candidates if before is None else inc.select_work(candidates, before, KEYS, force)
-    todo = write_and_read(_allowed(changed, stored_texts(spark, folder, step.stage), on_exists), "todo")
+    wanted = _allowed(changed, stored_texts(spark, folder, step.stage), on_exists)
+    todo = candidates if wanted is candidates else write_and_read(wanted, "todo")
 
     rest = candidates.join(todo.select("run_id"), "run_id", "left_anti").withColumns(_outcome("skipped"))
     if dry_run:
@@ -97,9 +98,13 @@ def run_stage(
     if todo.head() is None:
         return Pass(_noted(rest, folder, started), None)
 
-    result = step.work(texts.join(todo.select("run_id"), "run_id", "left_semi"))
-    made = sinks.save_runs(result.texts, f"{folder}/texts", "overwrite", buckets=buckets)
-    calls = sinks.save_runs(result.calls, f"{folder}/calls", "overwrite", buckets=buckets)
+    if wanted is not candidates:  # texts of few runs: most others are left out before any is shuffled
+        runs = todo.select("run_id")
+        texts = ordered.maybe_among(texts, runs, ["run_id"])[0].join(runs, "run_id", "left_semi")
+    result = step.work(texts)
+    made = sinks.save_runs(result.texts, f"{folder}/texts", "overwrite", buckets=buckets, stage_first=False)
+    # The log tells prompts by hash and replies by length; the texts themselves are the outputs.
+    calls = sinks.save_runs(result.calls.drop("prompt", "response"), f"{folder}/calls", "overwrite", buckets=buckets)
     reasons = result.rejected.groupBy("run_id").agg(F.min("breach").alias("error"))
     outputs = signed(made, step.stage).select("run_id", F.col("inputs_signature").alias("outputs_signature"))
     done = todo.join(outputs, "run_id", "left").join(reasons, "run_id", "left")

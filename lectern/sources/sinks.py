@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.errors import AnalysisException
 
+from lectern.operators import ordered
 from lectern.session import write_and_read
 from lectern.sources import folders
 
 BUCKETS = 256
 BUCKET = "run_bucket"
+#: Tasks that write to one folder.
+SLOTS = 8
 
 
 class ExistingOutputError(RuntimeError):
@@ -38,13 +44,15 @@ def save_runs(
     *,
     keys=("run_id", "stage"),
     buckets: int = BUCKETS,
+    stage_first: bool = True,
 ) -> DataFrame:
     """Write rows per run and stage under the chosen policy.
 
     overwrite replaces only the incoming keys, skip writes only new keys, fail
-    refuses when any key exists. Only the buckets touched are rewritten; they
-    go through a staged table, so a failed job leaves the old rows in place.
-    Returns what was written.
+    refuses when any key exists. Only the buckets touched are rewritten, in one job that
+    swaps folders when it ends, so a failed job leaves the old rows in place.
+    Returns what was written: a table of its own, or, where there is nothing older and without ``stage_first``, the
+    table at ``path``, good until that is written again.
     """
     if on_exists not in ("overwrite", "skip", "fail"):
         raise ValueError(f"unknown policy '{on_exists}'")
@@ -52,6 +60,9 @@ def save_runs(
     keys = list(keys)
     incoming = with_bucket(rows, keys[0], buckets)
     old = read_table(spark, path)
+    if old is None and not stage_first:
+        _writer(incoming, keys).mode("append").parquet(path)
+        return spark.read.schema(incoming.schema).parquet(path).select(*rows.columns)
     if old is None:
         staged = incoming
     else:
@@ -65,21 +76,56 @@ def save_runs(
             staged = incoming.join(existing.drop(BUCKET), keys, "left_anti")
         else:
             staged = write_and_read(incoming, "staged")
-            touched = staged.select("stage", BUCKET).distinct() if "stage" in keys else staged.select(BUCKET).distinct()
-            rest = old.join(F.broadcast(touched), touched.columns, "left_semi").join(
-                staged.select(*keys), keys, "left_anti"
-            )
-            merged = write_and_read(staged.unionByName(rest.select(*staged.columns)), "merged")
-            _writer(merged, keys).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+            touched = staged.select(*_folders(keys)).distinct()
+            rest = old.join(F.broadcast(touched), touched.columns, "left_semi").select(*staged.columns)
+            if _scattered(old):
+                both = _dealt(staged.withColumn("_new", F.lit(True)).unionByName(rest.withColumn("_new", F.lit(False))), keys)
+                # Dealt as they are written, so the newest of a key are found without another shuffle.
+                newest = F.max("_new").over(Window.partitionBy(*_folders(keys), "_slot", *[k for k in keys if k != "stage"]))
+                left = both.withColumn("_newest", newest).filter(F.col("_new") | ~F.col("_newest")).drop("_new", "_newest", "_slot")
+            else:
+                left = _dealt(staged, keys).drop("_slot").unionByName(_spared(rest, staged, keys))
+            _partitioned(left, keys).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
             return staged.drop(BUCKET)
     staged = write_and_read(staged, "staged")
     _writer(staged, keys).mode("append").parquet(path)
     return staged.drop(BUCKET)
 
 
+def _folders(keys: list[str]) -> list[str]:
+    return (["stage"] if "stage" in keys else []) + [BUCKET]
+
+
+def _dealt(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with their slot: few files for a folder, and rows of a key in one task."""
+    return df.withColumn("_slot", F.pmod(F.xxhash64(*keys), F.lit(SLOTS))).repartition(*_folders(keys), "_slot")
+
+
+def _scattered(table: DataFrame) -> bool:
+    """Whether folders hold so many files that their rows are dealt again."""
+    files = table.inputFiles()
+    return len(files) > 4 * SLOTS * len({f.rsplit("/", 1)[0] for f in files})
+
+
+def _spared(rest: DataFrame, staged: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the rest whose keys are not staged. Most stay in the tasks that read them, and so in few files;
+    of those that may be staged only names are compared, and the few that are not are fetched by name."""
+    named = lambda df, tag: df.select(*[F.col(k).alias(f"{tag}{k}") for k in keys]).distinct()
+    same = lambda tag, other: reduce(and_, [F.col(f"{tag}{k}").eqNullSafe(F.col(f"{other}{k}")) for k in keys])
+    near, far = ordered.maybe_among(rest, staged, keys)
+    kept = named(near, "").join(named(staged, "_s_"), same("", "_s_"), "left_anti")
+    kept = write_and_read(kept, "spared")
+    if kept.isEmpty():
+        return far
+    return far.unionByName(ordered.maybe_among(near, kept, keys)[0].join(named(kept, "_k_"), same("", "_k_"), "left_semi"))
+
+
+def _partitioned(df: DataFrame, keys: list[str]):
+    return df.write.option("compression", "zstd").partitionBy(*_folders(keys))
+
+
 def _writer(df: DataFrame, keys: list[str]):
-    folders = (["stage"] if "stage" in keys else []) + [BUCKET]
-    return df.repartition(*folders, F.pmod(F.xxhash64(*keys), F.lit(8))).write.partitionBy(*folders)
+    return _partitioned(_dealt(df, keys).drop("_slot"), keys)
 
 
 def write_lines(df: DataFrame, path: str, mode: str = "error") -> None:

@@ -145,6 +145,37 @@ def test_existing_output_policy(spark, make, tmp_path):
     assert state() == {("a", "1"), ("b", "3"), ("c", "2"), ("d", "3")}
 
 
+@pytest.mark.parametrize("picks,slots", [(1 << 24, 8), (64, 8), (64, 0)])
+def test_overwrite_keeps_all_other_rows(spark, make, tmp_path, monkeypatch, picks, slots):
+    from lectern.operators import ordered
+
+    path, schema = str(tmp_path / "texts"), "run_id STRING, stage STRING, text STRING"
+    monkeypatch.setattr(ordered, "PICKS", picks)  # few numbers: most other rows may be among the new ones
+    stored = []
+    keep = sinks.write_and_read
+    monkeypatch.setattr(sinks, "write_and_read", lambda df, name, *by: stored.append((name, df.columns)) or keep(df, name, *by))
+    sinks.save_runs(make([(f"r{i}", st, "old") for i in range(200) for st in ("s05", "s06")], schema), path, "fail", buckets=2)
+    monkeypatch.setattr(sinks, "SLOTS", max(slots, 1))
+    if not slots:
+        monkeypatch.setattr(sinks, "_scattered", lambda table: True)
+    rows = [(f"r{i}", "s05", "new") for i in range(0, 210, 3)]
+    made = sinks.save_runs(make(rows, schema), path, "overwrite", buckets=2)
+    want = {(f"r{i}", st): "old" for i in range(200) for st in ("s05", "s06")} | {(r, st): t for r, st, t in rows}
+    got = spark.read.parquet(path).collect()
+    assert {(r.run_id, r.stage): r.text for r in got} == want and len(got) == len(want)
+    assert sorted(tuple(r) for r in made.select("run_id", "stage", "text").collect()) == sorted(rows)
+    # old texts are stored at their place only
+    assert all("text" not in cols for name, cols in stored if name != "staged") and "merged" not in dict(stored)
+
+
+def test_first_outputs_are_stored_once(spark, make, tmp_path, monkeypatch):
+    stored = []
+    monkeypatch.setattr(sinks, "write_and_read", lambda df, name, *by: stored.append(name))
+    path = str(tmp_path / "texts")
+    made = sinks.save_runs(make([("a", "s05", "1")], "run_id STRING, stage STRING, text STRING"), path, "overwrite", buckets=2, stage_first=False)
+    assert [tuple(r) for r in made.collect()] == [("a", "s05", "1")] and not stored
+
+
 def test_best_output(make):
     df = make([("a", "s07", "x"), ("a", "s09", "y"), ("b", "s07", "z"), ("c", "s05", "n")], "run_id STRING, stage STRING, text STRING")
     assert {r.run_id: r.text for r in inc.best_output(df).collect()} == {"a": "y", "b": "z"}
