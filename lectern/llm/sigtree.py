@@ -232,24 +232,31 @@ class Forest:
 
 def tree_pairs(number: np.ndarray, sizes: np.ndarray, maps: list[bytes], roots: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, int]:
     """Pairs of rows of one cell that can link and lie in two components, and how many pairs of nodes were compared.
-    number: each row's cell, in order. The cells of one narrowest width make a forest."""
+    number: each row's cell, in order. The rows of one width make a forest; those of two widths whose sizes can link
+    make another, folded to the narrower, so that a short text in a cell does not blur the long ones."""
     wide = np.array([len(m) for m in maps])
-    starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]]))
     cell = np.cumsum(np.concatenate([[False], number[1:] != number[:-1]]))
-    narrowest = np.minimum.reduceat(wide, starts)[cell]
     _, code = np.unique(roots, return_inverse=True)
     # texts of one component side by side, then by size and bitmap, so that nodes are alike
     _, both, times = np.unique(cell * (len(code) + 1) + code, return_inverse=True, return_counts=True)
     group = np.where(times[both] > 1, code, -1)
     left, right, looked = [], [], 0
-    for width in np.unique(narrowest):
-        mine = np.flatnonzero(narrowest == width)
-        mine = np.array(sorted(mine, key=lambda i: (cell[i], group[i], sizes[i], maps[i])))
+    widths = np.unique(wide)
+    for u, w in ((u, w) for i, u in enumerate(widths) for w in widths[i:]):
+        mine = wide == u
+        if u != w:
+            near = mine & (100 * sizes >= percent * sizes[wide == w].min())
+            far = (wide == w) & (100 * sizes[mine].max() >= percent * sizes)
+            mine = (near | far) & np.isin(cell, np.intersect1d(cell[near], cell[far]))
+        mine = np.array(sorted(np.flatnonzero(mine), key=lambda i: (cell[i], group[i], sizes[i], maps[i])), np.int64)
+        if not len(mine):
+            continue
         _, tree = np.unique(cell[mine], return_inverse=True)
-        forest = Forest(tree, sizes[mine], folded([maps[i] for i in mine], int(width)), code[mine])
-        a, b = forest.pairs(percent)
-        left.append(mine[a])
-        right.append(mine[b])
+        forest = Forest(tree, sizes[mine], folded([maps[i] for i in mine], int(u)), code[mine])
+        a, b = (mine[x] for x in forest.pairs(percent))
+        across = (wide[a] != wide[b]) | (u == w)
+        left.append(a[across])
+        right.append(b[across])
         looked += forest.looked
     return np.concatenate(left), np.concatenate(right), looked
 

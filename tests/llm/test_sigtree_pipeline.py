@@ -102,6 +102,22 @@ def test_trees_lose_no_pair(size):
         assert len(want) > 100 and looked < every / 2 and len(pairs) < every / 8
 
 
+def test_a_short_text_does_not_blur_long_ones():
+    """One cell holds a short text, unlike long ones, and linked pairs on both sides of a bitmap's width."""
+    rng = np.random.default_rng(5)
+    fresh = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    sets = [fresh(40)] + [fresh(3000 + 20 * i) for i in range(40)]
+    linked = []
+    for n, m in ((60, 70), (250, 260), (1000, 1200), (4090, 4900)):  # widths 64, 256, 1024 and 4096, and twice that
+        sets += [fresh(m)]
+        sets += [sets[-1][:n]]
+        linked.append((len(sets) - 2, len(sets) - 1))
+    sets = [np.unique(x) for x in sets]
+    a, b, _ = sigtree.tree_pairs(np.zeros(len(sets), np.int64), np.array([len(x) for x in sets]), [sigtree.bitmap(x) for x in sets], np.arange(len(sets)), 80)
+    pairs = [(min(p), max(p)) for p in zip(a.tolist(), b.tolist())]
+    assert set(linked) <= set(pairs) and len(pairs) == len(set(pairs)) and len(pairs) <= len(linked) + 2
+
+
 def test_second_turn_finds_all_links(spark, monkeypatch):
     """Without the first turn every link is found by the trees."""
     monkeypatch.setattr(sigtree, "best_leads", lambda met: met.select("doc_id", "lead").limit(0))
