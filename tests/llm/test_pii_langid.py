@@ -92,6 +92,59 @@ def test_stretches_cut_no_word():
         assert all(a < b for a, b in pii.stretches(text))
 
 
+def test_spans_without_digit_or_at_sign_are_found(field):
+    prose = "and so it went on and on, as they said, " * 40
+    for line, want in (
+        ("reach us: info (at) example.net any day", "info (at) example.net"), ("mail anna (AT) example.net please", "anna (AT) example.net"),
+        ("password: hXkLmQvTzRwa then", "hXkLmQvTzRwa"),
+    ):
+        for text in (line, prose + line + " " + prose):
+            base, every = pii.find([text], field)[0]
+            assert base == [] and [text[a:b] for a, b, _ in every] == [want]
+    for text in ("at-" * 300_000, "at " * 300_000, "x" * 900_000, "." * 900_000 + "at"):
+        assert not pii.HOLDS["email"].search(text)  # in linear time
+    assert pii.HOLDS["email"].search("bob at example dot com") and not pii.HOLDS["email"].search("&&& at.& and at noon")
+    # the field takes these for numbers, which they can't be
+    assert pii.find(["WE WERE!! THE!! WORDS!! ÑLL.!! " * 20, "a | b | c.\nÑo | c. |" * 20, ""], field) == [([], [])] * 3
+
+
+def test_whole_texts_are_labelled_as_by_the_features_of_all_words(field, monkeypatch):
+    rng = np.random.default_rng(7)
+    pieces = ["call ", "(212) 555-0187", " at ", "(at) ", "info", "example.net", "key = ", "^", "|", " ", "\n", "😀", "é", "ÀB", "Xx ", "12", "x1y2z3", "_a", "٣٤", "\x1c", "ª²", "and so on ", "9f86d081884c7d65 "]
+    texts = ["", " ", "^ ^ ^", "@", *("".join(rng.choice(pieces, rng.integers(1, 40))) for _ in range(150))]
+    want = {}
+    for i, text in enumerate(texts):
+        words = pii.tokens(text, 0, len(text))
+        if words:
+            scores = field.emissions(pii.features([text[a:b] for a, b in words], pii.spacing(text, words)))
+            best, back = field.steps[-1] + scores[0], []
+            for score in scores[1:]:
+                paths = best[:, None] + field.steps[:-1]
+                back.append(paths.argmax(axis=0))
+                best = paths.max(axis=0) + score
+            labels = [best.argmax()]
+            for step in reversed(back):
+                labels.append(step[labels[-1]])
+            if spans := pii.spans_of(labels[::-1], words):
+                want[i] = spans
+    assert len(want) > 50
+    for longest in (1, 2, 5, 100, 1 << 16):
+        monkeypatch.setattr(pii, "LONGEST", longest)
+        assert dict(pii.labelled(texts, field)) == want
+
+
+def test_batches_are_gathered_whole(monkeypatch):
+    monkeypatch.setattr(pii, "GATHERED", 4)
+    columns = [["ab", None], ["c"], [], ["d", "efghij"], [None], ["k"]]
+    assert list(pii.gathered(columns)) == [["ab", "", "c", "d", "efghij"], ["", "k"]] and list(pii.gathered([])) == []
+
+
+def test_shapes_of_letters_equal_the_patterns():
+    for word in ("a", "A", "É", "é", "aB", "Ab", "AB", "Éa", "aÉ", "ABc", "ñb", "Ñb", "Añb", "ǅ", "ª", "aª", "ſ", "日本", "A日", "Aé日b"):
+        plain = re.sub(r"[A-Z]+", "X", re.sub(r"[^\W\d_A-Z]+", "x", word))
+        assert pii.shape(word) == plain, word
+
+
 def test_detect_edge_rows(docs, no_docs, field):
     rows = {r.doc_id: r for r in pii.detect(docs, field).collect()}
     assert pii.detect(no_docs, field).count() == 0 and rows[2].spans == "" == rows[1].spans
